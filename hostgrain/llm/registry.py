@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from hostgrain.llm import exact_dedup, source_mix
+from hostgrain.llm import bin_slack, exact_dedup, source_mix, warc_segments
 
-_MODULES = (exact_dedup, source_mix)
+_MODULES = (warc_segments, bin_slack, exact_dedup, source_mix)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
