@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from hostgrain.llm import anchor_pii, bin_slack, exact_dedup, secret_novelty, source_mix, warc_segments
+from hostgrain.llm import anchor_pii, bin_slack, exact_dedup, secret_novelty, source_mix, toxic_chain, warc_segments
 
-_MODULES = (warc_segments, secret_novelty, anchor_pii, bin_slack, exact_dedup, source_mix)
+_MODULES = (warc_segments, secret_novelty, anchor_pii, bin_slack, exact_dedup, toxic_chain, source_mix)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
