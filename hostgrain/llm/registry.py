@@ -2,8 +2,28 @@
 
 from __future__ import annotations
 
-from hostgrain.llm import anchor_pii, bin_slack, crf_language, exact_dedup, secret_novelty, source_mix, toxic_chain, warc_segments
+from hostgrain.llm import (
+    anchor_pii,
+    bin_slack,
+    crf_language,
+    exact_dedup,
+    parity_join,
+    secret_novelty,
+    source_mix,
+    toxic_chain,
+    warc_segments,
+)
 
-_MODULES = (warc_segments, secret_novelty, anchor_pii, bin_slack, exact_dedup, crf_language, toxic_chain, source_mix)
+_MODULES = (
+    warc_segments,
+    secret_novelty,
+    anchor_pii,
+    parity_join,
+    bin_slack,
+    exact_dedup,
+    crf_language,
+    toxic_chain,
+    source_mix,
+)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
