@@ -7,6 +7,7 @@ from hostgrain.llm import (
     bin_slack,
     crf_language,
     exact_dedup,
+    nn_descent,
     parity_join,
     secret_novelty,
     source_mix,
@@ -18,6 +19,7 @@ _MODULES = (
     warc_segments,
     secret_novelty,
     anchor_pii,
+    nn_descent,
     parity_join,
     bin_slack,
     exact_dedup,
