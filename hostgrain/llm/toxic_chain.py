@@ -173,13 +173,13 @@ def classify(docs: DataFrame, labels: DataFrame, categories: list[str], threshol
         import pyarrow as pa
 
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("__text")).to_pylist()
-            codes = [word_codes(t or "") for t in texts]
-            if chain and texts:
-                p = predict_chain(chain, codes, np.array([shape(t or "") for t in texts]))
-                p[[i for i, c in enumerate(codes) if not c]] = 0
-            else:
-                p = np.zeros((len(texts), len(names)))
+            texts = batch.column(batch.schema.get_field_index("__text"))
+            p = np.zeros((len(texts), len(names)))
+            for at in range(0, len(texts) if chain else 0, 200):  # the words of some texts at a time
+                some = [t or "" for t in texts.slice(at, 200).to_pylist()]
+                codes = [word_codes(t) for t in some]
+                p[at : at + 200] = predict_chain(chain, codes, np.array([shape(t) for t in some]))
+                p[[at + i for i, c in enumerate(codes) if not c]] = 0
             arrays = [batch.column(i) for i in range(len(keep))] + [pa.array(p[:, k]) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(p[:, -1] >= threshold)], names=[*kept_names, *names, "rejected"])
 
