@@ -34,9 +34,13 @@ from hostgrain.llm.storage import fresh, table, written
 GROWTH = 1.5
 #: Bits of the sketch for each shingle that may differ.
 BITS = 16
+#: Parts of a sketch, as a multiple of the shingles that may differ: the more, the more light parts are left out.
+SLACK = 1.0
 #: Buckets up to this size list their pairs of different components; larger ones compare blocks.
 SMALL_BUCKET = 24
 BLOCK = 512
+#: Bits of a broadcast bitmap, at most (64 MB).
+MAX_BITS = 1 << 29
 #: Digests or parts that are settled map-side, at most, and counters to find them with.
 HEAVY = 1_000
 TRACKED = 16_384
@@ -66,22 +70,26 @@ def _band_top(band: int) -> int:
 
 
 def part_keys(hashes: np.ndarray, band: int, percent: int) -> np.ndarray:
-    """A key for each part of the sketch in this band.
+    """Keys of the parts of the sketch in this band, as many as the set needs.
 
-    Two similar sets differ in at most `bound` parts, so `parts - bound` are equal.
-    Empty parts tell nothing: a set with fewer of them than that must share a part
-    that isn't empty, and leaves them out.
+    Two similar sets differ in at most `bound` parts, so `parts - bound` parts hold
+    the same shingles in both. Parts with few shingles tell little: a set leaves
+    out those with at most `least`, as long as they are fewer than parts - bound.
+    Some part with more than the larger `least` of two similar sets is then the same
+    in both, and both give its key.
     """
     n, top = len(hashes), _band_top(band)
-    parts = most_different(2 * top, percent) + 1 + (top >= 8)
+    parts = int(most_different(2 * top, percent) * SLACK) + 2
     bound = most_different(n + min(top, n * 100 // percent), percent)
     place = ((hashes >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
     sketch = np.zeros(parts, np.uint64)
     np.bitwise_xor.at(sketch, place, hashes)
-    used = np.bincount(place, minlength=parts) > 0
+    filled = np.bincount(place, minlength=parts)
+    below = np.cumsum(np.bincount(filled))  # parts with at most so many shingles
+    least = int(np.searchsorted(below, parts - bound)) - 1
     salt = mix64(np.arange(parts, dtype=np.uint64) + (np.uint64(band + 1) << np.uint64(40)))
     keys = mix64(mix64(sketch + np.uint64(1)) + salt)
-    return keys[used] if parts - used.sum() < parts - bound else keys
+    return keys[filled > least]
 
 
 def bit_sketch(hashes: np.ndarray, band: int, percent: int) -> bytes:
@@ -129,7 +137,10 @@ def _heavy(rows: DataFrame, column: str) -> DataFrame:
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
-    """(key, id, leader, size) of the nodes that share a key with others; leader is the smallest id."""
+    """(key, id, leader, size, frequent) of the nodes that share a key with others; leader is the smallest id.
+
+    Keys that may be frequent are settled map-side and marked as such.
+    """
     keys = nodes.select(F.explode("keys").alias("key"), "id")
     found = F.broadcast(_heavy(keys, "key"))
     hot = written(
@@ -141,7 +152,8 @@ def _buckets(nodes: DataFrame) -> DataFrame:
         "key", "id", F.min("id").over(same).alias("leader"), F.count(F.lit(1)).over(same).alias("size")
     )
     columns = ["key", "id", "leader", "size"]
-    return written(frequent.select(columns).union(rest.select(columns)).where("size > 1"), "buckets")
+    both = frequent.select(*columns, F.lit(True).alias("frequent")).union(rest.select(*columns, F.lit(False)))
+    return written(both.where("size > 1"), "buckets")
 
 
 def _screen(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -168,6 +180,25 @@ def _screen(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "a_n", "b_n", "a_sketches", "b_sketches").mapInPandas(screen, "a long, b long, distance long")
 
 
+def _among(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of docs whose id is among wanted (column w), and perhaps a few more, without shuffling texts.
+
+    A bitmap of hashed ids, 16 bits for each id, is broadcast in pieces of 4 KB; if
+    it were larger than MAX_BITS, an ordinary join is used.
+    """
+    bits = 1 << max(20, (16 * wanted.count() - 1).bit_length())
+    if bits > MAX_BITS:
+        return docs.join(wanted, F.col("id") == F.col("w"), "left_semi")
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    maps = written(
+        wanted.groupBy(F.bitmap_bucket_number(place("w")).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place("w"))).alias("map")), "bitmap"
+    )
+    marked = docs.withColumn("at", F.bitmap_bit_position(place("id"))).withColumn("of", F.bitmap_bucket_number(place("id")))
+    joined = marked.join(F.broadcast(maps), F.col("of") == F.col("piece"))
+    byte = F.conv(F.hex(F.substring(F.col("map"), (F.floor(F.col("at") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return joined.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(at % 8 as int))")) > 0).select("id", "text")
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets are similar enough; docs has id and text."""
 
@@ -184,8 +215,8 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.loc[np.array(keep, bool), ["a", "b"]]
 
-    wanted = pairs.select(F.col("a").alias("w")).union(pairs.select(F.col("b").alias("w"))).distinct()
-    found = docs.join(wanted, F.col("id") == F.col("w"), "left_semi").mapInPandas(sets, "id long, shingles binary")
+    wanted = written(pairs.select(F.col("a").alias("w")).union(pairs.select(F.col("b").alias("w"))).distinct(), "wanted")
+    found = written(_among(docs, wanted).mapInPandas(sets, "id long, shingles binary"), "sets")
     x = found.select(F.col("id").alias("xi"), F.col("shingles").alias("x"))
     y = found.select(F.col("id").alias("yi"), F.col("shingles").alias("y"))
     joined = pairs.join(y, F.col("b") == F.col("yi")).join(x, F.col("a") == F.col("xi"))
@@ -247,7 +278,23 @@ def _block_pairs(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFram
                 out += [(min(ids[i], o), max(ids[i], o)) for o in ids[b[ok]]]
         return pd.DataFrame(sorted(set(out)), columns=["a", "b"], dtype="int64")
 
-    return grouped.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    # few bytes, much work: as many partitions as a shuffle has, not merged by size
+    spread = grouped.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "i", "j")
+    return spread.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+
+
+def _unsettled(buckets: DataFrame, merged: DataFrame) -> DataFrame:
+    """(key, id, size, component) of the buckets with members of more than one component."""
+    named = buckets.join(merged, F.col("id") == F.col("node"), "left").select(
+        "key", "id", "size", "frequent", F.coalesce("component", "id").alias("component")
+    )
+    same = Window.partitionBy("key")
+    rest = named.where(~F.col("frequent")).withColumns({"low": F.min("component").over(same), "high": F.max("component").over(same)})
+    hot = named.where("frequent")
+    ends = hot.groupBy(F.col("key").alias("k")).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    hot = hot.join(F.broadcast(ends), F.col("key") == F.col("k"))  # HEAVY rows at most
+    columns = ["key", "id", "size", "component"]
+    return rest.where("low < high").select(columns).union(hot.where("low < high").select(columns))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -287,16 +334,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     links = written(_verify(written(best.select("a", "b"), "best"), texts, k, percent).union(copies), "links")
     merged = components(links)
 
-    named = buckets.join(merged, F.col("id") == F.col("node"), "left").select(
-        "key", "id", "size", F.coalesce("component", "id").alias("component")
-    )
-    named = written(named, "named")
-    mixed = written(
-        named.groupBy(F.col("key").alias("mixed_key")).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high"),
-        "mixed",
-    )
-    open_ = named.join(mixed, F.col("key") == F.col("mixed_key"), "left_semi")
-    open_ = written(open_, "open")
+    open_ = written(_unsettled(buckets, merged), "open")
     one = open_.where(F.col("size") <= SMALL_BUCKET)
     two = one.select("key", F.col("id").alias("other"), F.col("component").alias("other_component"))
     listed = (
