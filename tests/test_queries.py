@@ -1,7 +1,7 @@
 """Every query over the small tables against its SQL in DuckDB."""
 
 import pytest
-from conftest import SMALL, rows_of
+from comparing import SMALL, rows_of
 
 from hostgrain.queries.registry import ORACLES, QUERIES
 
