@@ -1,0 +1,84 @@
+"""Secrets and personal data against plain regular expressions."""
+
+import hashlib
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from hostgrain.llm import anchor_pii as pii
+from hostgrain.llm import registry
+from hostgrain.llm import secret_novelty as secrets
+from comparing import SMALL
+
+
+def _cased(word):
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+_WORDS = "|".join([*map(_cased, ("password", "passwd", "secret", "token")), _cased("api") + "_?" + _cased("key")])
+_ASSIGN = rf"""({_WORDS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def brute_secrets(text):
+    out = [("assign", m.start(), m.end()) for m in re.finditer(_ASSIGN, text) if len(m[2]) >= 12]
+    out += [("access", m.start(), m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    return out + [("hex", m.start(), m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 16]
+
+
+def brute_pii(text):
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    rules = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(x) <= 255 for x in s.split("."))),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda s: 14 <= len(digits(s)) <= 19 and pii.luhn(digits(s))),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 10 <= len(digits(s)) <= 15),
+    }
+    return [(k, m.start(), m.end()) for k, (p, ok) in rules.items() for m in re.finditer(p, text) if ok(m[0])]
+
+
+def line(spans, kinds):
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (s[1], kinds.index(s[0]))))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="aB1239876540..@@--++ ()%é:=\"'ſK", max_size=60))
+def test_pii_of_random_text(text):
+    assert sorted(x for x in pii.find_spans(text) if x[0] in pii.BASE) == sorted(brute_pii(text))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["token", "ToKen", "ſecret", "api_Key", "apikey", "password", "toKen", "=", ": ", "'", '"', " ", "AKIA", "ABCDEF123456789", "0123456789abcdef", "aaaaaaaaaaaaaaaa", "é", "\n"]), max_size=12))
+def test_secrets_of_random_text(parts):
+    text = "".join(parts)
+    assert sorted(secrets.base_spans(text)) == sorted(brute_secrets(text))
+
+
+def test_queries_over_the_whole_table(spark, documents):
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
+    for name, brute, kinds in (("op2_secret_novelty", brute_secrets, secrets.KINDS), ("op3_anchor_pii", brute_pii, pii.KINDS)):
+        rows = registry.QUERIES[name](spark, SMALL).collect()
+        assert len(rows) == len(texts)
+        base = [c[2:] for c in rows[0].asDict() if c.startswith("n_")]
+        for r in rows:
+            wanted = brute(texts[r["doc_id"]])
+            assert r["base_sha256"] == hashlib.sha256(line(wanted, kinds).encode()).hexdigest()
+            assert [r[f"n_{k}"] for k in base] == [sum(k == s[0] for s in wanted) for k in base]
+            assert set(line(wanted, kinds).split(",")) - {""} <= set(r["spans"].split(","))
+
+
+def test_method_spans():
+    text = 'login = "aB3xZ9qLmN8vT2kY" and session key = hello-hello-hello-hello-1 hello-hello-hello-hello-1'
+    found = secrets.novel_spans(text, secrets.base_spans(text))
+    assert [text[a:b] for _, a, b in found] == ["aB3xZ9qLmN8vT2kY"]
+    assert secrets.marginal_bytes("a" * 40, "") < 20 < secrets.marginal_bytes("aB3xZ9qLmN8vT2kYpQ7wE5rT1uI0oP", "")
+    of = lambda t: [(k, t[a:b]) for k, a, b in pii.find_spans(t)]
+    assert ("login", "https://bob:pw@example.com") in of("see https://bob:pw@example.com/x")
+    assert ("account", "DE89 3704 0044 0532 0130 00") in of("IBAN: DE89 3704 0044 0532 0130 00.")
+    assert not [x for x in of("IBAN: DE88 3704 0044 0532 0130 00.") if x[0] == "account"]
+
+
+def test_odd_rows(messy, nothing):
+    for find in (secrets.find_secrets, pii.find_personal_data):
+        assert find(messy).count() == messy.count() and find(nothing).count() == 0
+        assert all(r["spans"] == [] for r in find(messy.where("text is null")).collect())
