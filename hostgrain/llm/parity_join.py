@@ -355,7 +355,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     return own.join(final, F.col("id") == F.col("node"), "left").select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("hot_component", "component", "id")).alias("component_id"),
+        F.when((F.col("n") == 0) | F.col("id").isNull(), F.col("id")).otherwise(F.coalesce("hot_component", "component", "id")).alias("component_id"),
     )
 
 
