@@ -7,10 +7,9 @@ thus find nearer ones among neighbours of neighbours. Lists are bounded, so no
 group grows with the data. A query starts from the list of its own node and
 repeatedly looks at the neighbours of the nearest nodes found.
 
-While the graph is built, vectors travel as 8-bit components with a scale, and
-are extended by one component that makes all norms equal, which turns the largest
-inner product into the nearest neighbour. Search scores the original vectors in
-double precision.
+While the graph is built, vectors travel as 8-bit components with a scale; cells
+go by direction, neighbours by inner product, so a node's own list holds what a
+query for it looks for. Search scores the original vectors in double precision.
 """
 
 from __future__ import annotations
@@ -90,6 +89,10 @@ def _unpacked(rows) -> np.ndarray:
     return both[:, 4:].view(np.int8).astype(np.float32) * np.ascontiguousarray(both[:, :4]).view(np.float32)
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-30)
+
+
 def _doubles(rows) -> np.ndarray:
     return np.frombuffer(b"".join(rows), np.float64).reshape(len(rows), -1)
 
@@ -104,11 +107,11 @@ def first_graph(nodes: DataFrame, count: int, neighbours: int) -> DataFrame:
     """(node, v, s): candidates of each node out of the cells of its nearest pivots."""
     wanted = max(1, min(PIVOTS, count * CELLS // (CELL_SIZE * 3 // 4)))
     sample = nodes.orderBy(F.xxhash64("node"), "node").limit(wanted).select("packed").collect()  # PIVOTS rows at most
-    pivots = _unpacked([r["packed"] for r in sample])
+    pivots = _unit(_unpacked([r["packed"] for r in sample]))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            near = _best(_unpacked(batch["packed"]) @ pivots.T, CELLS)
+            near = _best(_unit(_unpacked(batch["packed"])) @ pivots.T, CELLS)
             yield pd.DataFrame({"node": batch["node"], "cells": list(near.astype(np.int32)), "packed": batch["packed"]})
 
     cells = nodes.mapInPandas(assign, "node long, cells array<int>, packed binary")
@@ -121,7 +124,7 @@ def first_graph(nodes: DataFrame, count: int, neighbours: int) -> DataFrame:
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         x, ids = _unpacked(group["packed"]), group["node"].to_numpy()
         if len(ids) < 2:
-            return pd.DataFrame({"node": [], "vs": [], "ss": []})
+            return pd.DataFrame(columns=["node", "vs", "ss"], dtype=object)
         s = x @ x.T
         np.fill_diagonal(s, -np.inf)
         near = _best(s, min(neighbours, len(ids) - 1))
@@ -189,14 +192,11 @@ def _introduce(batches: Iterator) -> Iterator:
 
 def neighbour_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, meet: int = MEET, rounds: int = ROUNDS) -> DataFrame:
     """(node, near): near holds structs with v (a near node), by descending similarity; nodes has node and raw."""
-    top = nodes.mapInPandas(_largest_norm, "m double").agg(F.max("m").alias("m")).collect()[0]["m"] or 0.0
     count = nodes.count()
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = _doubles(batch["raw"]) if len(batch) else np.zeros((0, 1))
-            more = np.sqrt(np.maximum(0, top**2 - (x**2).sum(1)))
-            yield pd.DataFrame({"node": batch["node"], "packed": [_packed(np.append(v, m)) for v, m in zip(x, more)]})
+            yield pd.DataFrame({"node": batch["node"], "packed": [_packed(np.frombuffer(raw, np.float64)) for raw in batch["raw"]]})
 
     packed = written(nodes.mapInPandas(pack, "node long, packed binary"), "packed")
     graph = written(_lists(first_graph(packed, count, neighbours).withColumn("fresh", F.lit(True)), neighbours), "graph")
@@ -216,12 +216,6 @@ def neighbour_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, meet: int =
     return graph
 
 
-def _largest_norm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        if len(batch):
-            yield pd.DataFrame({"m": [float(np.sqrt((_doubles(batch["raw"]) ** 2).sum(1)).max())]})
-
-
 def _score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         s = (_doubles(batch["q_raw"]) * _doubles(batch["v_raw"])).sum(1) if len(batch) else []
@@ -269,6 +263,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     Fewer than k candidates: all of them. An empty table gives no rows.
     """
     rows = written(usable(vectors, id_col, vector_col), "usable")
+    if rows.isEmpty():
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     nodes, members = distinct_nodes(rows, k + 1)
     asked = rows.where(is_query(F.col("id"))).select("id", F.sha2("raw", 256).alias("hash")).distinct()
     of_node = nodes.select(F.sha2("raw", 256).alias("h"), "node")
