@@ -11,7 +11,8 @@ sets themselves.
 Groups: in each bucket of equal parts, members are first held against one leader
 only. Once the links found are merged, buckets within one component are done; in
 the others, members of different components are compared, in blocks where a
-bucket is large. Thus no pair of a group is listed unless it may join two
+bucket is large: first the nearest pairs of each component, then, of what is
+still apart, all that the sketches allow. Thus no pair of a group is listed unless it may join two
 components, and no link between components is missed.
 """
 
@@ -38,6 +39,8 @@ BITS = 16
 SLACK = 1.0
 #: Buckets up to this size list their pairs of different components; larger ones compare blocks.
 SMALL_BUCKET = 24
+#: Rounds in which each component of a large bucket only tries its nearest pair; the round after them tries all that are left.
+NEAREST_ROUNDS = 2
 BLOCK = 512
 #: Bits of a broadcast bitmap, at most (64 MB).
 MAX_BITS = 1 << 29
@@ -223,9 +226,11 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
     return joined.select("a", "b", "x", "y").mapInPandas(similar, "a long, b long")
 
 
-def _block_pairs(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+def _block_pairs(rows: DataFrame, sketches: DataFrame, percent: int, best: bool) -> DataFrame:
     """Pairs of different components in large buckets that their bit sketches don't rule out.
 
+    best: of each component in a group only the pair whose sketches are nearest.
+
     rows: key, id, component, size. Members go to blocks; each pair of blocks is
     compared by one group. Blocks of the bucket's largest component, which holds
     most of a hot group, are only compared with the other members.
@@ -258,6 +263,7 @@ def _block_pairs(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFram
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates("id")
+        nearest: dict[int, tuple] = {}
         left = group["is_main"] if group["i"].iloc[0] < 0 else group["block"] == group["i"].iloc[0]
         right = ~group["is_main"] & (group["block"] == group["j"].iloc[0])
         out = []
@@ -275,7 +281,15 @@ def _block_pairs(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFram
                 far = np.bitwise_count(mine ^ packed[i]).sum(axis=1, dtype=np.int64)
                 fits = 100 * np.minimum(sizes[i], sizes[b]) >= percent * np.maximum(sizes[i], sizes[b])
                 ok = (far <= total * (100 - percent) // (100 + percent)) & fits & (parts[b] != parts[i])
-                out += [(min(ids[i], o), max(ids[i], o)) for o in ids[b[ok]]]
+                pairs = [(min(ids[i], o), max(ids[i], o)) for o in ids[b[ok]]]
+                if not best:
+                    out += pairs
+                    continue
+                for pair, share, other in zip(pairs, far[ok] / total[ok], parts[b[ok]]):
+                    for component in (parts[i], other):
+                        if component not in nearest or (share, pair) < nearest[component]:
+                            nearest[component] = (share, pair)
+        out += [pair for _, pair in nearest.values()]
         return pd.DataFrame(sorted(set(out)), columns=["a", "b"], dtype="int64")
 
     # few bytes, much work: as many partitions as a shuffle has, not merged by size
@@ -284,7 +298,7 @@ def _block_pairs(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFram
 
 
 def _unsettled(buckets: DataFrame, merged: DataFrame) -> DataFrame:
-    """(key, id, size, component) of the buckets with members of more than one component."""
+    """(key, id, size, frequent, component) of the buckets with members of more than one component."""
     named = buckets.join(merged, F.col("id") == F.col("node"), "left").select(
         "key", "id", "size", "frequent", F.coalesce("component", "id").alias("component")
     )
@@ -293,7 +307,7 @@ def _unsettled(buckets: DataFrame, merged: DataFrame) -> DataFrame:
     hot = named.where("frequent")
     ends = hot.groupBy(F.col("key").alias("k")).agg(F.min("component").alias("low"), F.max("component").alias("high"))
     hot = hot.join(F.broadcast(ends), F.col("key") == F.col("k"))  # HEAVY rows at most
-    columns = ["key", "id", "size", "component"]
+    columns = ["key", "id", "size", "frequent", "component"]
     return rest.where("low < high").select(columns).union(hot.where("low < high").select(columns))
 
 
@@ -343,10 +357,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         .select(F.col("id").alias("a"), F.col("other").alias("b"))
         .distinct()
     )
-    blocks = _block_pairs(open_.where(F.col("size") > SMALL_BUCKET), sketches, percent)
-    candidates = written(_screen(listed, sketches, percent).select("a", "b").union(blocks).distinct(), "candidates")
-    more = written(_verify(candidates, texts, k, percent), "more-links")
-    final = components(links.union(more)) if not more.isEmpty() else merged
+    candidates = _screen(listed, sketches, percent).select("a", "b")
+    final = merged
+    for turn in range(NEAREST_ROUNDS + 1):
+        large = open_.where(F.col("size") > SMALL_BUCKET)
+        if turn and large.isEmpty():
+            break
+        blocks = _block_pairs(large, sketches, percent, best=turn < NEAREST_ROUNDS)
+        candidates = written((candidates.union(blocks) if not turn else blocks).distinct(), "candidates")
+        more = written(_verify(candidates, texts, k, percent), "more-links")
+        if not more.isEmpty():
+            links = links.union(more)
+            final = components(links)
+        if turn < NEAREST_ROUNDS:
+            open_ = written(_unsettled(large.drop("component"), final), "open")
 
     hot_part = hot.join(final, F.col("first_id") == F.col("node"), "left").select(
         F.col("hash"), F.coalesce("component", "first_id").alias("hot_component")
