@@ -154,9 +154,11 @@ class Crf:
 
     def languages(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """The language and score of each text."""
+        if not self.labels:
+            return [(UNKNOWN, 0.0)] * len(texts)
         out = []
         for p, letters in self.label_words([(t or "").split() for t in texts]):
-            if not letters.any() or not self.labels:
+            if not letters.any():
                 out.append((UNKNOWN, 0.0))
                 continue
             mean = p[letters].mean(axis=0, dtype=np.float64)
