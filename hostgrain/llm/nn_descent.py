@@ -27,17 +27,17 @@ from hostgrain.llm.storage import table, written
 #: Neighbours of a node in the graph, and how many of each sort meet at a node in a round.
 NEIGHBOURS = 40
 MEET = 20
-ROUNDS = 3
+ROUNDS = 4
 #: Pivots of the first cells (a bounded sample), cells for each node, and nodes compared at once, at most.
-PIVOTS = 256
-CELLS = 6
-CELL_SIZE = 400
+PIVOTS = 1024
+CELLS = 10
+CELL_SIZE = 800
 #: Candidates that a member of a meeting takes from it, at most: its nearest ones; it meets others elsewhere.
 OFFERS = 6
 #: Nodes that a query keeps, and how many it looks behind in a step.
 BEAM = 40
-STEP = 10
-MAX_STEPS = 6
+STEP = 12
+MAX_STEPS = 5
 
 
 def _valid(v, size: int) -> np.ndarray | None:
@@ -199,7 +199,7 @@ def neighbour_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, meet: int =
             yield pd.DataFrame({"node": batch["node"], "packed": [_packed(np.frombuffer(raw, np.float64)) for raw in batch["raw"]]})
 
     packed = written(nodes.mapInPandas(pack, "node long, packed binary"), "packed")
-    graph = written(_lists(first_graph(packed, count, neighbours).withColumn("fresh", F.lit(True)), neighbours), "graph")
+    graph = written(_lists(first_graph(packed, count, neighbours // 2).withColumn("fresh", F.lit(True)), neighbours), "graph")
     for n in range(rounds):
         least = F.when(F.size("near") < neighbours, F.lit(float("-inf"))).otherwise(F.element_at("near", -1)["s"]).cast("float")
         info = packed.join(graph.select(F.col("node").alias("of"), least.alias("least")), F.col("node") == F.col("of"), "left").select(
@@ -226,7 +226,7 @@ def greedy_search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, k: int
     """(q, v, s): the nearest nodes found from each node q of queries, `beam` at most, itself included.
 
     Each step looks behind the `step` nearest nodes not looked behind yet, as long
-    as there are such among the k nearest.
+    as there are such among the 2 * k nearest.
     """
     raw = lambda a, b: nodes.select(F.col("node").alias(a), F.col("raw").alias(b))
     scored = lambda pairs: (
@@ -242,7 +242,7 @@ def greedy_search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, k: int
     found = written(keep(begun.withColumn("done", F.col("q") == F.col("v"))), "beam")
     for _ in range(MAX_STEPS):
         open_ = found.where(~F.col("done"))
-        ahead = open_.withColumn("turn", F.row_number().over(order)).where((F.col("turn") <= step) & (F.col("place") <= k + 1))
+        ahead = open_.withColumn("turn", F.row_number().over(order)).where((F.col("turn") <= step) & (F.col("place") <= 2 * k))
         ahead = written(ahead.select("q", "v"), "ahead")
         if ahead.isEmpty():
             break
