@@ -1,11 +1,14 @@
 """Approximate nearest neighbours by inner product: NN-descent and greedy graph search.
 
 Equal vectors are one node. A first neighbour graph comes from comparing nodes
-within bounded cells; NN-descent then improves it by joins: every node brings its
-neighbours (and nodes that have it as a neighbour) together, and each of them may
-thus find nearer ones among neighbours of neighbours. Lists are bounded, so no
+within cells of bounded size: a cell that is too large is divided by pivots of its
+own, as often as needed, so the number of pivots grows with the table. NN-descent
+then improves the graph by joins, until few neighbours change: every node brings
+its neighbours (and nodes that have it as a neighbour) together, and each of them
+may thus find nearer ones among neighbours of neighbours. Lists are bounded, so no
 group grows with the data. A query starts from the list of its own node and
-repeatedly looks at the neighbours of the nearest nodes found.
+repeatedly looks at the neighbours of the nearest nodes found, until it has looked
+behind all of these.
 
 While the graph is built, vectors travel as 8-bit components with a scale; cells
 go by direction, neighbours by inner product, so a node's own list holds what a
@@ -14,6 +17,7 @@ query for it looks for. Search scores the original vectors in double precision.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,17 +31,20 @@ from hostgrain.llm.storage import table, written
 #: Neighbours of a node in the graph, and how many of each sort meet at a node in a round.
 NEIGHBOURS = 40
 MEET = 20
-ROUNDS = 4
+#: Rounds end when a smaller share of the entries in all lists is still to be met.
+SETTLED = 0.02
 #: Pivots of the first cells (a bounded sample), cells for each node, and nodes compared at once, at most.
 PIVOTS = 1024
 CELLS = 10
 CELL_SIZE = 800
+#: Nodes of a cell that one task divides, at most, and pivots of a larger cell, which tasks divide together.
+GROUP_SIZE = 16_384
+FAN = 64
 #: Candidates that a member of a meeting takes from it, at most: its nearest ones; it meets others elsewhere.
 OFFERS = 6
 #: Nodes that a query keeps, and how many it looks behind in a step.
-BEAM = 40
-STEP = 12
-MAX_STEPS = 5
+BEAM = 80
+STEP = 20
 
 
 def _valid(v, size: int) -> np.ndarray | None:
@@ -103,6 +110,50 @@ def _best(scores: np.ndarray, k: int) -> np.ndarray:
     return np.argpartition(-scores, k - 1, axis=1)[:, :k]
 
 
+def _leaves(units: np.ndarray) -> list[np.ndarray]:
+    """Places of the rows in parts of CELL_SIZE at most: divided by nearest pivots, as often as needed."""
+    pick = np.random.default_rng(0)
+    todo, out = [np.arange(len(units))], []
+    while todo:
+        at = todo.pop()
+        if len(at) <= CELL_SIZE:
+            out.append(at)
+            continue
+        pivots = units[pick.choice(at, min(FAN, max(2, len(at) * 4 // (CELL_SIZE * 3))), replace=False)]
+        own = (units[at] @ pivots.T).argmax(1)
+        parts = [at[own == j] for j in np.unique(own)]
+        if max(map(len, parts)) > 0.9 * len(at):  # of one direction
+            parts = np.array_split(pick.permutation(at), -(-len(at) // CELL_SIZE))
+        todo += parts
+    return out
+
+
+def _part():
+    """The share of a cell of n nodes (null: few) that a node is in, of GROUP_SIZE or so."""
+    return F.pmod(F.xxhash64("node", "cell"), F.coalesce(F.ceil(F.col("n") / GROUP_SIZE), F.lit(1)))
+
+
+def _divided(each: DataFrame, large: DataFrame) -> DataFrame:
+    """(node, cell, was, packed): nodes of large cells (cell, n) in the cells of their nearest pivots, of which each has about FAN; was is n."""
+    own = each.join(large, "cell", "left")
+    rows = own.where("n is not null").withColumn("part", _part())
+    pivots = rows.where(F.pmod(F.xxhash64("cell", "node"), "n") < FAN).groupBy("cell", "n").agg(F.collect_list("packed").alias("pivots"))
+    pivots = written(pivots, "pivots").select(
+        F.col("cell").alias("of"), F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / GROUP_SIZE) - 1)).alias("share"), "pivots"
+    )
+
+    def assign(rows: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+        near = np.zeros(len(rows), np.int64)
+        if len(rows) and len(pivots):
+            near = (_unit(_unpacked(rows["packed"])) @ _unit(_unpacked(sorted(pivots["pivots"].iloc[0]))).T).argmax(1)
+        return pd.DataFrame({"node": rows["node"], "cell": rows["cell"], "sub": near, "was": rows["n"], "packed": rows["packed"]})
+
+    both = rows.groupBy("cell", "part").cogroup(pivots.groupBy("of", "share"))
+    divided = both.applyInPandas(assign, "node long, cell long, sub long, was long, packed binary")
+    divided = divided.select("node", F.xxhash64("cell", "sub").alias("cell"), "was", "packed")
+    return own.where("n is null").select("node", "cell", F.lit(0).cast("long").alias("was"), "packed").unionByName(divided)
+
+
 def first_graph(nodes: DataFrame, count: int, neighbours: int) -> DataFrame:
     """(node, v, s): candidates of each node out of the cells of its nearest pivots."""
     wanted = max(1, min(PIVOTS, count * CELLS // (CELL_SIZE * 3 // 4)))
@@ -116,19 +167,32 @@ def first_graph(nodes: DataFrame, count: int, neighbours: int) -> DataFrame:
 
     cells = nodes.mapInPandas(assign, "node long, cells array<int>, packed binary")
     cells = written(cells, "cells")
-    sizes = {r["cell"]: r["n"] for r in cells.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    parts = F.create_map(*[F.lit(x) for cell, n in sizes.items() for x in (cell, -(-n // CELL_SIZE))])
-    each = cells.select("node", F.explode("cells").alias("cell"), "packed")
-    each = each.withColumn("part", F.pmod(F.xxhash64("node", "cell"), parts[F.col("cell")]))
+    each = cells.select("node", F.explode(F.col("cells").cast("array<long>")).alias("cell"), F.lit(2 * count).cast("long").alias("was"), "packed")
+    while True:
+        sizes = each.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("was").alias("was")).where(F.col("n") > GROUP_SIZE)
+        sizes = written(sizes, "sizes")
+        large = sizes.where("n < 0.9 * was")
+        if large.isEmpty():
+            break
+        each = written(_divided(each.drop("was"), large.select("cell", "n")), "cells")
+    # what no pivots divide is of one direction: only that is cut at random
+    each = each.join(sizes.select("cell", "n"), "cell", "left").withColumn("part", _part())
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         x, ids = _unpacked(group["packed"]), group["node"].to_numpy()
-        if len(ids) < 2:
-            return pd.DataFrame(columns=["node", "vs", "ss"], dtype=object)
-        s = x @ x.T
-        np.fill_diagonal(s, -np.inf)
-        near = _best(s, min(neighbours, len(ids) - 1))
-        return pd.DataFrame({"node": ids, "vs": list(ids[near]), "ss": list(np.take_along_axis(s, near, 1))})
+        order = np.argsort(ids)
+        x, ids = x[order], ids[order]
+        found = {"node": [], "vs": [], "ss": []}
+        for at in _leaves(_unit(x)):
+            if len(at) < 2:
+                continue
+            s = x[at] @ x[at].T
+            np.fill_diagonal(s, -np.inf)
+            near = _best(s, min(neighbours, len(at) - 1))
+            found["node"].extend(ids[at])
+            found["vs"].extend(ids[at][near])
+            found["ss"].extend(np.take_along_axis(s, near, 1))
+        return pd.DataFrame(found, dtype=None if found["node"] else object)
 
     found = each.groupBy("cell", "part").applyInPandas(compare, "node long, vs array<long>, ss array<float>")
     return found.select("node", F.explode(F.arrays_zip("vs", "ss")).alias("x")).select("node", F.col("x.vs").alias("v"), F.col("x.ss").alias("s"))
@@ -190,7 +254,7 @@ def _introduce(batches: Iterator) -> Iterator:
         yield pa.RecordBatch.from_arrays(arrays, names=["node", "v", "s"])
 
 
-def neighbour_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, meet: int = MEET, rounds: int = ROUNDS) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, meet: int = MEET, settled: float = SETTLED) -> DataFrame:
     """(node, near): near holds structs with v (a near node), by descending similarity; nodes has node and raw."""
     count = nodes.count()
 
@@ -200,7 +264,10 @@ def neighbour_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, meet: int =
 
     packed = written(nodes.mapInPandas(pack, "node long, packed binary"), "packed")
     graph = written(_lists(first_graph(packed, count, neighbours // 2).withColumn("fresh", F.lit(True)), neighbours), "graph")
-    for n in range(rounds):
+    for n in itertools.count():
+        unmet = graph.agg(F.sum(F.size(F.filter("near", lambda e: e["fresh"]))) / F.sum(F.size("near"))).first()[0]
+        if (unmet or 0) <= settled:
+            break
         least = F.when(F.size("near") < neighbours, F.lit(float("-inf"))).otherwise(F.element_at("near", -1)["s"]).cast("float")
         info = packed.join(graph.select(F.col("node").alias("of"), least.alias("least")), F.col("node") == F.col("of"), "left").select(
             F.col("node").alias("who"), "packed", F.coalesce("least", F.lit(float("-inf")).cast("float")).alias("least")
@@ -222,11 +289,11 @@ def _score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"q": batch["q"], "v": batch["v"], "s": s})
 
 
-def greedy_search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, k: int, beam: int = BEAM, step: int = STEP) -> DataFrame:
+def greedy_search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int = BEAM, step: int = STEP) -> DataFrame:
     """(q, v, s): the nearest nodes found from each node q of queries, `beam` at most, itself included.
 
     Each step looks behind the `step` nearest nodes not looked behind yet, as long
-    as there are such among the 2 * k nearest.
+    as there are such among those kept.
     """
     raw = lambda a, b: nodes.select(F.col("node").alias(a), F.col("raw").alias(b))
     scored = lambda pairs: (
@@ -240,9 +307,9 @@ def greedy_search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, k: int
     start = queries.join(graph, F.col("q") == F.col("node")).select("q", F.explode("near.v").alias("v"))
     begun = scored(start.union(queries.select("q", F.col("q").alias("v"))))
     found = written(keep(begun.withColumn("done", F.col("q") == F.col("v"))), "beam")
-    for _ in range(MAX_STEPS):
+    while True:
         open_ = found.where(~F.col("done"))
-        ahead = open_.withColumn("turn", F.row_number().over(order)).where((F.col("turn") <= step) & (F.col("place") <= 2 * k))
+        ahead = open_.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= step)
         ahead = written(ahead.select("q", "v"), "ahead")
         if ahead.isEmpty():
             break
@@ -270,7 +337,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     of_node = nodes.select(F.sha2("raw", 256).alias("h"), "node")
     asked = written(asked.join(of_node, F.col("hash") == F.col("h")).select("id", F.col("node").alias("q")), "asked")
     graph = neighbour_graph(nodes)
-    found = greedy_search(asked.select("q").distinct(), graph, nodes, k)
+    found = greedy_search(asked.select("q").distinct(), graph, nodes, max(BEAM, 2 * k))
     # the same answer for all rows of a node: one more than k, as each leaves itself out
     per_node = Window.partitionBy("q").orderBy(F.desc("s"), "vec_id")
     answers = (

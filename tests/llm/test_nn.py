@@ -61,3 +61,16 @@ def test_few_and_unusable_vectors(spark, n):
     else:
         wanted = brute(list(range(n)), [v for _, v, _ in rows], 0, 20)
         assert [(r["query_id"], r["rank"], r["vec_id"]) for r in sorted(found, key=lambda r: r["rank"])] == [(0, k + 1, i) for k, (i, _) in enumerate(wanted)]
+
+
+@pytest.mark.parametrize("n", [1_000, 4_000])
+def test_first_graph_where_pivots_are_capped(spark, monkeypatch, n):
+    # cells of many times CELL_SIZE, divided by several tasks (GROUP_SIZE) and within one
+    for name, value in (("PIVOTS", 4), ("CELLS", 3), ("CELL_SIZE", 60), ("GROUP_SIZE", 400), ("FAN", 8)):
+        monkeypatch.setattr(nn, name, value, raising=False)
+    x = np.random.default_rng(5).normal(size=(n, 5))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    nodes = spark.createDataFrame([(i, bytearray(nn._packed(v))) for i, v in enumerate(x)], "node long, packed binary")
+    found = nn.first_graph(nodes, n, 20).select("node", "v").distinct().toPandas().groupby("node")["v"].agg(set)
+    near = np.argsort(-(x @ x.T), axis=1)[:, 1:11]
+    assert sum(len(found[i] & set(near[i])) for i in range(n)) / (10 * n) >= 0.75
