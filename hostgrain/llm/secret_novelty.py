@@ -3,13 +3,18 @@
 Patterns give the base spans. Other strings that stand in a sensitive context
 are measured: how many bytes do they add to a zstandard frame whose dictionary
 is the surrounding text and a list of common identifiers? Words, names and
-repetitions compress against it; a random key does not and is reported.
+repetitions compress against it; a random key does not and is reported. The
+measure is what a random string of that length over the same alphabet would add,
+as the entropy coder shortens any long string over few characters.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import string
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import zstandard
@@ -49,6 +54,11 @@ IDENTIFIERS = (
     "variable version https:// http:// www. .com .org 0123456789 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ "
     "changeme your_api_key your-token-here xxxxxxxxxxxxxxxx 0000000000000000 1234567890"
 ).encode()
+_DIGITS, _LOWER, _UPPER = string.digits, string.ascii_lowercase, string.ascii_uppercase
+_ALPHABETS = (
+    _DIGITS, _DIGITS + "abcdef", _DIGITS + "ABCDEF", _LOWER, _UPPER, _UPPER + "234567", _DIGITS + _LOWER, _DIGITS + _UPPER,
+    _LOWER + _UPPER, _DIGITS + _LOWER + _UPPER,
+)
 CONTEXT = 256
 MIN_RATIO = 0.8
 MIN_CLASSES = 2
@@ -77,10 +87,29 @@ def marginal_bytes(candidate: str, context: str) -> int:
     return len(compressor.compress(candidate.encode("utf-8", "replace"))) - len(compressor.compress(b""))
 
 
+def alphabet(s: str) -> str:
+    """The characters that a string like s is drawn from: the smallest usual set with its letters and digits, and its marks."""
+    own = {c for c in s if c.isalnum()}
+    least = next((a for a in _ALPHABETS if own <= set(a)), "")
+    return least + "".join(sorted(set(s) - set(least)))
+
+
+@lru_cache(maxsize=4096)
+def random_bytes(length: int, characters: str) -> int:
+    """What a random string of that length over the characters adds."""
+    return marginal_bytes("".join(random.Random(length).choices(characters, k=length)), "")
+
+
 def _classes(s: str) -> int:
     return sum(bool(re.search(p, s)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[+/=_~-]"))
 
 
+def is_novel(candidate: str, near: str, min_ratio: float = MIN_RATIO) -> bool:
+    """Whether the candidate adds about as many bytes as a random string would."""
+    added = marginal_bytes(candidate, near)
+    return added >= min_ratio * len(candidate) or added >= min_ratio * random_bytes(len(candidate), alphabet(candidate))
+
+
 def novel_spans(text: str, base: list[Span], min_ratio: float = MIN_RATIO, context: int = CONTEXT) -> list[Span]:
     """Strings right after a sensitive cue that hardly compress against their surroundings and overlap no base span."""
     out: list[Span] = []
@@ -96,7 +125,7 @@ def novel_spans(text: str, base: list[Span], min_ratio: float = MIN_RATIO, conte
                 continue
             candidate = text[start:end]
             near = text[max(0, start - context) : start] + "\n" + text[end : end + context]
-            if marginal_bytes(candidate, near) >= min_ratio * len(candidate):
+            if is_novel(candidate, near, min_ratio):
                 out.append(("novel", start, end))
     return out
 

@@ -82,3 +82,18 @@ def test_odd_rows(messy, nothing):
     for find in (secrets.find_secrets, pii.find_personal_data):
         assert find(messy).count() == messy.count() and find(nothing).count() == 0
         assert all(r["spans"] == [] for r in find(messy.where("text is null")).collect())
+
+
+def test_random_strings_of_any_length_are_novel():
+    import random
+    import string
+
+    draw = random.Random(1)
+    alphabets = ("0123456789ABCDEF", "0123456789abcdef-", string.ascii_lowercase + string.digits, string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "-_")
+    for letters in alphabets:
+        for n in (16, 40, 64, 128, 200, 700, 1000, 2000):
+            key = "".join(draw.choices(letters, k=n - 2)) + letters[-5] + "7"
+            text = f"signing_key: {key}\n"
+            assert [text[a:b] for _, a, b in secrets.novel_spans(text, [])] == [key], (letters, n)
+    for text in ("session key = " + "hello-1-" * 40, "api key = " + "0" * 60 + "A1"):
+        assert not secrets.novel_spans(text, [])
