@@ -35,9 +35,16 @@ CUES = (
     "access", "account", "api", "auth", "bearer", "cert", "client", "credential", "key", "login", "passphrase",
     "passwd", "password", "private", "pwd", "salt", "secret", "session", "signature", "token",
 )
-#: Where a value may begin; the text before such a mark is then searched for a cue.
-_MARK = re.compile(r"[:=]|[Bb]earer\x20|-----BEGIN")
-_CUE = re.compile(rf"(?<![a-z])(?:{'|'.join(CUES)})s?[\w.-]{{0,16}}[\"'\]]?\x20*$", re.IGNORECASE | re.ASCII)
+_ANY_CUE = "|".join(CUES)
+#: Where a value may begin; the text before a single character is then searched for a cue. A cue alone is a mark, too.
+_MARK = re.compile(rf"[:=]|bearer\x20|-----BEGIN[A-Z0-9\x20]*(?:-----)?|(?<![a-z])(?:{_ANY_CUE})s?(?![a-z])", re.IGNORECASE | re.ASCII)
+#: A cue begins a word or, with a capital, a part of a camel-case name.
+_CUE = re.compile(
+    rf"(?:(?<![A-Za-z])(?i:{_ANY_CUE})|(?<=[a-z0-9])(?:{'|'.join(c.capitalize() for c in CUES)}))s?[\w.-]{{0,16}}[\"'\]]?\x20*$", re.ASCII
+)
+_END = re.compile(r"-----END|\Z")
+#: The last line of a block.
+_REST = re.compile(r"\s*([A-Za-z0-9+/=]+)\s*\Z", re.ASCII)
 _TOKEN = re.compile(r"[A-Za-z0-9+/_=~.-]{12,}")
 #: Common identifiers of code, beside which a candidate is no news.
 IDENTIFIERS = (
@@ -59,9 +66,13 @@ _ALPHABETS = (
     _DIGITS, _DIGITS + "abcdef", _DIGITS + "ABCDEF", _LOWER, _UPPER, _UPPER + "234567", _DIGITS + _LOWER, _DIGITS + _UPPER,
     _LOWER + _UPPER, _DIGITS + _LOWER + _UPPER,
 )
+_PAIRS = frozenset(a + b for w in re.findall("[a-z]+", IDENTIFIERS.decode().lower().replace(_LOWER, "")) for a, b in zip(w, w[1:]))
 CONTEXT = 256
+#: How far from a cue without a mark a value may begin.
+NEAR = 48
 MIN_RATIO = 0.8
-MIN_CLASSES = 2
+#: Letters only: at a larger share of letter pairs that identifiers have, too, a string is made of words.
+WORD_PAIRS = 0.65
 
 
 def base_spans(text: str) -> list[Span]:
@@ -100,8 +111,13 @@ def random_bytes(length: int, characters: str) -> int:
     return marginal_bytes("".join(random.Random(length).choices(characters, k=length)), "")
 
 
-def _classes(s: str) -> int:
-    return sum(bool(re.search(p, s)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[+/=_~-]"))
+def wordlike(s: str) -> bool:
+    """Whether a string without digits is made of words: a dozen letters of a rare word don't compress."""
+    if any(map(str.isdigit, s)):
+        return False
+    pairs = [p for w in re.findall("[A-Z]+(?![a-z])|[A-Z]?[a-z]+", s) for p in map("".join, zip(w.lower(), w.lower()[1:]))]
+    # parts of one letter or two, as of random case, hold few pairs
+    return len(pairs) * 2 >= len(s) and sum(p in _PAIRS for p in pairs) > WORD_PAIRS * len(pairs)
 
 
 def is_novel(candidate: str, near: str, min_ratio: float = MIN_RATIO) -> bool:
@@ -111,22 +127,36 @@ def is_novel(candidate: str, near: str, min_ratio: float = MIN_RATIO) -> bool:
 
 
 def novel_spans(text: str, base: list[Span], min_ratio: float = MIN_RATIO, context: int = CONTEXT) -> list[Span]:
-    """Strings right after a sensitive cue that hardly compress against their surroundings and overlap no base span."""
+    """Strings behind a sensitive cue that hardly compress against their surroundings and overlap no base span.
+
+    Behind a mark, strings begin within `context` characters, behind a cue alone within
+    NEAR; behind BEGIN, up to END, every line counts, and the last one however short.
+    """
     out: list[Span] = []
     at = 0
     for mark in _MARK.finditer(text):
-        if mark.start() < at or len(mark[0]) == 1 and not _CUE.search(text, max(0, mark.start() - 48), mark.start()):
+        if len(mark[0]) == 1 and not _CUE.search(text, max(0, mark.start() - 48), mark.start()):
             continue
-        for m in _TOKEN.finditer(text, max(at, mark.end()), min(len(text), mark.end() + context)):
+        block = mark[0].startswith("-----")
+        if block:
+            stop = limit = _END.search(text, mark.end()).start()
+        else:
+            stop, limit = min(len(text), mark.end() + (context if mark[0][-1] in ":= " else NEAR)), len(text)
+        last = None
+        for m in _TOKEN.finditer(text, max(at, mark.end()), max(at, stop)):
             # the match may have been cut by the search's end: take the whole run
-            start, end = m.start(), _TOKEN.match(text, m.start()).end()
-            at = end
-            if any(a < end and start < b for _, a, b in base) or _classes(m[0]) < MIN_CLASSES or not re.search("[0-9]", m[0]):
-                continue
+            start, end = m.start(), _TOKEN.match(text, m.start(), limit).end()
+            at, last = end, None
             candidate = text[start:end]
+            if any(a < end and start < b for _, a, b in base) or wordlike(candidate):
+                continue
             near = text[max(0, start - context) : start] + "\n" + text[end : end + context]
             if is_novel(candidate, near, min_ratio):
                 out.append(("novel", start, end))
+                last = end
+        if block and last is not None and (rest := _REST.match(text, last, limit)):
+            out.append(("novel", *rest.span(1)))
+            at = rest.end(1)
     return out
 
 
