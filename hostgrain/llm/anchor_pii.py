@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from hostgrain.llm.spans import Span, span_columns
 from hostgrain.llm.storage import table
 
-KINDS = ("email", "ip", "card", "phone", "login", "account")
+KINDS = ("email", "ip", "card", "phone", "login", "account", "tel")
 BASE = KINDS[:4]
 _DIGITS = frozenset(string.digits)
 _ALNUM = frozenset(string.ascii_letters + string.digits)
@@ -28,7 +28,19 @@ _LOCAL = _ALNUM | frozenset("._%+-")
 _LABEL = _ALNUM | frozenset("-")
 _PHONE = _DIGITS | frozenset(" ().-")
 SCHEMES = ("http://", "https://", "ftp://", "ssh://", "mailto:", "sip:", "tel:")
-CUES = ("IBAN", "iban", "account", "Account", "acct", "SSN", "ssn", "passport", "Passport", "customer no", "Customer no")
+CUES = ("iban", "account", "acct", "ssn", "passport", "customer no", "customer number")
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FO FI GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL OM SO", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+_ASCII_LOWER = {ord(c): c.lower() for c in string.ascii_uppercase}
 
 
 @lru_cache(maxsize=1)
@@ -87,15 +99,38 @@ def iban(value: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def _iban(text: str, at: int) -> int | None:
+    """The end of an account number with country letters at `at`, in groups or not, whose length and check digits are right."""
+    length = IBAN_LENGTHS.get(text[at : at + 2].upper())
+    if length is None or text[at : at + 2] not in (text[at : at + 2].upper(), text[at : at + 2].lower()) or not _DIGITS.issuperset(text[at + 2 : at + 4]):
+        return None
+    value, end = "", at
+    while len(value) < length:
+        if end < len(text) and text[end] in _ALNUM:
+            value += text[end]
+            end += 1
+        elif end + 1 < len(text) and text[end] in " -" and text[end + 1] in _ALNUM:
+            end += 1
+        else:
+            return None
+    if end < len(text) and text[end] in _ALNUM:
+        return None
+    return end if iban(value.upper()) else None
+
+
 def _account(text: str, at: int) -> tuple[int, int] | None:
-    """The bounds of an account number behind a cue that ends at `at`: 6 to 34 letters or digits, 5 digits at least."""
+    """The bounds of an account number behind a cue that ends at `at`: an IBAN, or 6 to 34 letters or digits, 5 digits at least."""
     while at < len(text) and text[at] in " :=#.\t":
         at += 1
+    if (end := _iban(text, at)) is not None:
+        return at, end
     for word in ("number", "no", "nr"):
-        if text[at : at + len(word)].lower() == word:
+        if text[at : at + len(word)].lower() == word and text[at + len(word) : at + len(word) + 1] not in _ALNUM:
             at += len(word)
             while at < len(text) and text[at] in " :=#.\t":
                 at += 1
+            if (end := _iban(text, at)) is not None:
+                return at, end
     end = _run(text, at, _ALNUM)
     while end < len(text) - 1 and text[end] in " -" and text[end + 1] in _DIGITS:
         end = _run(text, end + 1, _ALNUM)
@@ -111,7 +146,10 @@ def find_spans(text: str) -> list[Span]:
     """All spans of one text."""
     out: list[Span] = []
     done = dict.fromkeys((*KINDS, "run", "chain"), 0)  # up to where each parser has read
-    for last, (kind, width) in _automaton().iter(text):
+    lowered = text.lower()  # schemes and cues count in any case
+    if len(lowered) != len(text):
+        lowered = text.translate(_ASCII_LOWER)
+    for last, (kind, width) in _automaton().iter(lowered):
         start, end = last - width + 1, last + 1
         if kind == "digit" and start >= done["run"]:
             # digits with at most one space or hyphen between them
@@ -156,9 +194,17 @@ def find_spans(text: str) -> list[Span]:
                 if 10 <= sum(c in _DIGITS for c in text[start:stop]) <= 15:
                     out.append(("phone", start, stop))
         elif kind == "scheme" and start >= done["login"] and (not start or text[start - 1] not in _ALNUM):
-            # name or name:password before the host of an address
+            # name or name:password before the host of an address, that of mail and calls included
+            if lowered[start:end] == "tel:" and text[end : end + 1] != "+":  # one with a plus sign is of kind phone
+                stop = _run(text, end, _PHONE)
+                while stop > end and text[stop - 1] not in _DIGITS:
+                    stop -= 1
+                if 3 <= sum(c in _DIGITS for c in text[end:stop]) <= 15:
+                    out.append(("tel", end, stop))
+                    done["login"] = stop
+                continue
             stop = _run(text, end, _LOCAL | {":"})
-            if stop > end and stop < len(text) and text[stop] == "@" and text[end - 1] == "/":
+            if stop > end and stop < len(text) and text[stop] == "@":
                 host = _host(text, stop + 1) or _run(text, stop + 1, _LABEL)
                 if host > stop + 1:
                     out.append(("login", start, host))

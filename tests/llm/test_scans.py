@@ -114,3 +114,16 @@ def test_every_candidate_near_a_cue_is_measured():
             assert found(text.format(value)) == [value], (text, value)
     for words in ("login: AuthenticationProvider", "key: Donaudampfschiff", "the account of Zusammenarbeit", "monkey = aB3xZ9qLmN8vT2kY", "client: my-service-account-name"):
         assert not found(words), words
+
+
+def test_account_numbers_in_groups_and_calls():
+    of = lambda t: [(k, t[a:b]) for k, a, b in pii.find_spans(t)]
+    for number in ("GB29 NWBK 6016 1331 9268 19", "NL91 ABNA 0417 1643 00", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "NO93 8601 1117 947", "GB29NWBK60161331926819"):
+        for cue in ("IBAN: ", "iban ", "Iban no. ", "ACCOUNT NUMBER: "):
+            assert [v for k, v in of(f"{cue}{number}. More") if k == "account"] == [number], (cue, number)
+        wrong = number[:-1] + str((int(number[-1]) + 1) % 10) if number[-1].isdigit() else number.replace("2345", "2346")
+        assert not [x for x in of(f"IBAN {wrong}.") if x[0] == "account"], wrong
+    for text in ("ACCT 12345678", "Ssn: 12345678", "PASSPORT NO 12345678", "customer number 12345678"):
+        assert ("account", "12345678") in of(text)
+    assert ("tel", "020 7946-0958") in of("tel:020 7946-0958;") and ("login", "sip:alice@pbx") in of("sip:alice@pbx")
+    assert ("login", "mailto:bob@localhost") in of("mailto:bob@localhost") and not of("mailto: none")
