@@ -100,3 +100,9 @@ def test_toxicity_of_odd_rows(spark, messy, nothing):
 
 def test_query_over_the_whole_table(spark, documents):
     assert chain.op9(spark, SMALL).count() == documents.count()
+
+
+def test_share_of_letters_is_that_of_the_whole_text():
+    from hostgrain.llm.toxic_chain import shape
+
+    assert shape("1aaaaaa" * 3)[2] == 6 / 7 and shape("1ab")[2] == 2 / 3 and shape("")[2] == 0
