@@ -418,4 +418,4 @@ def _backfill(spark, d):
 
 @_query("reprocess_window", f"WITH {sql.gold_with(4, 4, 3)} SELECT * FROM gold")
 def _reprocess(spark, d):
-    return jobs.reprocess_window(*_lake(spark, d, 2, 4), 4, 3, CREATED)
+    return jobs.reprocess_window(*_lake(spark, d, 0, 29), 4, 3, CREATED)

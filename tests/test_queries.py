@@ -39,3 +39,13 @@ def test_entry_has_the_contract_columns(spark):
     from hostgrain.operators.contract import COLUMNS
 
     assert tuple(__spark_entry__.entry(spark).columns) == COLUMNS
+
+
+def test_reprocess_selects_its_days_of_a_full_landing(monkeypatch):
+    from hostgrain.queries import registry
+
+    landed = []
+    monkeypatch.setattr(registry, "_lake", lambda spark, d, first, last: landed.append((first, last)) or (None, None))
+    monkeypatch.setattr(registry.jobs, "reprocess_window", lambda *_: None)
+    registry._reprocess(None, None)
+    assert landed == [(0, 29)]
