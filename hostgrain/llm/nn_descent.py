@@ -12,11 +12,13 @@ behind all of these.
 
 While the graph is built, vectors travel as 8-bit components with a scale; cells
 go by direction, neighbours by inner product, so a node's own list holds what a
-query for it looks for. Search scores the original vectors in double precision.
+query for it looks for. What the search finds is scored on the original vectors in
+double precision.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 
@@ -30,25 +32,25 @@ from hostgrain.llm.storage import table, written
 
 #: Neighbours of a node in the graph, and how many of each sort meet at a node in a round.
 NEIGHBOURS = 40
-MEET = 20
+MEET = 24
 #: Rounds end when a smaller share of the entries in all lists is still to be met.
-SETTLED = 0.02
+SETTLED = 0.05
 #: Pivots of the first cells (a bounded sample), cells for each node, and nodes compared at once, at most.
 PIVOTS = 1024
 CELLS = 10
-CELL_SIZE = 800
+CELL_SIZE = 2_000
 #: Nodes of a cell that one task divides, at most, and pivots of a larger cell, which tasks divide together.
 GROUP_SIZE = 16_384
 FAN = 64
 #: Candidates that a member of a meeting takes from it, at most: its nearest ones; it meets others elsewhere.
-OFFERS = 6
+OFFERS = 8
 #: Nodes that a query keeps, and how many it looks behind in a step.
-BEAM = 80
-STEP = 20
+BEAM = 240
+STEP = 40
 
 
-def _valid(v, size: int) -> np.ndarray | None:
-    if v is None or len(v) != size or any(x is None for x in v):
+def _valid(v) -> np.ndarray | None:
+    if v is None or any(x is None for x in v):
         return None
     out = np.asarray(v, dtype=np.float64)
     return out if np.isfinite(out).all() and out.any() else None
@@ -57,16 +59,13 @@ def _valid(v, size: int) -> np.ndarray | None:
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """id and raw (components as doubles) of the vectors that take part.
 
-    Left out are null ids, null or zero vectors, such with null or non-finite
-    components, and those whose dimension isn't the most frequent one.
+    Left out are null ids, and null or zero vectors and such with null or non-finite components.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("id is not null and v is not null")
-    common = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    size = common[0]["d"] if common else 0
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [_valid(v, size) for v in batch["v"]]
+            found = [_valid(v) for v in batch["v"]]
             keep = np.array([f is not None for f in found], bool)
             raw = [(f + 0.0).tobytes() for f in found if f is not None]  # + 0.0: -0 becomes 0
             yield pd.DataFrame({"id": batch["id"][keep], "raw": pd.Series(raw, dtype=object, index=batch["id"][keep].index)})
@@ -254,15 +253,19 @@ def _introduce(batches: Iterator) -> Iterator:
         yield pa.RecordBatch.from_arrays(arrays, names=["node", "v", "s"])
 
 
-def neighbour_graph(nodes: DataFrame, neighbours: int = NEIGHBOURS, meet: int = MEET, settled: float = SETTLED) -> DataFrame:
-    """(node, near): near holds structs with v (a near node), by descending similarity; nodes has node and raw."""
-    count = nodes.count()
+def packed_nodes(nodes: DataFrame) -> DataFrame:
+    """(node, packed): the vectors of nodes (node, raw) in 8-bit components."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"node": batch["node"], "packed": [_packed(np.frombuffer(raw, np.float64)) for raw in batch["raw"]]})
 
-    packed = written(nodes.mapInPandas(pack, "node long, packed binary"), "packed")
+    return written(nodes.mapInPandas(pack, "node long, packed binary"), "packed")
+
+
+def neighbour_graph(packed: DataFrame, neighbours: int = NEIGHBOURS, meet: int = MEET, settled: float = SETTLED) -> DataFrame:
+    """(node, near): near holds structs with v (a near node), by descending similarity; packed has node and packed."""
+    count = packed.count()
     graph = written(_lists(first_graph(packed, count, neighbours // 2).withColumn("fresh", F.lit(True)), neighbours), "graph")
     for n in itertools.count():
         unmet = graph.agg(F.sum(F.size(F.filter("near", lambda e: e["fresh"]))) / F.sum(F.size("near"))).first()[0]
@@ -289,36 +292,98 @@ def _score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"q": batch["q"], "v": batch["v"], "s": s})
 
 
-def greedy_search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int = BEAM, step: int = STEP) -> DataFrame:
-    """(q, v, s): the nearest nodes found from each node q of queries, `beam` at most, itself included.
+def exact_scores(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(q, v, s): the inner products of the pairs (q, v) of nodes, in double precision."""
+    raw = lambda a, b: nodes.select(F.col("node").alias(a), F.col("raw").alias(b))
+    joined = pairs.join(raw("vn", "v_raw"), F.col("v") == F.col("vn")).join(raw("qn", "q_raw"), F.col("q") == F.col("qn"))
+    return joined.select("q", "v", "q_raw", "v_raw").mapInPandas(_score, "q long, v long, s double")
+
+
+def _look_behind(batches: Iterator) -> Iterator:
+    """For each row (q, mine, least, vs, theirs): the nodes vs that are nearer to q than `least`."""
+    import pyarrow as pa
+
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            q, mine, least, vs, theirs = batch.slice(at, 1000).columns
+            rows = np.repeat(np.arange(len(q)), np.diff(vs.offsets.to_numpy()))
+            own, near = _unpacked(mine.to_pylist()), _unpacked(theirs.flatten().to_pylist())
+            s = np.einsum("ij,ij->i", own[rows], near)
+            keep = s > least.to_numpy()[rows]
+            arrays = [pa.array(q.to_numpy()[rows][keep]), pa.array(vs.flatten().to_numpy()[keep]), pa.array(s[keep].astype(np.float32))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["q", "v", "s"])
+
+
+def search_graph(graph: DataFrame, packed: DataFrame) -> DataFrame:
+    """(of, vs, theirs): each node's neighbours and their packed vectors."""
+    edges = graph.select("node", F.explode("near.v").alias("v"))
+    joined = edges.join(packed.select(F.col("node").alias("vn"), "packed"), F.col("v") == F.col("vn"))
+    lists = joined.groupBy(F.col("node").alias("of")).agg(F.collect_list(F.struct("v", "packed")).alias("near"))
+    return lists.select("of", F.col("near.v").alias("vs"), F.col("near.packed").alias("theirs"))
+
+
+def greedy_search(queries: DataFrame, graph: DataFrame, packed: DataFrame, beam: int = BEAM, step: int = STEP) -> DataFrame:
+    """(q, v, s): the nearest nodes found from each node q of queries, `beam` at most, itself included; s by packed vectors.
 
     Each step looks behind the `step` nearest nodes not looked behind yet, as long
-    as there are such among those kept.
+    as there are such among those kept. What is behind a node is scored where the
+    node's list is, and only what is nearer than the farthest node kept travels back.
     """
-    raw = lambda a, b: nodes.select(F.col("node").alias(a), F.col("raw").alias(b))
-    scored = lambda pairs: (
-        pairs.join(raw("vn", "v_raw"), F.col("v") == F.col("vn"))
-        .join(raw("qn", "q_raw"), F.col("q") == F.col("qn"))
-        .select("q", "v", "q_raw", "v_raw")
-        .mapInPandas(_score, "q long, v long, s double")
-    )
-    order = Window.partitionBy("q").orderBy(F.desc("s"), "v")
-    keep = lambda rows: rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= beam)
-    start = queries.join(graph, F.col("q") == F.col("node")).select("q", F.explode("near.v").alias("v"))
-    begun = scored(start.union(queries.select("q", F.col("q").alias("v"))))
-    found = written(keep(begun.withColumn("done", F.col("q") == F.col("v"))), "beam")
+    behind = written(search_graph(graph, packed), "search-graph")
+    mine = written(packed.join(queries, F.col("node") == F.col("q"), "left_semi").select(F.col("node").alias("qn"), F.col("packed").alias("mine")), "asking")
+    order, whole = Window.partitionBy("q").orderBy(F.desc("s"), "v"), Window.partitionBy("q")
+
+    def keep(rows: DataFrame) -> DataFrame:
+        best = rows.groupBy("q", "v").agg(F.max("s").alias("s"), F.max("done").alias("done"))
+        kept = best.withColumn("place", F.row_number().over(order)).where(F.col("place") <= beam)
+        full = F.max("place").over(whole) == beam
+        turn = F.sum(F.when(F.col("done"), 0).otherwise(1)).over(order)
+        return kept.withColumns(
+            {"now": ~F.col("done") & (turn <= step), "least": F.when(full, F.min("s").over(whole)).otherwise(F.lit(float("-inf"))).cast("float")}
+        )
+
+    lists = queries.join(graph, F.col("q") == F.col("node")).select("q", F.explode("near").alias("e"))
+    start = lists.select("q", F.col("e.v").alias("v"), F.col("e.s").alias("s"), F.lit(False).alias("done"))
+    own = queries.select("q", F.col("q").alias("v"), F.lit(float("inf")).cast("float").alias("s"), F.lit(True).alias("done"))
+    found = written(keep(start.union(own)), "beam")
     while True:
-        open_ = found.where(~F.col("done"))
-        ahead = open_.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= step)
-        ahead = written(ahead.select("q", "v"), "ahead")
+        ahead = found.where("now")
         if ahead.isEmpty():
-            break
-        behind = ahead.join(graph, F.col("v") == F.col("node")).select("q", F.explode("near.v").alias("v")).distinct()
-        new = behind.join(found.select("q", "v"), ["q", "v"], "left_anti")
-        looked = ahead.withColumn("now", F.lit(True))
-        marked = found.drop("place").join(looked, ["q", "v"], "left").select("q", "v", "s", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
-        found = written(keep(marked.union(scored(new).withColumn("done", F.lit(False)))), "beam")
-    return found.select("q", "v", "s")
+            return found.select("q", "v", "s")
+        joined = ahead.join(mine, F.col("q") == F.col("qn")).join(behind, F.col("v") == F.col("of"))
+        new = joined.select("q", "mine", "least", "vs", "theirs").mapInArrow(_look_behind, "q long, v long, s float").withColumn("done", F.lit(False))
+        looked = found.select("q", "v", "s", (F.col("done") | F.col("now")).alias("done"))
+        found = written(keep(looked.union(new)), "beam")
+
+
+def _near_nodes(nodes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(q, v, s): the nearest nodes found of each q, among those of its dimension, itself included.
+
+    A graph for each dimension; dimensions of CELL_SIZE nodes at most are compared
+    as a whole, all of them in one job.
+    """
+    of = (F.octet_length("raw") / 8).cast("int").alias("d")
+    sizes = nodes.groupBy(of).count().orderBy(F.desc("count"), "d").collect()  # a row for each dimension
+    large = [r["d"] for i, r in enumerate(sizes) if not i or r["count"] > CELL_SIZE]
+    parts = []
+    for d in large:
+        own = nodes.where(F.octet_length("raw") == 8 * d)
+        packed = packed_nodes(own)
+        ask = queries.join(packed.select("node"), F.col("q") == F.col("node"), "left_semi")
+        found = greedy_search(ask, neighbour_graph(packed), packed, max(BEAM, 4 * k))
+        order = Window.partitionBy("q").orderBy(F.desc("s"), "v")
+        pairs = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 3 * (k + 1)).select("q", "v")
+        parts.append(exact_scores(written(pairs, "pairs"), own))
+    if len(large) < len(sizes):
+        rest = nodes.select("node", "raw", of).where(~F.col("d").isin(large)).join(queries, F.col("node") == F.col("q"), "left")
+
+        def compare(group: pd.DataFrame) -> pd.DataFrame:
+            x, ids, asks = _doubles(group["raw"]), group["node"].to_numpy(), group["q"].notna().to_numpy()
+            s = x[asks] @ x.T
+            return pd.DataFrame({"q": np.repeat(ids[asks], len(ids)), "v": np.tile(ids, asks.sum()), "s": s.ravel()})
+
+        parts.append(rest.groupBy("d").applyInPandas(compare, "q long, v long, s double"))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -326,8 +391,10 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
 
     Nearness is the inner product; ties go to the smaller id; a row isn't its own
     neighbour, equal vectors of other rows are. Rows that repeat id and vector count
-    once. Rows without a usable vector (see usable()) neither ask nor answer.
-    Fewer than k candidates: all of them. An empty table gives no rows.
+    once; one id with two vectors is two rows of that id. Rows without a usable vector
+    (see usable()) neither ask nor answer, and vectors only meet those of their own
+    dimension. Fewer than k candidates: all of them. An empty table gives no rows.
+    Other columns are ignored, whatever their names.
     """
     rows = written(usable(vectors, id_col, vector_col), "usable")
     if rows.isEmpty():
@@ -336,8 +403,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     asked = rows.where(is_query(F.col("id"))).select("id", F.sha2("raw", 256).alias("hash")).distinct()
     of_node = nodes.select(F.sha2("raw", 256).alias("h"), "node")
     asked = written(asked.join(of_node, F.col("hash") == F.col("h")).select("id", F.col("node").alias("q")), "asked")
-    graph = neighbour_graph(nodes)
-    found = greedy_search(asked.select("q").distinct(), graph, nodes, max(BEAM, 2 * k))
+    queries = written(asked.select("q").distinct(), "queries")
+    found = written(_near_nodes(nodes, queries, k), "found")
     # the same answer for all rows of a node: one more than k, as each leaves itself out
     per_node = Window.partitionBy("q").orderBy(F.desc("s"), "vec_id")
     answers = (

@@ -74,3 +74,33 @@ def test_first_graph_where_pivots_are_capped(spark, monkeypatch, n):
     found = nn.first_graph(nodes, n, 20).select("node", "v").distinct().toPandas().groupby("node")["v"].agg(set)
     near = np.argsort(-(x @ x.T), axis=1)[:, 1:11]
     assert sum(len(found[i] & set(near[i])) for i in range(n)) / (10 * n) >= 0.75
+
+
+def recall(found, x, queries, k=20):
+    hits = 0
+    for q in queries:
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(set(found.get(q, ())) & set(np.argpartition(-s, k)[:k].tolist()))
+    return hits / (k * len(queries))
+
+
+def test_recall_where_cells_are_cut(spark, monkeypatch):
+    # as many vectors as the first graph of the default settings compares in parts, and fewer pivots than it asks for
+    monkeypatch.setattr(nn, "PIVOTS", 32)
+    x = np.random.default_rng(6).normal(size=(20_000, 64)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = nn.nearest(df, lambda c: c % 20 == 0).toPandas().groupby("query_id")["vec_id"].agg(list)
+    assert recall(found, x.astype(np.float64), range(0, len(x), 20)) >= 0.9
+
+
+def test_each_dimension_has_neighbours_of_its_own(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=(6, 6, 6, 3, 9)[i % 5]).tolist()) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nn.nearest(df, lambda c: c % 4 == 0).toPandas()
+    for q in range(0, 100, 4):
+        same = [i for i, v in rows if len(v) == len(rows[q][1])]
+        wanted = brute(same, [rows[i][1] for i in same], q, 20)
+        assert found[found["query_id"] == q].sort_values("rank")["vec_id"].tolist() == [i for i, _ in wanted]
