@@ -26,6 +26,7 @@ _DIGITS = frozenset(string.digits)
 _ALNUM = frozenset(string.ascii_letters + string.digits)
 _LOCAL = _ALNUM | frozenset("._%+-")
 _LABEL = _ALNUM | frozenset("-")
+_NAME = _LOCAL | frozenset(":")
 _PHONE = _DIGITS | frozenset(" ().-")
 SCHEMES = ("http://", "https://", "ftp://", "ssh://", "mailto:", "sip:", "tel:")
 CUES = ("iban", "account", "acct", "ssn", "passport", "customer no", "customer number")
@@ -145,7 +146,7 @@ def _account(text: str, at: int) -> tuple[int, int] | None:
 def find_spans(text: str) -> list[Span]:
     """All spans of one text."""
     out: list[Span] = []
-    done = dict.fromkeys((*KINDS, "run", "chain"), 0)  # up to where each parser has read
+    done = dict.fromkeys((*KINDS, "run", "chain", "name"), 0)  # up to where each parser has read
     lowered = text.lower()  # schemes and cues count in any case
     if len(lowered) != len(text):
         lowered = text.translate(_ASCII_LOWER)
@@ -203,7 +204,9 @@ def find_spans(text: str) -> list[Span]:
                     out.append(("tel", end, stop))
                     done["login"] = stop
                 continue
-            stop = _run(text, end, _LOCAL | {":"})
+            if end <= done["name"]:  # within a name that was read and led to no host
+                continue
+            done["name"] = stop = _run(text, end, _NAME)
             if stop > end and stop < len(text) and text[stop] == "@":
                 host = _host(text, stop + 1) or _run(text, stop + 1, _LABEL)
                 if host > stop + 1:

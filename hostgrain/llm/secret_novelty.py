@@ -10,9 +10,11 @@ as the entropy coder shortens any long string over few characters.
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 import string
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -126,20 +128,27 @@ def is_novel(candidate: str, near: str, min_ratio: float = MIN_RATIO) -> bool:
     return added >= min_ratio * len(candidate) or added >= min_ratio * random_bytes(len(candidate), alphabet(candidate))
 
 
-def novel_spans(text: str, base: list[Span], min_ratio: float = MIN_RATIO, context: int = CONTEXT) -> list[Span]:
+def novel_spans(text: str, base: list[Span], min_ratio: float = MIN_RATIO, context: int = CONTEXT, words: bool = False) -> list[Span]:
     """Strings behind a sensitive cue that hardly compress against their surroundings and overlap no base span.
 
     Behind a mark, strings begin within `context` characters, behind a cue alone within
     NEAR; behind BEGIN, up to END, every line counts, and the last one however short.
+    Every such string is measured; words: report also those made of words (wordlike()).
     """
     out: list[Span] = []
-    at = 0
+    at = end_of_block = 0
+    starts, reach = [], []
+    if base:
+        spans = sorted((a, b) for _, a, b in base)
+        starts, reach = [a for a, _ in spans], list(itertools.accumulate((b for _, b in spans), max))
     for mark in _MARK.finditer(text):
         if len(mark[0]) == 1 and not _CUE.search(text, max(0, mark.start() - 48), mark.start()):
             continue
         block = mark[0].startswith("-----")
         if block:
-            stop = limit = _END.search(text, mark.end()).start()
+            if mark.end() > end_of_block:
+                end_of_block = _END.search(text, mark.end()).start()
+            stop = limit = max(mark.end(), end_of_block)
         else:
             stop, limit = min(len(text), mark.end() + (context if mark[0][-1] in ":= " else NEAR)), len(text)
         last = None
@@ -148,21 +157,25 @@ def novel_spans(text: str, base: list[Span], min_ratio: float = MIN_RATIO, conte
             start, end = m.start(), _TOKEN.match(text, m.start(), limit).end()
             at, last = end, None
             candidate = text[start:end]
-            if any(a < end and start < b for _, a, b in base) or wordlike(candidate):
+            before = bisect_left(starts, end)
+            if before and reach[before - 1] > start:
                 continue
             near = text[max(0, start - context) : start] + "\n" + text[end : end + context]
-            if is_novel(candidate, near, min_ratio):
+            if is_novel(candidate, near, min_ratio) and (words or not wordlike(candidate)):
                 out.append(("novel", start, end))
                 last = end
         if block and last is not None and (rest := _REST.match(text, last, limit)):
             out.append(("novel", *rest.span(1)))
-            at = rest.end(1)
+        if block:
+            at = max(at, stop)
     return out
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_ratio: float = MIN_RATIO) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_ratio: float = MIN_RATIO, words: bool = False) -> DataFrame:
     """One row per input row: doc_id and spans, an array of (kind, start, end, value).
 
+    min_ratio and words as in novel_spans(); the time taken grows with the length of a text.
+
     Null and empty texts have no spans. Rows are taken one by one: repeated rows
     and null ids give a row each. Other columns are ignored.
     """
@@ -173,7 +186,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             for text in batch.pop("text"):
                 text = text or ""
                 base = base_spans(text)
-                found = base + novel_spans(text, base, min_ratio)
+                found = base + novel_spans(text, base, min_ratio, words=words)
                 rows.append([{"kind": k, "start": a, "end": b, "value": text[a:b]} for k, a, b in found])
             batch["doc_id"] = batch["doc_id"].astype("Int64")
             batch["spans"] = rows
