@@ -31,6 +31,8 @@ MIN_GAIN = 20.0
 STEMS = (4, 5)
 FOLDS = 3
 THRESHOLD = 0.3
+#: Penalty of the squared weights: with few toxic rows, words that occur in toxic rows by chance stay weak.
+RIDGE = 1.0
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„‘’…¡¿–—"
 
 
@@ -89,7 +91,7 @@ def informative(codes: list[np.ndarray], y: np.ndarray, most: int) -> np.ndarray
     return np.sort(words[best[gain[best] > MIN_GAIN]])
 
 
-def fit_linear(codes: list[np.ndarray], more: np.ndarray, y: np.ndarray, most: int = MAX_WORDS, ridge: float = 0.03) -> Linear:
+def fit_linear(codes: list[np.ndarray], more: np.ndarray, y: np.ndarray, most: int = MAX_WORDS, ridge: float = RIDGE) -> Linear:
     """Newton's method on the ridge-penalised likelihood; one class only gives a constant."""
     model = Linear(informative(codes, y, most), more.mean(0), more.std(0) + 1e-6, np.empty(0))
     x = model.inputs(codes, more)
