@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir; only where that is unset (tests), under a temporary folder."""
+    """A new path under spark.checkpoint.dir; where that is unset and Spark runs on one machine (tests), under a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='hostgrain-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
