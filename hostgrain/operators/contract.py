@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Names and order are binding.
 KEYS = ("computer_id", "anchor_day", "window_days")
-COUNTS = (
+FEATURES = (
     "auth_out_event_count",
     "auth_in_event_count",
     "auth_out_distinct_targets",
@@ -18,9 +18,8 @@ COUNTS = (
     "auth_in_distinct_human_users",
     "auth_out_failed_count",
     "auth_in_failed_count",
-)
-RATES = ("auth_out_failure_rate", "auth_in_failure_rate")
-FURTHER_COUNTS = (
+    "auth_out_failure_rate",
+    "auth_in_failure_rate",
     "proc_start_count",
     "proc_distinct_process_names",
     "proc_distinct_users",
@@ -39,7 +38,7 @@ FURTHER_COUNTS = (
     "dns_distinct_resolved_hosts",
 )
 FLAGS = ("source_present_auth", "source_present_proc", "source_present_flows", "source_present_dns")
-FEATURES = (*COUNTS, *RATES, *FURTHER_COUNTS)
+RATES = ("auth_out_failure_rate", "auth_in_failure_rate")
 COLUMNS = (*KEYS, *FEATURES, *FLAGS)
 
 

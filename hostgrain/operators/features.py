@@ -1,11 +1,11 @@
 """One row of features per computer, for one window of days or many at once.
 
-Events are first reduced per day: counts and sums per (day, computer), and the
-distinct values per (day, computer, kind). Only these small tables are then
-spread over the windows that a day belongs to, so however many windows overlap,
-raw events are read and shuffled once, and distinct counts stay exact. Additive
-and distinct measures meet in one final aggregate in place of a chain of outer
-joins. Rows without a computer are left out; see unidentified().
+Events are first reduced per day, in one aggregate for each source: counts and
+sums per (day, computer), and the distinct values per (day, computer, kind). That
+table is stored, and only it is spread over the windows that a day belongs to; so
+however many windows overlap, events are read once (and shuffled twice: to drop
+repeated rows, and to reduce them), and distinct counts stay exact. Additive and
+distinct measures meet in one final aggregate in place of a chain of outer joins. Rows without a computer are left out; see unidentified().
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from hostgrain.functions.columns import is_hidden_port
 from hostgrain.operators.contract import COLUMNS, FEATURES, FLAGS, KEYS, RATES
 from hostgrain.sources.events import SOURCES
+from hostgrain.sources.tables import stored
 
 #: Distinct measures: feature -> (kind of value, people only).
 _DISTINCT = {
@@ -80,33 +81,49 @@ def _roles(name: str) -> list[tuple[Column, dict[str, Column], dict[str, tuple[C
     return [(c("src_comp"), {"dns_lookup_count": one}, {"dns_host": (c("resolved_comp"), nobody)})]
 
 
-def daily_counts(silver: dict[str, DataFrame]) -> DataFrame:
-    """(day, computer_id, additive measures): one row per computer and day, source by source."""
+def daily(silver: dict[str, DataFrame], first_day: int | None = None, last_day: int | None = None) -> DataFrame:
+    """(part, source, day, computer_id, kind, value, person, additive measures): all that windows are made of.
+
+    Part `counts` has the sums of a computer and day (and those of rows without a
+    computer, which only tell that a source had rows), part `values` each distinct
+    value of a kind once. Every event becomes an entry of either sort for each of
+    its roles, and all entries meet in one aggregate: a source is read once.
+    """
     parts = []
     for name, df in silver.items():
         roles = _roles(name)
-        names = [m for _, added, _ in roles for m in added]
-        both = [
-            F.struct(computer.alias("computer_id"), *[added.get(m, F.lit(0).cast("long")).alias(m) for m in names])
-            for computer, added, _ in roles
+        measures = [m for _, added, _ in roles for m in added]
+        nothing, text = F.lit(None).cast("long"), F.lit(None).cast("string")
+
+        def entry(computer, kind, value, person, added):
+            sums = [added.get(m, nothing).alias(m) for m in measures]  # noqa: B023
+            return F.struct(computer.alias("computer_id"), kind.alias("kind"), value.alias("value"), person.alias("person"), *sums)
+
+        each = [entry(computer, text, text, F.lit(False), added) for computer, added, _ in roles]
+        each += [
+            entry(computer, F.lit(kind), value, person, {}) for computer, _, values in roles for kind, (value, person) in values.items()
         ]
-        rows = df.select("day", F.explode(F.array(*both)).alias("e")).select("day", "e.*").where("computer_id is not null")
-        parts.append(rows.groupBy("day", "computer_id").agg(*[F.sum(m).alias(m) for m in names]))
+        inside = df if first_day is None else df.where(F.col("day").between(first_day, last_day))
+        rows = inside.select("day", F.explode(F.array(*each)).alias("e")).select("day", "e.*")
+        rows = rows.where("kind is null or (computer_id is not null and value is not null)")
+        found = rows.groupBy("day", "computer_id", "kind", "value", "person").agg(*[F.sum(m).alias(m) for m in measures])
+        part = F.when(F.col("kind").isNull(), "counts").otherwise("values")
+        parts.append(found.select(part.alias("part"), F.lit(name).alias("source"), *found.columns))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def daily_values(silver: dict[str, DataFrame]) -> DataFrame:
-    """(day, computer_id, kind, value, person), each once: what distinct counts are made of."""
-    parts = []
-    for name, df in silver.items():
-        each = [
-            F.struct(computer.alias("computer_id"), F.lit(kind).alias("kind"), value.alias("value"), person.alias("person"))
-            for computer, _, values in _roles(name)
-            for kind, (value, person) in values.items()
-        ]
-        rows = df.select("day", F.explode(F.array(*each)).alias("e")).select("day", "e.*")
-        parts.append(rows.where("computer_id is not null and value is not null"))
-    return reduce(DataFrame.unionByName, parts).distinct()
+def stored_daily(silver: dict[str, DataFrame], first_day: int, last_day: int) -> DataFrame:
+    """daily() of some days, written once: counts, values and presence read it instead of the events."""
+    return stored(daily(silver, first_day, last_day), "daily", ["part"])
+
+
+def _counts(days: DataFrame) -> DataFrame:
+    return days.where("part = 'counts' and computer_id is not null").drop("part", "source", "kind", "value", "person")
+
+
+def active_computers(silver: dict[str, DataFrame], first_day: int, last_day: int) -> DataFrame:
+    """The computers that acted in some days."""
+    return _counts(daily(silver, first_day, last_day)).select("computer_id").distinct()
 
 
 def window_event_days(anchor_day: int, window_days: int) -> list[int]:
@@ -130,13 +147,11 @@ def _anchored(df: DataFrame, first: int, last: int, window_days: int) -> DataFra
     return inside.withColumn("anchor_day", F.explode(anchors))
 
 
-def source_presence(silver: dict[str, DataFrame], first: int, last: int, window_days: int) -> DataFrame:
-    """(anchor_day, source_present_*): whether a source has rows on every day of the anchor's window."""
+def _presence(days: DataFrame, first: int, last: int, window_days: int) -> DataFrame:
+    """(anchor_day, source_present_*) from the days (source, day), each once, on which a source has rows."""
     window_event_days(first, window_days)
-    spark = next(iter(silver.values())).sparkSession
-    anchors = spark.range(first, last + 1).select(F.col("id").cast("int").alias("anchor_day"))
-    days = [df.select(F.lit(n).alias("source"), "day").distinct() for n, df in silver.items()]
-    counted = _anchored(reduce(DataFrame.union, days), first, last, window_days).groupBy("anchor_day").agg(
+    anchors = days.sparkSession.range(first, last + 1).select(F.col("id").cast("int").alias("anchor_day"))
+    counted = _anchored(days, first, last, window_days).groupBy("anchor_day").agg(
         *[F.count_if(F.col("source") == n).alias(f"n_{n}") for n in SOURCES]
     )
     wanted = F.least(F.lit(window_days), F.col("anchor_day") + 1)
@@ -144,16 +159,19 @@ def source_presence(silver: dict[str, DataFrame], first: int, last: int, window_
     return anchors.join(counted, "anchor_day", "left").select("anchor_day", *flags)
 
 
-def measures(silver: dict[str, DataFrame], first: int, last: int, window_days: int) -> DataFrame:
-    """(anchor_day, computer_id, all features) for the anchors first..last."""
-    counts = _anchored(daily_counts(silver), first, last, window_days).drop("day")
-    values = _anchored(daily_values(silver), first, last, window_days).drop("day").distinct()
+def source_presence(silver: dict[str, DataFrame], first: int, last: int, window_days: int) -> DataFrame:
+    """(anchor_day, source_present_*): whether a source has rows on every day of the anchor's window."""
+    days = [df.select(F.lit(n).alias("source"), "day").distinct() for n, df in silver.items()]
+    return _presence(reduce(DataFrame.union, days), first, last, window_days)
+
+
+def measures(days: DataFrame, first: int, last: int, window_days: int) -> DataFrame:
+    """(anchor_day, computer_id, features of the sources in days) for the anchors first..last, from daily()."""
     keys = ["anchor_day", "computer_id"]
-    each = [
-        _one((F.col("kind") == kind) & (F.col("person") if people else F.lit(True))).alias(f)
-        for f, (kind, people) in _DISTINCT.items()
-        if any(kind in vs for n in silver for _, _, vs in _roles(n))
-    ]
+    counts = _anchored(_counts(days), first, last, window_days).drop("day")
+    values = days.where("part = 'values'").select("day", "computer_id", "kind", "value", "person")
+    values = _anchored(values, first, last, window_days).drop("day").distinct()
+    each = [_one((F.col("kind") == kind) & (F.col("person") if people else F.lit(True))).alias(f) for f, (kind, people) in _DISTINCT.items()]
     both = counts.unionByName(values.select(*keys, *each), allowMissingColumns=True)
     summed = [m for m in (*_ADDITIVE, *_DISTINCT) if m in both.columns]
     total = both.groupBy(*keys).agg(*[F.coalesce(F.sum(m), F.lit(0).cast("long")).alias(m) for m in summed])
@@ -165,18 +183,29 @@ def measures(silver: dict[str, DataFrame], first: int, last: int, window_days: i
     return total.drop(*_KNOWN)
 
 
+def _first_day(first: int, window_days: int) -> int:
+    return window_event_days(first, window_days)[0]
+
+
 def source_features(name: str, silver: DataFrame, anchor_day: int, window_days: int) -> DataFrame:
     """computer_id and the features of one source, for one window."""
-    found = measures({name: silver}, anchor_day, anchor_day, window_days)
-    return found.select("computer_id", *[f for f in FEATURES if f in found.columns])
+    days = stored_daily({name: silver}, _first_day(anchor_day, window_days), anchor_day)
+    found = measures(days, anchor_day, anchor_day, window_days)
+    return found.select("computer_id", *[f for f in FEATURES if f.startswith(f"{name}_") and f in found.columns])
+
+
+def features_of_days(days: DataFrame, first: int, last: int, window_days: int) -> DataFrame:
+    """The feature table, in contract order, for the anchors first..last, from daily()."""
+    present = days.where("part = 'counts'").select("source", "day").distinct()
+    found = measures(days, first, last, window_days).join(F.broadcast(_presence(present, first, last, window_days)), "anchor_day")  # a row per anchor
+    return found.withColumn("window_days", F.lit(window_days)).select(*KEYS, *FEATURES, *FLAGS)
 
 
 def computer_features(silver: dict[str, DataFrame], anchors: Iterable[int], window_days: int) -> DataFrame:
     """The feature table, in contract order, for consecutive anchors."""
+    anchors = list(anchors)
     first, last = min(anchors), max(anchors)
-    presence = source_presence(silver, first, last, window_days)
-    found = measures(silver, first, last, window_days).join(F.broadcast(presence), "anchor_day")  # a row per anchor
-    return found.withColumn("window_days", F.lit(window_days)).select(*KEYS, *FEATURES, *FLAGS)
+    return features_of_days(stored_daily(silver, _first_day(first, window_days), last), first, last, window_days)
 
 
 def unidentified(silver: dict[str, DataFrame]) -> DataFrame:

@@ -1,8 +1,8 @@
 """Robust anomaly scores of computers, their drivers, and risk levels; all deliveries at once.
 
 Scores need medians per (delivery, feature). They are taken on (value, count)
-pairs, so the work of a group follows its distinct values; the table of medians
-has a row per delivery and feature and is broadcast back while it is small.
+pairs, cut into narrow ranges, so no task holds a group; the table of medians has
+a row per delivery and feature, which Spark broadcasts or not by its size.
 """
 
 from __future__ import annotations
@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 
 from hostgrain.functions.labels import labelled
 from hostgrain.operators.contract import FEATURES, FLAGS, KEYS
+from hostgrain.sources.tables import stored
 
 DELIVERY = ("window_days", "anchor_day")
 # Scale of the median deviation, shares of the risk levels.
 MAD_SCALE = 1.4826
 HIGH_SHARE = 0.01
 ATTENTION_SHARE = 0.05
+#: Ranges of values for each unit: of the logarithms of counts, 1/4096 is a quarter of a thousandth.
+STEPS = 4096
 
 
 def scored_features(df: DataFrame) -> list[str]:
@@ -36,23 +39,39 @@ def _cells(features: DataFrame, columns: list[str]) -> DataFrame:
     return long.select(*DELIVERY, "computer_id", "position", "feature", F.log1p(F.greatest("v", F.lit(0.0))).alias("x"), "v").where("v is not null")
 
 
+def _medians(counted: DataFrame, keys: list[str], x: str) -> DataFrame:
+    """(keys, median): the exact median of x, which isn't negative, over rows that count n times.
+
+    Counts per narrow range of x find the ranges that hold the middle; only the
+    values within these are put in order. No task gets all values of a group, but
+    those of one range, 1/STEPS wide.
+    """
+    ranged = counted.withColumn("range", F.floor(F.col(x) * STEPS))
+    whole, upto = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("range")
+    sizes = ranged.groupBy(*keys, "range").agg(F.sum("n").alias("size"))
+    placed = sizes.withColumns({"total": F.sum("size").over(whole), "before": F.sum("size").over(upto) - F.col("size")})
+    middle = placed.withColumns({"low": F.floor((F.col("total") - 1) / 2), "high": F.floor(F.col("total") / 2)})
+    middle = middle.where("before <= high and before + size > low").select(*keys, "range", "before", "low", "high")
+    inside = ranged.join(middle, [*keys, "range"]).withColumn("reached", F.col("before") + F.sum("n").over(Window.partitionBy(*keys, "range").orderBy(x)))
+    holds = lambda place: (F.col("reached") - F.col("n") <= place) & (F.col("reached") > place)
+    ends = [F.max(F.when(holds(F.col(place)), F.col(x))) for place in ("low", "high")]
+    return inside.groupBy(*keys).agg(((ends[0] + ends[1]) / 2).alias("median"))
+
+
 def _scales(cells: DataFrame) -> DataFrame:
     """(delivery, feature, median, scale)."""
     keys = [*DELIVERY, "feature"]
-    counted = cells.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("n"))
-    middle = counted.groupBy(*keys).agg(
-        F.expr("percentile(x, 0.5D, n)").alias("median"),
-        F.sum("n").alias("rows"),
-        (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean"),
-    )
+    counted = stored(cells.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("n")), "values")
+    means = counted.groupBy(*keys).agg(F.sum("n").alias("rows"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean"))
+    middle = stored(_medians(counted, keys, "x").join(means, keys), "medians")
     away = counted.join(middle, keys).withColumn("far", F.abs(F.col("x") - F.col("median")))
-    spread = away.groupBy(*keys, "median").agg(
-        F.expr("percentile(far, 0.5D, n)").alias("mad"),
-        F.sqrt(F.sum((F.col("x") - F.col("mean")) ** 2 * F.col("n")) / F.nullif(F.max("rows") - 1, F.lit(0))).alias("deviation"),
-    )
+    squares = F.sum((F.col("x") - F.col("mean")) ** 2 * F.col("n"))
+    spread = away.groupBy(*keys).agg(F.sqrt(squares / F.nullif(F.max("rows") - 1, F.lit(0))).alias("deviation"))
+    far = away.groupBy(*keys, "far").agg(F.sum("n").alias("n"))
+    mads = _medians(far, keys, "far").withColumnRenamed("median", "mad")
     fallback = F.when(F.col("deviation") == 0, F.lit(1.0)).otherwise(F.col("deviation"))
     scale = F.when(F.col("mad") > 0, F.col("mad") * MAD_SCALE).otherwise(fallback)
-    return spread.select(*keys, "median", scale.alias("scale"))
+    return middle.join(spread, keys).join(mads, keys).select(*keys, "median", scale.alias("scale"))
 
 
 def deviations(features: DataFrame) -> DataFrame:
@@ -87,29 +106,19 @@ def _level(place: Column, n: Column) -> Column:
 def risk_levels(scores: DataFrame) -> DataFrame:
     """Adds place (by descending score, then id, within a delivery) and risk: High, Medium or Normal.
 
-    Only the head of a delivery is ranked one by one: the score at its end is found
-    from counts per score, and everyone below it is Normal. Thus one large delivery
-    doesn't make one large task.
+    Rows are dealt out in that order, in ranges of about equal size; a place is
+    the number of rows in the ranges before plus the place within the range, so a
+    large delivery is ranked by many tasks, whatever the ties.
     """
     score = F.coalesce("anomaly_score", F.lit(0.0))
-    per_score = scores.groupBy(*DELIVERY, score.alias("s")).agg(F.count(F.lit(1)).alias("n"))
-    above = Window.partitionBy(*DELIVERY).orderBy(F.desc("s"))
-    whole = Window.partitionBy(*DELIVERY)
-    head = F.greatest(F.lit(1), F.floor(F.col("size") * F.lit(ATTENTION_SHARE)))
-    # scores are rounded to six places, which bounds the rows of this window
-    cut = (
-        per_score.withColumn("reached", F.sum("n").over(above))
-        .withColumn("size", F.sum("n").over(whole))
-        .where(F.col("reached") - F.col("n") < head)
-        .groupBy(*DELIVERY)
-        .agg(F.min("s").alias("least"), F.max("size").alias("size"))
-    )
-    joined = scores.join(F.broadcast(cut), list(DELIVERY))  # a row per delivery
-    order = Window.partitionBy(*DELIVERY).orderBy(F.desc(score), "computer_id")
-    first = joined.where(score >= F.col("least")).withColumn("place", F.row_number().over(order))
-    rest = joined.where(score < F.col("least")).withColumn("place", F.lit(None).cast("int"))
-    both = first.unionByName(rest)
-    return both.withColumn("risk", F.when(F.col("place").isNull(), "Normal").otherwise(_level(F.col("place"), F.col("size")))).drop("least", "size")
+    dealt = scores.repartitionByRange(*DELIVERY, F.desc(score), "computer_id").withColumn("range", F.spark_partition_id())
+    dealt = stored(dealt, "dealt")
+    whole, upto = Window.partitionBy(*DELIVERY), Window.partitionBy(*DELIVERY).orderBy("range")
+    sizes = dealt.groupBy(*DELIVERY, "range").agg(F.count(F.lit(1)).alias("n"))  # a row for each range of a delivery
+    sizes = sizes.select(*DELIVERY, "range", F.sum("n").over(whole).alias("size"), (F.sum("n").over(upto) - F.col("n")).alias("before"))
+    inside = F.row_number().over(Window.partitionBy(*DELIVERY, "range").orderBy(F.desc(score), "computer_id"))
+    placed = dealt.withColumn("inside", inside).join(sizes, [*DELIVERY, "range"]).withColumn("place", (F.col("before") + F.col("inside")).cast("int"))
+    return placed.withColumn("risk", _level(F.col("place"), F.col("size"))).select(*scores.columns, "place", "risk")
 
 
 def attention(scores: DataFrame) -> DataFrame:
@@ -131,6 +140,7 @@ def standouts(scores: DataFrame, drivers: DataFrame, n: int = 5) -> DataFrame:
     """(computer_id, sentence) for those of the n highest scores that need attention."""
     top = attention(scores).orderBy(F.desc("anomaly_score"), "computer_id").limit(n)
     reason = labelled(drivers.where("rank = 1")).select("computer_id", F.lower("label").alias("reason"))
+    # The wording of the sentences.
     unknown = F.lit("activity that looks unusual compared with the rest of the group")
     return top.join(reason, "computer_id", "left").select(
         "computer_id",

@@ -38,16 +38,9 @@ def _gold(spark, d, first=ANCHOR, last=ANCHOR, n=WINDOW) -> DataFrame:
     return features.computer_features(fixtures.silver(spark, d), [first, last], n)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """df, computed once: several parts of a query read it."""
-    path = tables.scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _scored(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
-    gold = _stored(_gold(spark, d, FIRST, LAST), "gold")
-    return gold, _stored(scoring.anomaly_scores(gold), "scores"), scoring.contributions(gold)
+    gold = tables.stored(_gold(spark, d, FIRST, LAST), "gold")
+    return gold, tables.stored(scoring.anomaly_scores(gold), "scores"), scoring.contributions(gold)
 
 
 # Bronze and Silver
@@ -141,10 +134,7 @@ _query("deliverable_windows", f"WITH {sql.gold_with(8, 20, WINDOW, True)} SELECT
     lambda spark, d: delivery.deliverable_windows(features.computer_features(_gap(spark, d), [8, 20], WINDOW))
 )
 _query("active_computers", f"WITH {sql.gold_with(ANCHOR, ANCHOR, WINDOW)} SELECT computer_id FROM gold")(
-    lambda spark, d: features.daily_counts(fixtures.silver(spark, d))
-    .where(F.col("day").between(ANCHOR - WINDOW + 1, ANCHOR))
-    .select("computer_id")
-    .distinct()
+    lambda spark, d: features.active_computers(fixtures.silver(spark, d), ANCHOR - WINDOW + 1, ANCHOR)
 )
 _query(
     "window_event_days",
@@ -192,7 +182,7 @@ _query("partition_checksums_md5", f"SELECT source, day, count(*) AS record_count
         FROM ({sql.silver('auth')}) GROUP BY source, day""",
 )
 def _validation(spark, d):
-    checks = _stored(integrity.content_checksum_md5(_auth_silver(spark, d), ("source", "day")), "checks")
+    checks = tables.stored(integrity.content_checksum_md5(_auth_silver(spark, d), ("source", "day")), "checks")
     recorded = checks.where("day <> 3").withColumn("checksum", F.when(F.col("day") == 5, "changed").otherwise(F.col("checksum")))
     return integrity.checksum_validation(recorded, checks, ["source", "day"])
 
@@ -240,7 +230,7 @@ def _volume(spark, d) -> DataFrame:
     gold = governance.layer_counts(_gold(spark, d).withColumns({"source": F.lit(None).cast("string"), "day": F.col("anchor_day")}), "gold")
     records = _counts(spark, d).withColumn("window_days", F.lit(None).cast("int")).unionByName(gold.withColumn("window_days", F.lit(WINDOW)))
     delivered = _gold(spark, d).count()
-    return governance.volume_summary(_stored(records, "records"), ANCHOR, WINDOW, delivered)
+    return governance.volume_summary(tables.stored(records, "records"), ANCHOR, WINDOW, delivered)
 
 
 _VOLUME = f"""volume AS (SELECT layer, source, day, record_count FROM ({_COUNTS}) WHERE day BETWEEN {ANCHOR - WINDOW + 1} AND {ANCHOR}
@@ -334,7 +324,7 @@ def _plain(manifests: DataFrame) -> DataFrame:
 
 
 def _delivered(spark, d) -> tuple[str, DataFrame]:
-    path, gold = tables.scratch(spark, "delivery"), _stored(_gold(spark, d, FIRST, LAST), "gold")
+    path, gold = tables.scratch(spark, "delivery"), tables.stored(_gold(spark, d, FIRST, LAST), "gold")
     delivery.deliver(gold, path, SECRET, CREATED)
     return path, gold
 

@@ -63,6 +63,13 @@ def write_table(df: DataFrame, path: str, partitions: list[str], fmt: str = "par
     _replace(df, partitions).format(fmt).save(path)
 
 
+def stored(df: DataFrame, name: str, partitions: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """The rows of df, computed and written once under scratch(): several parts of a query read them."""
+    path = scratch(df.sparkSession, name)
+    df.write.partitionBy(*partitions).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _between(df: DataFrame, first_day: int | None, last_day: int | None) -> DataFrame:
     if first_day is not None:
         df = df.where(F.col("day") >= first_day)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hostgrain.operators.contract import COLUMNS
-from hostgrain.operators.features import computer_features, daily_counts, source_presence, unidentified, window_event_days
+from hostgrain.operators.features import computer_features, daily, source_presence, unidentified, window_event_days
 from hostgrain.sources.events import SOURCES, source
 from hostgrain.sources.tables import scan_silver, write_table
 
@@ -102,9 +102,28 @@ def test_only_the_window_is_read(spark, tables, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in plan
 
 
-def test_raw_rows_shuffle_partial_sums(tables):
-    plan = daily_counts({"auth": tables["auth"]})._jdf.queryExecution().executedPlan().toString()
-    assert "partial_sum" in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+def test_raw_rows_are_read_once_and_shuffle_partial_sums(spark, tmp_path):
+    raw = {}
+    for name, spec in SOURCES.items():
+        spark.createDataFrame([], spec.raw_schema).write.parquet(f"{tmp_path}/{name}")
+        raw[name] = spec.to_silver(spec.to_bronze(spark.read.parquet(f"{tmp_path}/{name}")))
+    plan = daily(raw, 3, 9)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == len(SOURCES) and plan.count("Exchange hashpartitioning") == 2 * len(SOURCES)
+    assert "partial_sum" in plan and "Python" not in plan
+    plan = computer_features(raw, [9], 7)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 3 and str(tmp_path) not in plan  # counts, values, presence: all from the stored days
+
+
+@pytest.mark.parametrize("values", [[], [5], [1, 1], [3, 1, 2], [0, 0, 0, 7], [1e9, 2, 2.0001, 2.0002, 7, 2], list(range(1000))])
+def test_medians_are_exact(spark, values):
+    import statistics
+
+    from hostgrain.operators.scoring import _medians
+
+    rows = [(g, float(v), 1) for g in ("a", "b") for v in (values if g == "a" else values[::2])]
+    counted = spark.createDataFrame(rows, "g string, x double, n long").groupBy("g", "x").agg(F.sum("n").alias("n"))
+    found = {r["g"]: r["median"] for r in _medians(counted, ["g"], "x").collect()}
+    assert found == {g: statistics.median(v) for g, v in (("a", values), ("b", values[::2])) if v}
 
 
 def test_scores_of_a_single_row_are_zero_and_high(spark, tables):
@@ -121,6 +140,8 @@ def test_risk_shares(spark):
     scores = spark.range(1, 101).select(F.lit(7).alias("window_days"), F.lit(1).alias("anchor_day"), F.concat(F.lit("C"), "id").alias("computer_id"), F.col("id").cast("double").alias("anomaly_score"))
     levels = {r["risk"]: r["count"] for r in risk_levels(scores).groupBy("risk").count().collect()}
     assert levels == {"High": 1, "Medium": 4, "Normal": 95}
+    places = risk_levels(scores).orderBy(F.desc("anomaly_score")).collect()
+    assert [r["place"] for r in places] == list(range(1, 101))
     tied = {r["risk"]: r["count"] for r in risk_levels(scores.withColumn("anomaly_score", F.lit(1.0))).groupBy("risk").count().collect()}
     assert tied == levels
 
