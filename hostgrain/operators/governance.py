@@ -29,14 +29,15 @@ def lineage_rows(counts: DataFrame, from_layer: str | None, to_layer: str, schem
     )
 
 
-def schema_registrations(df: DataFrame, source: str, layer: str, schema_version: str = "v1") -> DataFrame:
-    """One row: the ordered columns of df."""
-    return df.sparkSession.createDataFrame([(source, layer, schema_version, df.columns)], "source string, layer string, schema_version string, columns array<string>")
+def schema_registrations(spark, columns: dict[str, list[str]], layer: str, schema_version: str = "v1") -> DataFrame:
+    """(source, layer, schema_version, columns): the ordered columns of each source's table."""
+    rows = [(source, layer, schema_version, names) for source, names in columns.items()]
+    return spark.createDataFrame(rows, "source string, layer string, schema_version string, columns array<string>")
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: tuple[str, ...] = CHECKSUM_KEYS) -> DataFrame:
-    """The rows of both, and of each key only the one with the latest created_at; null keys are equal."""
-    latest = Window.partitionBy(*keys).orderBy(F.desc("created_at"), F.desc("generation"))
+def upsert(old: DataFrame, new: DataFrame, keys: tuple[str, ...] = CHECKSUM_KEYS, by: tuple[str, ...] = ("created_at",)) -> DataFrame:
+    """The rows of both, and of each key only the one with the latest created_at (or `by`); null keys are equal."""
+    latest = Window.partitionBy(*keys).orderBy(*map(F.desc, by), F.desc("generation"))
     both = old.withColumn("generation", F.lit(0)).unionByName(new.withColumn("generation", F.lit(1)))
     return both.withColumn("place", F.row_number().over(latest)).where("place = 1").drop("place", "generation")
 
@@ -66,10 +67,31 @@ def volume_summary(records: DataFrame, anchor_day: int, window_days: int, delive
     )
 
 
-def nested_volume(summary: DataFrame) -> DataFrame:
-    """The summary as one row: an array of (source, day, record_count) per layer."""
+def nested_volume(deliveries: DataFrame, records: DataFrame) -> DataFrame:
+    """(window_days, anchor_day, volume_summary) for each delivery (window_days, anchor_day, record_count).
+
+    The summary holds the event days, the records of landing to Silver on these days
+    by source and day, and the counts of Gold (of exactly this anchor and window, or
+    else the delivered one) and of the delivery.
+    """
+    keys = ["window_days", "anchor_day"]
+    days = F.sequence(F.greatest(F.lit(0), F.col("anchor_day") - F.col("window_days") + 1), F.col("anchor_day"))
+    own = deliveries.select(*keys, F.col("record_count").alias("delivered"), days.alias("event_days"))
+    upstream = records.where(F.col("layer").isin(*LAYERS[:3])).select("layer", "source", "day", F.coalesce("record_count", F.lit(0)).cast("long").alias("record_count"))
     entry = F.struct("source", "day", "record_count")
-    return summary.agg(*[F.array_sort(F.collect_list(F.when(F.col("layer") == layer, entry))).alias(layer) for layer in LAYERS])
+    lists = [F.array_sort(F.collect_list(F.when(F.col("layer") == layer, entry))).alias(layer) for layer in LAYERS[:3]]
+    behind = own.select(*keys, F.explode("event_days").alias("day")).join(upstream, "day", "left").groupBy(*keys).agg(*lists)
+    gold = records.where("layer = 'gold'").groupBy("window_days", F.col("day").alias("anchor_day")).agg(F.max("record_count").cast("long").alias("gold"))
+    joined = own.join(behind, keys).join(gold, keys, "left")
+    summary = F.struct(
+        "bronze",
+        F.struct(F.col("delivered").alias("record_count")).alias("delivered"),
+        "event_days",
+        F.struct("anchor_day", F.coalesce("gold", "delivered").alias("record_count"), "window_days").alias("gold"),
+        "landing",
+        "silver",
+    )
+    return joined.select(*keys, summary.alias("volume_summary"))
 
 
 def layer_totals(summary: DataFrame) -> DataFrame:

@@ -4,41 +4,56 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hostgrain.operators.contract import COLUMNS, FLAGS
+from hostgrain.operators.governance import nested_volume
 from hostgrain.operators.integrity import content_checksum_md5
 from hostgrain.sources.sealed import SCHEME, key_id, partition_id, seal, unseal
-from hostgrain.sources.tables import write_table
+from hostgrain.sources.tables import stored, write_table, write_text
 
 DATASET = "computer_features"
+#: In clear, as they name the folders.
+CLEAR = ("window_days", "anchor_day")
+_COUNT = "source string, day int, record_count long"
 _MANIFEST = (
-    "dataset string, dataset_version string, schema_version string, window_days int, anchor_day int, record_count long, "
-    "columns array<string>, created_at string, checksum_sha256 string, encryption_scheme string, key_id string, data_object string"
+    "anchor_day int, checksum_sha256 string, columns array<string>, created_at string, data_object string, dataset string, "
+    "dataset_version string, encryption_scheme string, key_id string, record_count long, schema_version string, "
+    f"volume_summary struct<bronze: array<struct<{_COUNT}>>, delivered: struct<record_count: long>, event_days: array<int>, "
+    f"gold: struct<anchor_day: int, record_count: long, window_days: int>, landing: array<struct<{_COUNT}>>, silver: array<struct<{_COUNT}>>>, "
+    "window_days int"
 )
 
 
-def delivery_manifest(gold: DataFrame, secret: str, created_at: str, schema_version: str = "v1") -> DataFrame:
-    """A manifest row for each (window_days, anchor_day) of gold.
+def delivery_manifest(gold: DataFrame, secret: str, created_at: str, schema_version: str = "v1", records: DataFrame | None = None) -> DataFrame:
+    """A manifest row for each (window_days, anchor_day) of gold, columns by name.
 
     The digest is that of the contents, so the receiver can make it again from
-    whatever files it gets.
+    whatever files it gets. records: checksum records of the layers, for the volume
+    behind each delivery (volume_summary; null without).
     """
-    checks = content_checksum_md5(gold, ("window_days", "anchor_day"))
+    checks = content_checksum_md5(gold, CLEAR)
     version = F.format_string(f"{DATASET}-w%d-d%02d", F.col("window_days"), F.col("anchor_day"))
-    return checks.select(
-        F.lit(DATASET).alias("dataset"),
-        version.alias("dataset_version"),
-        F.lit(schema_version).alias("schema_version"),
-        "window_days",
+    manifest = checks.select(
         "anchor_day",
-        "record_count",
+        F.col("checksum").alias("checksum_sha256"),
         F.array(*[F.lit(c) for c in gold.columns]).alias("columns"),
         F.lit(created_at).alias("created_at"),
-        F.col("checksum").alias("checksum_sha256"),
+        F.concat(F.lit(f"{DATASET}/"), partition_id(F.col("window_days"), F.col("anchor_day"))).alias("data_object"),
+        F.lit(DATASET).alias("dataset"),
+        version.alias("dataset_version"),
         F.lit(SCHEME).alias("encryption_scheme"),
         F.lit(key_id(secret)).alias("key_id"),
-        F.concat(F.lit(f"{DATASET}/"), partition_id(F.col("window_days"), F.col("anchor_day"))).alias("data_object"),
+        "record_count",
+        F.lit(schema_version).alias("schema_version"),
+        "window_days",
     )
+    if records is None:
+        volume = F.lit(None).cast(StructType.fromDDL(_MANIFEST)["volume_summary"].dataType)
+        with_volume = manifest.withColumn("volume_summary", volume)
+    else:
+        with_volume = manifest.join(nested_volume(manifest, records), list(CLEAR))
+    return with_volume.select(*StructType.fromDDL(_MANIFEST).names)
 
 
 def deliverable_windows(gold: DataFrame, strict: bool = True) -> DataFrame:
@@ -50,25 +65,40 @@ def deliverable_windows(gold: DataFrame, strict: bool = True) -> DataFrame:
     return windows.select("window_days", "anchor_day")
 
 
-def deliver(gold: DataFrame, path: str, secret: str, created_at: str) -> None:
-    """Writes gold sealed below path/data and a manifest per partition below path/manifests. No rows: an error."""
+def deliver(gold: DataFrame, path: str, secret: str, created_at: str, records: DataFrame | None = None) -> DataFrame:
+    """Delivers each (window_days, anchor_day) of gold and returns the manifests. No rows: an error.
+
+    A partition's place is fixed: <path>/computer_features/window_days=7/anchor_day=06
+    holds its sealed rows and, written after them, manifest.json (sorted keys). A
+    repeated delivery replaces both.
+    """
     if gold.isEmpty():
         raise ValueError("nothing to deliver")
     rows = gold.select(*COLUMNS)
-    sealed = seal(rows, secret, partition_id(F.col("window_days"), F.col("anchor_day")))
-    write_table(sealed, f"{path}/data", ["sealed_partition"])
-    manifest = delivery_manifest(rows, secret, created_at).withColumn("partition", partition_id(F.col("window_days"), F.col("anchor_day")))
-    write_table(manifest, f"{path}/manifests", ["partition"], fmt="json")
+    sealed = seal(rows, secret, partition_id(F.col("window_days"), F.col("anchor_day")), CLEAR).drop("sealed_partition")
+    write_table(sealed.withColumn("anchor_day", F.format_string("%02d", "anchor_day")), f"{path}/{DATASET}", list(CLEAR))
+    manifests = stored(delivery_manifest(rows, secret, created_at, records=records), "manifests")
+    pretty = F.to_json(F.struct(*manifests.columns), {"pretty": "true"})
+    for r in manifests.select("data_object", pretty.alias("text")).toLocalIterator():  # a row per delivered partition
+        write_text(gold.sparkSession, f"{path}/{r['data_object']}/manifest.json", r["text"])
+    return manifests
 
 
 def manifest_listing(spark: SparkSession, path: str) -> DataFrame:
     """All manifests below path."""
-    return spark.read.schema(_MANIFEST).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(f"{path}/manifests")
+    found = spark.read.schema(_MANIFEST).option("recursiveFileLookup", True).option("pathGlobFilter", "manifest.json").option("multiLine", True)
+    return found.json(f"{path}/{DATASET}")
+
+
+def sealed_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The delivered rows as they are stored, with sealed_partition, the partition that they claim to be of."""
+    rows = spark.read.option("pathGlobFilter", "*.parquet").parquet(f"{path}/{DATASET}")
+    return rows.withColumn("sealed_partition", partition_id(F.col("window_days"), F.col("anchor_day")))
 
 
 def received(spark: SparkSession, path: str, secret: str, gold_schema) -> DataFrame:
-    """The delivered rows, opened; a wrong key or changed data raises."""
-    return unseal(spark.read.parquet(f"{path}/data"), secret, gold_schema)
+    """The delivered rows, opened; a wrong key, changed data or a moved partition raises."""
+    return unseal(sealed_rows(spark, path), secret, gold_schema, CLEAR)
 
 
 def delivery_acceptance(manifests: DataFrame, rows: DataFrame) -> DataFrame:

@@ -2,18 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostgrain.operators.features import computer_features, window_event_days
-from hostgrain.operators.governance import lineage_rows, upsert
+from hostgrain.functions.columns import as_long, day_of
+from hostgrain.operators.contract import COLUMNS
+from hostgrain.operators.features import features_of_days, stored_daily, window_event_days
+from hostgrain.operators.governance import lineage_rows, schema_registrations, upsert
 from hostgrain.operators.integrity import checksum_validation, content_checksum_md5, missing_partitions, require_valid
+from hostgrain.plans.delivery import deliver
 from hostgrain.sources.events import SOURCES, source
-from hostgrain.sources.tables import scan_bronze, scan_landing, write_table
+from hostgrain.sources.tables import file_system, scan_bronze, scan_landing, stored, write_table
+
+_MANIFEST_RECORD = (
+    "dataset", "dataset_version", "schema_version", "window_days", "anchor_day", "record_count", "checksum_sha256", "encryption_scheme", "key_id", "data_object", "created_at"
+)
 
 
 class Lake:
-    """The tables under one folder."""
+    """The tables under one folder.
+
+    Records of checksums, schemas and deliveries are only ever appended, and the
+    latest of each key counts: a job that stops midway or runs beside another loses
+    none of what is there.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -21,45 +37,91 @@ class Lake:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def exists(self, name: str) -> bool:
-        jvm = self.spark._jvm
-        place = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(place)
-
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def record(self, layer: str, from_layer: str, checks: DataFrame, created_at: str) -> None:
-        """Stores the checksums of a written layer (replacing those of the same partitions) and appends lineage."""
+    def remove(self, name: str) -> None:
+        store, place = file_system(self.spark, self.path(name))
+        store.delete(place, True)
+
+    def append(self, name: str, rows: DataFrame, partitions: Iterable[str] = ()) -> None:
+        rows.withColumn("recorded_at", F.current_timestamp()).coalesce(1).write.mode("append").partitionBy(*partitions).parquet(self.path(name))
+
+    def latest(self, name: str, keys: Iterable[str]) -> DataFrame:
+        """Of each key the row that was recorded last."""
+        rows = self.read(name)
+        return upsert(rows.limit(0), rows, tuple(keys), ("created_at", "recorded_at"))
+
+    def checksums(self) -> DataFrame:
+        return self.latest("checksums", ("layer", "source", "day", "window_days")).drop("recorded_at")
+
+    def record(self, layer: str, from_layer: str | None, checks: DataFrame, columns: dict[str, list[str]], created_at: str) -> None:
+        """Appends checksums, lineage and schemas of a written layer."""
         window = F.col("window_days").cast("int") if "window_days" in checks.columns else F.lit(None).cast("int")
-        new = checks.select(F.lit(layer).alias("layer"), "source", "day", window.alias("window_days"), "checksum", "record_count", F.lit(created_at).alias("created_at"))
-        new = self.stored(new, f"_new/{layer}")
-        name = f"checksums/{layer}"
-        if self.exists(name):  # read and replaced: through a copy
-            new = self.stored(upsert(self.read(name), new), f"_merged/{layer}")
-        new.write.mode("overwrite").parquet(self.path(name))
-        lineage = lineage_rows(checks, from_layer, layer).withColumn("created_at", F.lit(created_at))
-        lineage.write.mode("append").parquet(self.path("lineage"))
+        created = F.lit(created_at).alias("created_at")
+        rows = checks.select(F.lit(layer).alias("layer"), "source", "day", window.alias("window_days"), "checksum", "record_count", created)
+        lineage = lineage_rows(checks, from_layer, layer)
+        schemas = schema_registrations(self.spark, columns, layer)
+        writes = (
+            lambda: self.append("checksums", rows, ["layer"]),
+            lambda: self.append("lineage", lineage.select("*", created)),
+            lambda: self.append("schemas", schemas.select("*", created)),
+        )
+        _each(writes, lambda write: write())
+
 
-    def stored(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.read(name)
+def _each(items: Iterable, f: Callable) -> list:
+    """f of each item, their Spark jobs side by side; the first error is raised."""
+    items = list(items)
+    with ThreadPoolExecutor(len(items)) as pool:
+        return list(pool.map(f, items))
+
+
+def _require_rows(rows: DataFrame, layer: str, name: str, first_day: int, last_day: int) -> None:
+    if rows.isEmpty():
+        raise ValueError(f"{layer}: no rows of {name} in days {first_day} to {last_day}")
 
 
 def to_bronze(lake: Lake, landing: str, names: list[str], first_day: int, last_day: int, created_at: str) -> DataFrame:
-    """Landing to Bronze for all sources and days; returns the checksums of what was written."""
-    for name in names:
-        bronze = source(name).to_bronze(scan_landing(lake.spark, landing, name, first_day, last_day))
+    """Landing to Bronze for all sources and days; returns the checksums of what was written.
+
+    A source without rows fails before anything of it is written. Rows whose time
+    is no number go to the table `quarantine` (source, landing_day, line).
+    """
+    raw = {n: scan_landing(lake.spark, landing, n, first_day, last_day, with_day=True).withColumn("source", F.lit(n)) for n in names}
+    dated = day_of(as_long(F.col("time"))).isNotNull()
+    _each(names, lambda n: _require_rows(raw[n].where(dated), "bronze", n, first_day, last_day))
+
+    def write(name: str) -> None:
+        bronze = source(name).to_bronze(raw[name])
         write_table(bronze.where("day is not null"), lake.path(f"bronze/{name}"), ["source", "day"])
+
+    def quarantine(name: str) -> None:
+        for day in range(first_day, last_day + 1):  # what an earlier run rejected of these days
+            lake.remove(f"quarantine/source={name}/landing_day={day}")
+        line = F.concat_ws(",", *[F.coalesce(f, F.lit("")) for f in source(name).fields]).alias("line")
+        write_table(raw[name].where(~dated).select(line, "source", "landing_day"), lake.path("quarantine"), ["source", "landing_day"])
+
+    landed = [content_checksum_md5(raw[n].withColumnRenamed("landing_day", "day"), ("source", "day")) for n in names]
+    record = lambda: lake.record("landing", None, stored(reduce(DataFrame.unionByName, landed), "checks"), {n: list(SOURCES[n].fields) for n in names}, created_at)
+    _each([record, *[lambda n=n: write(n) for n in names]], lambda job: job())
+    for name in names:  # one after another: they share a table
+        quarantine(name)
     return _checked(lake, "bronze", "landing", names, first_day, last_day, created_at)
 
 
+def quarantine_counts(lake: Lake) -> DataFrame:
+    """(source, landing_day, rows) of the rows that to_bronze() rejected."""
+    rows = lake.spark.read.schema("line string, source string, landing_day int").parquet(lake.path("quarantine"))
+    return rows.groupBy("source", "landing_day").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def to_silver(lake: Lake, names: list[str], first_day: int, last_day: int, created_at: str) -> DataFrame:
-    """Bronze to Silver, after Bronze agrees with its recorded checksums."""
+    """Bronze to Silver, after Bronze agrees with its recorded checksums; a source without rows fails before the write."""
     require_valid(validate(lake, "bronze", names, first_day, last_day))
-    for name in names:
-        bronze = scan_bronze(lake.spark, lake.path(f"bronze/{name}"), SOURCES[name], first_day, last_day)
-        write_table(SOURCES[name].to_silver(bronze), lake.path(f"silver/{name}"), ["day"])
+    bronze = {n: scan_bronze(lake.spark, lake.path(f"bronze/{n}"), SOURCES[n], first_day, last_day) for n in names}
+    _each(names, lambda n: _require_rows(bronze[n], "silver", n, first_day, last_day))
+    _each(names, lambda n: write_table(SOURCES[n].to_silver(bronze[n]), lake.path(f"silver/{n}"), ["day"]))
     return _checked(lake, "silver", "bronze", names, first_day, last_day, created_at)
 
 
@@ -68,43 +130,58 @@ def _layer(lake: Lake, layer: str, name: str, first_day: int, last_day: int) ->
 
 
 def _checksums(lake: Lake, layer: str, names: list[str], first_day: int, last_day: int) -> DataFrame:
-    """(source, day, record_count, checksum) of what is stored: one job for all days of a source."""
+    """(source, day, record_count, checksum) of what is stored: one job for all days of all sources."""
     parts = [content_checksum_md5(_layer(lake, layer, n, first_day, last_day).withColumn("source", F.lit(n)), ("source", "day")) for n in names]
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    return found
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _checked(lake: Lake, layer: str, upstream: str, names: list[str], first_day: int, last_day: int, created_at: str) -> DataFrame:
-    checks = lake.stored(_checksums(lake, layer, names, first_day, last_day), f"_checks/{layer}")
-    if checks.isEmpty():
-        raise ValueError(f"{layer}: no rows in days {first_day} to {last_day}")
-    lake.record(layer, upstream, checks, created_at)
+    checks = stored(_checksums(lake, layer, names, first_day, last_day), "checks")
+    lake.record(layer, upstream, checks, {n: lake.read(f"{layer}/{n}").columns for n in names}, created_at)
     return checks
 
 
 def validate(lake: Lake, layer: str, names: list[str], first_day: int, last_day: int) -> DataFrame:
-    return checksum_validation(lake.read(f"checksums/{layer}"), _checksums(lake, layer, names, first_day, last_day), ["source", "day"])
+    return checksum_validation(lake.checksums().where(F.col("layer") == layer), _checksums(lake, layer, names, first_day, last_day), ["source", "day"])
 
 
 def silver_tables(lake: Lake, first_day: int, last_day: int) -> dict[str, DataFrame]:
     return {n: _layer(lake, "silver", n, first_day, last_day) for n in SOURCES}
 
 
+def gold_rows(lake: Lake, first_anchor: int, last_anchor: int, window_days: int) -> DataFrame:
+    stored_rows = lake.read("gold").where((F.col("window_days") == window_days) & F.col("anchor_day").between(first_anchor, last_anchor))
+    return stored_rows.select(*COLUMNS)
+
+
+def _gold_checksums(gold: DataFrame) -> DataFrame:
+    checks = content_checksum_md5(gold, ("anchor_day", "window_days"))
+    return checks.select(F.lit(None).cast("string").alias("source"), F.col("anchor_day").alias("day"), "window_days", "record_count", "checksum")
+
+
 def build_gold(lake: Lake, first_anchor: int, last_anchor: int, window_days: int, created_at: str) -> DataFrame:
     """Silver to Gold for all anchors in one plan, after Silver agrees with its recorded checksums."""
     first_day = window_event_days(first_anchor, window_days)[0]
     require_valid(validate(lake, "silver", list(SOURCES), first_day, last_anchor))
-    gold = computer_features(silver_tables(lake, first_day, last_anchor), [first_anchor, last_anchor], window_days)
-    write_table(gold, lake.path("gold"), ["window_days", "anchor_day"])
-    stored = lake.read("gold").where((F.col("window_days") == window_days) & F.col("anchor_day").between(first_anchor, last_anchor))
-    checks = content_checksum_md5(stored.select(*gold.columns), ("anchor_day", "window_days"))
-    checks = lake.stored(checks.select(F.lit(None).cast("string").alias("source"), F.col("anchor_day").alias("day"), "window_days", "record_count", "checksum"), "_checks/gold")
-    if checks.isEmpty():
+    days = stored_daily(silver_tables(lake, first_day, last_anchor), first_day, last_anchor)
+    if days.where("computer_id is not null").isEmpty():
         raise ValueError(f"no computer was active in the windows of anchors {first_anchor} to {last_anchor}")
-    lake.record("gold", "silver", checks, created_at)
-    return stored.select(*gold.columns)
+    write_table(features_of_days(days, first_anchor, last_anchor, window_days), lake.path("gold"), ["window_days", "anchor_day"])
+    gold = gold_rows(lake, first_anchor, last_anchor, window_days)
+    lake.record("gold", "silver", stored(_gold_checksums(gold), "checks"), {"gold": list(COLUMNS)}, created_at)
+    return gold
+
+
+def deliver_windows(lake: Lake, path: str, first_anchor: int, last_anchor: int, window_days: int, secret: str, created_at: str) -> DataFrame:
+    """Gold to a delivery for each anchor, after Gold agrees with its recorded checksums; returns the manifests, which are recorded, too."""
+    gold = gold_rows(lake, first_anchor, last_anchor, window_days)
+    known = lake.checksums().where("layer = 'gold'")
+    require_valid(checksum_validation(known, _gold_checksums(gold), ["day", "window_days"]))
+    manifests = deliver(gold, path, secret, created_at, lake.checksums())
+    lake.append("deliveries", manifests.select(*_MANIFEST_RECORD))
+    counts = manifests.select(F.lit(None).cast("string").alias("source"), F.col("anchor_day").alias("day"), "window_days", "record_count")
+    lake.append("lineage", lineage_rows(counts, "gold", "delivered").withColumn("created_at", F.lit(created_at)))
+    return manifests
 
 
 def backfill(lake: Lake, landing: str, first_day: int, last_day: int, window_days: int, created_at: str) -> DataFrame:
@@ -117,8 +194,6 @@ def backfill(lake: Lake, landing: str, first_day: int, last_day: int, window_day
 def reprocess_window(lake: Lake, landing: str, anchor_day: int, window_days: int, created_at: str) -> DataFrame:
     """Rebuilds one window; every source must have landed on every day of it."""
     days = window_event_days(anchor_day, window_days)
-    from functools import reduce
-
     landed = [lake.spark.read.text(f"{landing}/{n}").select(F.lit(n).alias("source"), F.col("day").cast("int").alias("day")) for n in SOURCES]
     gaps = missing_partitions(reduce(DataFrame.union, landed), list(SOURCES), days).orderBy("day", "source").limit(20).collect()
     if gaps:

@@ -320,7 +320,7 @@ _MANIFEST = f"""SELECT 'computer_features' AS dataset, 'computer_features-w{WIND
 
 
 def _plain(manifests: DataFrame) -> DataFrame:
-    return manifests.withColumn("columns", F.array_join("columns", ",")).drop("checksum_sha256")
+    return manifests.withColumn("columns", F.array_join("columns", ",")).drop("checksum_sha256", "volume_summary")
 
 
 def _delivered(spark, d) -> tuple[str, DataFrame]:
@@ -345,9 +345,10 @@ def _roundtrip(spark, d):
 @_query("tamper_report", f"{_M} SELECT printf('window_days={WINDOW}/anchor_day=%02d', anchor_day) AS partition, count(*) AS rows, CASE WHEN anchor_day = 12 THEN count(*) ELSE 0 END AS unreadable FROM gold GROUP BY anchor_day")
 def _tampered(spark, d):
     path, gold = _delivered(spark, d)
-    rows = spark.read.parquet(f"{path}/data")
+    rows = delivery.sealed_rows(spark, path)
     moved = F.when(F.endswith("sealed_partition", F.lit("12")), F.col("proc_start_count")).otherwise(F.col("dns_lookup_count"))
-    return sealed.tamper_report(rows.withColumn("dns_lookup_count", moved), SECRET, gold.columns)
+    hidden = [c for c in gold.columns if c not in delivery.CLEAR]
+    return sealed.tamper_report(rows.withColumn("dns_lookup_count", moved), SECRET, hidden)
 
 
 @_query("delivery_acceptance", f"{_M} SELECT window_days, anchor_day, true AS schema_ok, anchor_day <> 11 AS count_ok, anchor_day <> 11 AS checksum_ok, anchor_day <> 11 AS accepted FROM gold GROUP BY ALL")
@@ -386,26 +387,92 @@ _query(
 )(lambda spark, d: contract.schema_column_status(_manifests(spark, d)))
 
 
+_query("manifest_lookup", f"{_M} SELECT * FROM ({_MANIFEST}) WHERE anchor_day = 12")(
+    lambda spark, d: _plain(metrics.find_manifest(delivery.manifest_listing(spark, _delivered(spark, d)[0]), WINDOW, 12))
+)
+_query("newest_manifest", f"{_M} SELECT * FROM ({_MANIFEST}) WHERE anchor_day = {LAST}")(
+    lambda spark, d: _plain(metrics.find_manifest(delivery.manifest_listing(spark, _delivered(spark, d)[0])))
+)
+
+
 # Jobs from layer to layer
 def _lake(spark, d, first: int, last: int) -> tuple[jobs.Lake, str]:
     root = tables.scratch(spark, "lake")
-    for s in SOURCES:
-        tables.land(fixtures.raw_lines(spark, d, s), f"{root}/landing", s, first, last)
+    jobs._each(SOURCES, lambda s: tables.land(fixtures.raw_lines(spark, d, s), f"{root}/landing", s, first, last))
     return jobs.Lake(spark, root), f"{root}/landing"
 
 
-@_query("stage_bronze_to_silver", f"SELECT source, day, record_count FROM ({_COUNTS}) WHERE layer = 'silver' AND day BETWEEN 0 AND 3")
+#: Days of the registered jobs: all that the tables have.
+DAYS = (0, 29)
+
+
+@_query("stage_bronze_to_silver", f"SELECT source, day, record_count FROM ({_COUNTS}) WHERE layer = 'silver'")
 def _stage(spark, d):
-    lake, landing = _lake(spark, d, 0, 3)
-    jobs.to_bronze(lake, landing, list(SOURCES), 0, 3, CREATED)
-    return jobs.to_silver(lake, list(SOURCES), 0, 3, CREATED).select("source", "day", "record_count")
+    lake, landing = _lake(spark, d, *DAYS)
+    jobs.to_bronze(lake, landing, list(SOURCES), *DAYS, CREATED)
+    return jobs.to_silver(lake, list(SOURCES), *DAYS, CREATED).select("source", "day", "record_count")
 
 
-@_query("backfill_range", f"WITH {sql.gold_with(0, 3, 3)} SELECT * FROM gold")
+@_query("backfill_range", f"WITH {sql.gold_with(*DAYS, WINDOW)} SELECT * FROM gold")
 def _backfill(spark, d):
-    return jobs.backfill(*_lake(spark, d, 0, 3), 0, 3, 3, CREATED)
+    return jobs.backfill(*_lake(spark, d, *DAYS), *DAYS, WINDOW, CREATED)
 
 
 @_query("reprocess_window", f"WITH {sql.gold_with(4, 4, 3)} SELECT * FROM gold")
 def _reprocess(spark, d):
-    return jobs.reprocess_window(*_lake(spark, d, 0, 29), 4, 3, CREATED)
+    return jobs.reprocess_window(*_lake(spark, d, *DAYS), 4, 3, CREATED)
+
+
+_BAD = "TRY_CAST(time AS BIGINT) % 97 = 0"
+
+
+@_query("quarantine_counts", f"SELECT source, day AS landing_day, count(*) AS rows FROM ({sql.bronze('auth')}) WHERE {_BAD} GROUP BY ALL")
+def _quarantined(spark, d):
+    """Lines of a producer that writes some times as text lie in the folders of their days."""
+    lake = jobs.Lake(spark, tables.scratch(spark, "lake"))
+    rows = fixtures.bronze(spark, d, "auth")
+    fields = [F.when(F.expr(_BAD), F.concat(F.lit("at "), "time")).otherwise(F.col("time")), *[F.coalesce(f, F.lit("")) for f in SOURCES["auth"].fields[1:]]]
+    tables.write_table(rows.select(F.concat_ws(",", *fields).alias("value"), "day"), lake.path("landing/auth"), ["day"], "text")
+    jobs.to_bronze(lake, lake.path("landing"), ["auth"], *DAYS, CREATED)
+    return jobs.quarantine_counts(lake)
+
+
+_LISTS = {"landing": {s: SOURCES[s].fields for s in SOURCES}, "bronze": {s: (*SOURCES[s].fields, "source", "day") for s in SOURCES}}
+
+
+@_query(
+    "schema_registrations",
+    " UNION ALL ".join(
+        f"SELECT source, '{layer}' AS layer, 'v1' AS schema_version, '{','.join(names)}' AS columns FROM ({sql.bronze(s)}) GROUP BY source"
+        for layer, lists in _LISTS.items()
+        for s, names in lists.items()
+    ),
+)
+def _schemas(spark, d):
+    lake, landing = _lake(spark, d, *DAYS)
+    jobs.to_bronze(lake, landing, list(SOURCES), *DAYS, CREATED)
+    jobs.to_bronze(lake, landing, ["dns"], 3, 4, CREATED)  # again: still one record for each table
+    return lake.latest("schemas", ("source", "layer", "schema_version")).select("source", "layer", "schema_version", F.array_join("columns", ",").alias("columns"))
+
+
+_V = f"""{_M}, counts AS ({_COUNTS}), m AS (SELECT window_days, anchor_day, count(*) AS record_count FROM gold GROUP BY window_days, anchor_day)"""
+_OF_DAYS = "(SELECT CAST(sum(c.record_count) AS BIGINT) FROM counts c WHERE c.layer = '{}' AND c.day BETWEEN m.anchor_day - m.window_days + 1 AND m.anchor_day)"
+
+
+@_query(
+    "delivery_records",
+    f"""{_V} SELECT window_days, anchor_day, record_count, {_OF_DAYS.format("landing")} AS landing, {_OF_DAYS.format("bronze")} AS bronze,
+        {_OF_DAYS.format("silver")} AS silver, record_count AS gold, window_days AS days, 'computer_features/window_days=' || window_days || '/anchor_day='
+        || printf('%02d', anchor_day) AS data_object FROM m""",
+)
+def _delivery_records(spark, d):
+    """A backfill is delivered twice; the manifests hold the volume behind them, the records one row for each delivery."""
+    lake, landing = _lake(spark, d, *DAYS)
+    jobs.backfill(lake, landing, *DAYS, WINDOW, CREATED)
+    for created in (CREATED, CREATED.replace("2024-02-01", "2024-02-02")):
+        jobs.deliver_windows(lake, lake.path("out"), FIRST, LAST, WINDOW, SECRET, created)
+    found = delivery.manifest_listing(spark, lake.path("out")).select("window_days", "anchor_day", "created_at", "volume_summary")
+    total = lambda layer: F.aggregate(f"volume_summary.{layer}.record_count", F.lit(0).cast("long"), lambda a, x: a + x).alias(layer)
+    latest = lake.latest("deliveries", ("window_days", "anchor_day")).join(found, ["window_days", "anchor_day", "created_at"])
+    gold, days = F.col("volume_summary.gold.record_count").alias("gold"), F.size("volume_summary.event_days").alias("days")
+    return latest.select("window_days", "anchor_day", "record_count", *map(total, governance.LAYERS[:3]), gold, days, "data_object")

@@ -37,8 +37,8 @@ def _bound_to(column: str) -> Column:
     return F.concat_ws("/", F.col(_PARTITION), F.lit(column))
 
 
-def seal(df: DataFrame, secret: str, partition: Column) -> DataFrame:
-    """df with every column encrypted, and the partition's id in clear."""
+def seal(df: DataFrame, secret: str, partition: Column, clear: tuple[str, ...] = ()) -> DataFrame:
+    """df with every column but those in clear encrypted, and the partition's id."""
     rows = _with_key(df.withColumn(_PARTITION, partition), secret)
 
     def sealed(c: str) -> Column:
@@ -46,19 +46,18 @@ def seal(df: DataFrame, secret: str, partition: Column) -> DataFrame:
         marked = F.when(value.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), value))
         return F.aes_encrypt(F.encode(marked, "UTF-8"), F.col(_KEY), F.lit("GCM"), F.lit("DEFAULT"), F.lit(b""), F.encode(_bound_to(c), "UTF-8")).alias(c)
 
-    return rows.select(_PARTITION, *[sealed(c) for c in df.columns])
+    return rows.select(_PARTITION, *[F.col(c) if c in clear else sealed(c) for c in df.columns])
 
 
 def _opened(c: str, decrypt) -> Column:
     return F.decode(decrypt(F.col(c), F.col(_KEY), F.lit("GCM"), F.lit("DEFAULT"), F.encode(_bound_to(c), "UTF-8")), "UTF-8")
 
 
-def unseal(df: DataFrame, secret: str, schema: StructType) -> DataFrame:
+def unseal(df: DataFrame, secret: str, schema: StructType, clear: tuple[str, ...] = ()) -> DataFrame:
     """The rows as they were, with the types of schema; a wrong key or a changed value raises."""
     rows = _with_key(df, secret)
-    return rows.select(
-        *[_value(_opened(f.name, F.aes_decrypt)).cast(f.dataType).alias(f.name) for f in schema],
-    )
+    value = lambda c: F.col(c) if c in clear else _value(_opened(c, F.aes_decrypt))
+    return rows.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def _value(marked: Column) -> Column:

@@ -21,8 +21,9 @@ class EmptyRange(ValueError):
 def land(lines: DataFrame, path: str, name: str, first_day: int, last_day: int) -> None:
     """Writes raw lines (column value) of the days first_day..last_day as gzip CSV, a folder for each day.
 
-    Lines without a comma, or whose first field isn't a number, are skipped, as are
-    days without lines; no line at all is an error. Rewriting a day replaces it.
+    Lines without a comma are skipped, as are days without lines; no line at all is
+    an error. Lines whose first field isn't a number have no day: see undated().
+    Rewriting a day replaces it.
     """
     time = as_long(F.split_part("value", F.lit(","), F.lit(1)))
     chosen = (
@@ -37,11 +38,18 @@ def land(lines: DataFrame, path: str, name: str, first_day: int, last_day: int)
     _replace(spread, ["day"]).option("compression", "gzip").format("text").save(f"{path}/{name}")
 
 
-def scan_landing(spark: SparkSession, path: str, name: str, first_day: int | None = None, last_day: int | None = None) -> DataFrame:
-    """The raw fields of landed lines, all strings, empty ones null, of the days asked for."""
+def undated(lines: DataFrame) -> DataFrame:
+    """The raw lines that land() can't place: with fields, but without a number as their time."""
+    time = as_long(F.split_part("value", F.lit(","), F.lit(1)))
+    return lines.where(F.contains("value", F.lit(",")) & time.isNull())
+
+
+def scan_landing(spark: SparkSession, path: str, name: str, first_day: int | None = None, last_day: int | None = None, with_day: bool = False) -> DataFrame:
+    """The raw fields of landed lines, all strings, empty ones null, of the days asked for; with_day: also the landing_day."""
     spec = source(name)
     files = spark.read.schema(spec.raw_schema.add("day", IntegerType())).option("header", False).csv(f"{path}/{name}")
-    return _between(files, first_day, last_day).select(*spec.fields)
+    landing_day = [F.col("day").alias("landing_day")] if with_day else []
+    return _between(files, first_day, last_day).select(*spec.fields, *landing_day)
 
 
 def landing_digests(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -70,6 +78,20 @@ def stored(df: DataFrame, name: str, partitions: tuple[str, ...] | list[str] = (
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The store that holds path, and path for it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file of exactly this name, replacing an older one."""
+    store, place = file_system(spark, path)
+    out = store.create(place, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def _between(df: DataFrame, first_day: int | None, last_day: int | None) -> DataFrame:
     if first_day is not None:
         df = df.where(F.col("day") >= first_day)

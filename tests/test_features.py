@@ -156,6 +156,47 @@ def test_checksums(spark):
         assert base not in (of([(1, "a"), (2, "")]), of([(1, "a"), (2, None), (2, None)]), of([(1, "a"), (2, None)], "id long, w string"))
 
 
+def test_digests_of_landed_files(spark, tmp_path):
+    import hashlib
+
+    from hostgrain.sources.tables import land, landing_digests, undated
+
+    lines = spark.createDataFrame([(f"{t},C{t % 5},C1",) for t in range(1, 200_000, 7_000)] + [("x,C1,C2",), ("no comma",)], "value string")
+    land(lines, f"file://{tmp_path}", "dns", 0, 9)
+    assert [r["value"] for r in undated(lines).collect()] == ["x,C1,C2"]
+    wanted = {}
+    for folder in (tmp_path / "dns").glob("day=*"):
+        each = sorted(hashlib.sha256(f.read_bytes()).hexdigest() for f in folder.glob("*.gz"))
+        wanted[int(folder.name[4:])] = (len(each), hashlib.sha256(",".join(each).encode()).hexdigest())
+    assert {r["day"]: (r["files"], r["sha256"]) for r in landing_digests(spark, f"file://{tmp_path}", "dns").collect()} == wanted and len(wanted) == 3
+
+
+def test_a_source_without_rows_fails_before_the_write(spark, tmp_path):
+    from hostgrain.plans.jobs import Lake, quarantine_counts, to_bronze, to_silver
+    from hostgrain.sources.tables import land
+
+    lake, landing = Lake(spark, f"file://{tmp_path}/lake"), f"file://{tmp_path}/landing"
+    land(spark.createDataFrame([("5,C1,C2",), ("90000,C1,C3",)], "value string"), landing, "dns", 0, 1)
+    land(spark.createDataFrame([("5,U1@D,C1,P1,Start",)], "value string"), landing, "proc", 0, 1)
+    to_bronze(lake, landing, ["dns", "proc"], 0, 0, "2024-01-01")
+    with pytest.raises(ValueError, match="no rows of proc in days 1 to 1"):
+        to_bronze(lake, landing, ["dns", "proc"], 1, 1, "2024-01-02")
+    assert not (tmp_path / "lake/bronze/dns/source=dns/day=1").exists()
+    folder = tmp_path / "landing/dns/day=1"
+    (folder / "more.txt").write_text("later,C1,C2\n90001,C9,C2\n")
+    to_bronze(lake, landing, ["dns"], 0, 1, "2024-01-03")
+    assert [tuple(r) for r in quarantine_counts(lake).collect()] == [("dns", 1, 1)]
+    (folder / "more.txt").unlink()
+    to_bronze(lake, landing, ["dns"], 0, 1, "2024-01-04")
+    assert quarantine_counts(lake).count() == 0
+    checks = {(r["layer"], r["source"], r["day"]): r["record_count"] for r in lake.checksums().collect()}
+    assert checks == {(layer, s, day): 1 for layer in ("landing", "bronze") for s, day in (("dns", 0), ("dns", 1), ("proc", 0))}
+    to_silver(lake, ["dns"], 0, 1, "2024-01-04")
+    spark.createDataFrame([("5", "C1", "other", "dns", 0)], "time string, src_comp string, resolved_comp string, source string, day int").write.mode("append").partitionBy("source", "day").parquet(lake.path("bronze/dns"))
+    with pytest.raises(ValueError, match="can't be trusted"):
+        to_silver(lake, ["dns"], 0, 1, "2024-01-05")
+
+
 def test_wrong_key_and_gaps_raise(spark, tables, tmp_path):
     from hostgrain.plans.delivery import deliver, received
     from hostgrain.plans.jobs import Lake, reprocess_window
@@ -167,6 +208,11 @@ def test_wrong_key_and_gaps_raise(spark, tables, tmp_path):
     assert sorted(received(spark, path, "one", gold.schema).collect()) == sorted(gold.collect())
     with pytest.raises(Exception, match="(?i)aes|crypt|tag"):
         received(spark, path, "two", gold.schema).collect()
+    folder = tmp_path / "out/computer_features/window_days=2"
+    assert '"record_count" : 4' in (folder / "anchor_day=01/manifest.json").read_text()
+    (folder / "anchor_day=01").rename(folder / "anchor_day=05")
+    with pytest.raises(Exception, match="(?i)aes|crypt|tag"):  # a partition moved elsewhere
+        received(spark, path, "one", gold.schema).collect()
     lines = spark.createDataFrame([("5,C1,C2",), ("nothing",), (",C1,C2",)], "value string")
     for n in SOURCES:
         land(lines, f"file://{tmp_path}/landing", n, 0, 3)
