@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hostgrain.llm.storage import fresh, table, written
+from hostgrain.llm.storage import fresh, table, without, written
 
 #: At most so many digests are broadcast (64 bytes each).
 HEAVY_DIGESTS = 1_000
@@ -66,14 +66,17 @@ def exact_duplicates(
 
 
 def keep_one_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs without those that exact_duplicates() drops, with all their columns."""
+    """The rows of docs without those that exact_duplicates() drops, with all their columns.
+
+    Only texts of dropped rows and of a few others are shuffled. Rows that repeat
+    both id and text are one document: all of them stay or go.
+    """
     verdict = exact_duplicates(docs, id_col, text_col)
     key, digest = fresh(docs, "dropped_id"), fresh(docs, "dropped_digest")
     dropped = (
         verdict.where(~F.col("kept")).select(F.col(id_col).alias(key), F.col("text_sha256").alias(digest)).distinct()
     )
-    same = F.col(id_col).eqNullSafe(F.col(key)) & (text_digest(F.col(text_col)) == F.col(digest))
-    return docs.join(dropped, same, "left_anti")
+    return without(docs, written(dropped, "dropped"), {key: F.col(id_col), digest: text_digest(F.col(text_col))})
 
 
 def op7(spark, sf_dir):

@@ -30,7 +30,7 @@ from pyspark.sql.window import Window
 
 from hostgrain.llm.components import components
 from hostgrain.llm.shingles import mix64, shingle_set
-from hostgrain.llm.storage import fresh, table, written
+from hostgrain.llm.storage import fresh, marked, table, without, written
 
 GROWTH = 1.5
 #: Bits of the sketch for each shingle that may differ.
@@ -42,8 +42,6 @@ SMALL_BUCKET = 24
 #: Rounds in which each component of a large bucket only tries its nearest pair; the round after them tries all that are left.
 NEAREST_ROUNDS = 2
 BLOCK = 512
-#: Bits of a broadcast bitmap, at most (64 MB).
-MAX_BITS = 1 << 29
 #: Digests or parts that are settled map-side, at most, and counters to find them with.
 HEAVY = 1_000
 TRACKED = 16_384
@@ -104,6 +102,10 @@ def bit_sketch(hashes: np.ndarray, band: int, percent: int) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def _digest(hashes: bytes) -> bytes:
+    return hashlib.blake2b(hashes, digest_size=16).digest()
+
+
 def _distance(a: bytes, b: bytes) -> int:
     return (int.from_bytes(a) ^ int.from_bytes(b)).bit_count()
 
@@ -124,8 +126,7 @@ def fingerprints(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     bands = bands_of(len(hashes), percent) if len(hashes) else []
                     keys = [part_keys(hashes, b, percent) for b in bands] + [np.empty(0, np.uint64)]
                     sketches = [{"band": b, "bits": bit_sketch(hashes, b, percent)} for b in bands]
-                    digest = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
-                    rows.append((len(hashes), digest, np.concatenate(keys).view(np.int64), sketches))
+                    rows.append((len(hashes), _digest(hashes.tobytes()), np.concatenate(keys).view(np.int64), sketches))
                 out = pd.DataFrame(rows, columns=["n", "digest", "keys", "sketches"])
                 out.insert(0, "id", part["id"].astype("Int64").to_numpy())
                 yield out.astype({"id": "Int64"})
@@ -183,31 +184,34 @@ def _screen(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "a_n", "b_n", "a_sketches", "b_sketches").mapInPandas(screen, "a long, b long, distance long")
 
 
-def _among(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of docs whose id is among wanted (column w), and perhaps a few more, without shuffling texts.
+def _aliases(prints: DataFrame) -> DataFrame | None:
+    """(of, of_digest, alias): a node of its own for each further set of an id that stands for several; None if there are none."""
+    shared = prints.groupBy("id").agg(F.min("digest").alias("first"), F.max("digest").alias("last")).where("first <> last")
+    shared = written(shared.select(F.col("id").alias("of"), "first"), "shared-ids")
+    if shared.isEmpty():
+        return None
+    further = prints.join(shared, F.col("id") == F.col("of")).where("digest <> first").select("of", F.col("digest").alias("of_digest")).distinct()
+    top = prints.agg(F.max("id")).first()[0]
+    if top >= 1 << 62:
+        raise ValueError("ids that several texts share must be below 2 ** 62")
+    return written(further.withColumn("alias", F.monotonically_increasing_id() + top + 1), "aliases")
 
-    A bitmap of hashed ids, 16 bits for each id, is broadcast in pieces of 4 KB; if
-    it were larger than MAX_BITS, an ordinary join is used.
-    """
-    bits = 1 << max(20, (16 * wanted.count() - 1).bit_length())
-    if bits > MAX_BITS:
-        return docs.join(wanted, F.col("id") == F.col("w"), "left_semi")
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
-    maps = written(
-        wanted.groupBy(F.bitmap_bucket_number(place("w")).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place("w"))).alias("map")), "bitmap"
-    )
-    marked = docs.withColumn("at", F.bitmap_bit_position(place("id"))).withColumn("of", F.bitmap_bucket_number(place("id")))
-    joined = marked.join(F.broadcast(maps), F.col("of") == F.col("piece"))
-    byte = F.conv(F.hex(F.substring(F.col("map"), (F.floor(F.col("at") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return joined.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(at % 8 as int))")) > 0).select("id", "text")
+
+def _as_nodes(rows: DataFrame, aliases: DataFrame | None) -> DataFrame:
+    """rows (id, digest, ..) with the column node: the id, or the alias of this set of the id."""
+    if aliases is None:
+        return rows.withColumn("node", F.col("id"))
+    joined = rows.join(aliases, (F.col("id") == F.col("of")) & (F.col("digest") == F.col("of_digest")), "left")
+    return joined.withColumn("node", F.coalesce("alias", "id")).drop("of", "of_digest", "alias")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose shingle sets are similar enough; docs has id and text."""
+def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int, aliases: DataFrame | None) -> DataFrame:
+    """The pairs (a, b) of nodes whose shingle sets are similar enough; docs has id and text."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "shingles": [shingle_set(t, k).tobytes() for t in batch["text"]]})
+            raw = [shingle_set(t, k).tobytes() for t in batch["text"]]
+            yield pd.DataFrame({"id": batch["id"], "digest": [_digest(r) for r in raw], "shingles": raw})
 
     def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -219,9 +223,13 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
             yield batch.loc[np.array(keep, bool), ["a", "b"]]
 
     wanted = written(pairs.select(F.col("a").alias("w")).union(pairs.select(F.col("b").alias("w"))).distinct(), "wanted")
-    found = written(_among(docs, wanted).mapInPandas(sets, "id long, shingles binary"), "sets")
-    x = found.select(F.col("id").alias("xi"), F.col("shingles").alias("x"))
-    y = found.select(F.col("id").alias("yi"), F.col("shingles").alias("y"))
+    ids = wanted
+    if aliases is not None:
+        ids = wanted.join(aliases, F.col("w") == F.col("alias"), "left").select(F.coalesce("of", "w").alias("w")).distinct()
+    texts = marked(docs, F.col("id"), ids, F.col("w"), "hit").where("hit").select("id", "text")
+    found = written(_as_nodes(texts.mapInPandas(sets, "id long, digest binary, shingles binary"), aliases).select("node", "shingles"), "sets")
+    x = found.select(F.col("node").alias("xi"), F.col("shingles").alias("x"))
+    y = found.select(F.col("node").alias("yi"), F.col("shingles").alias("y"))
     joined = pairs.join(y, F.col("b") == F.col("yi")).join(x, F.col("a") == F.col("xi"))
     return joined.select("a", "b", "x", "y").mapInPandas(similar, "a long, b long")
 
@@ -318,11 +326,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     k-word shingles (A-Z as a-z). component_id is the smallest id reachable by
     links, itself included. Texts without words and nulls have 0 shingles and link
     with nothing; a row without id has component_id null. Rows that share an id are
-    one document with the links of each. Other columns are ignored.
+    one document with the links of each (ids that differing texts share must be below
+    2 ** 62). Repeated rows get equal results, an empty table gives no rows. Other
+    columns are ignored, whatever their names.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     prints = written(fingerprints(texts, k, percent), "prints")
     whole = prints.where("id is not null and n > 0")
+    aliases = _aliases(whole)
+    whole = _as_nodes(whole, aliases).withColumnRenamed("id", "of_id").withColumnRenamed("node", "id")
     # large groups of equal sets are settled map-side: one row of each stays
     named = whole.select("id", F.hex("digest").alias("hash"))
     hot = written(
@@ -332,10 +344,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         .where("copies > 1"),
         "hot-sets",
     )
-    marked = whole.withColumn("hash", F.hex("digest")).join(F.broadcast(hot), "hash", "left")  # HEAVY rows at most
+    marked_sets = whole.withColumn("hash", F.hex("digest")).join(F.broadcast(hot), "hash", "left")  # HEAVY rows at most
     columns = ["id", "n", "keys", "sketches"]
-    single = marked.where("first_id is null").select("hash", *columns)
-    leaders = marked.where("id = first_id").groupBy("hash").agg(*[F.first(c).alias(c) for c in columns])
+    single = marked_sets.where("first_id is null").select("hash", *columns)
+    leaders = marked_sets.where("id = first_id").groupBy("hash").agg(*[F.first(c).alias(c) for c in columns])
     nodes = single.unionByName(leaders.select("hash", *columns))
 
     rep = single.groupBy("hash").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
@@ -343,9 +355,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     sketches = nodes.select("id", "n", "sketches")
     buckets = _buckets(nodes)
 
+    if aliases is not None:  # the sets of an id belong together
+        own = marked_sets.select("of_id", F.coalesce("first_id", "id").alias("b")).join(aliases.select("of").distinct(), F.col("of_id") == F.col("of"), "left_semi")
+        heads = own.groupBy(F.col("of_id").alias("head_of")).agg(F.min("b").alias("a"))
+        copies = copies.union(own.join(heads, F.col("of_id") == F.col("head_of")).where("a <> b").select("a", "b").distinct())
     stars = buckets.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     best = _screen(stars, sketches, percent).groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("a"))
-    links = written(_verify(written(best.select("a", "b"), "best"), texts, k, percent).union(copies), "links")
+    links = written(_verify(written(best.select("a", "b"), "best"), texts, k, percent, aliases).union(copies), "links")
     merged = components(links)
 
     open_ = written(_unsettled(buckets, merged), "open")
@@ -365,7 +381,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
             break
         blocks = _block_pairs(large, sketches, percent, best=turn < NEAREST_ROUNDS)
         candidates = written((candidates.union(blocks) if not turn else blocks).distinct(), "candidates")
-        more = written(_verify(candidates, texts, k, percent), "more-links")
+        more = written(_verify(candidates, texts, k, percent, aliases), "more-links")
         if not more.isEmpty():
             links = links.union(more)
             final = components(links)
@@ -375,8 +391,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     hot_part = hot.join(final, F.col("first_id") == F.col("node"), "left").select(
         F.col("hash"), F.coalesce("component", "first_id").alias("hot_component")
     )
-    own = prints.select("id", "n", F.hex("digest").alias("hash")).join(F.broadcast(hot_part), "hash", "left")
-    return own.join(final, F.col("id") == F.col("node"), "left").select(
+    own = _as_nodes(prints.select("id", "n", "digest"), aliases).withColumnRenamed("node", "own").withColumn("hash", F.hex("digest"))
+    own = own.join(F.broadcast(hot_part), "hash", "left")
+    return own.join(final, F.col("own") == F.col("node"), "left").select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when((F.col("n") == 0) | F.col("id").isNull(), F.col("id")).otherwise(F.coalesce("hot_component", "component", "id")).alias("component_id"),
@@ -384,10 +401,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
 
 def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that are the smallest id of their component, with all columns; rows without words stay."""
+    """The rows of docs that are the smallest id of their component, with all columns; rows without words or without id stay."""
     found, key = near_duplicates(docs, k, percent, id_col, text_col), fresh(docs, "dropped_id")
     dropped = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(key)).distinct()
-    return docs.join(dropped, F.col(id_col) == F.col(key), "left_anti")
+    return without(docs, written(dropped, "dropped"), {key: F.col(id_col)})
 
 
 def op4(spark, sf_dir):

@@ -5,7 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+#: Bits of a broadcast bitmap, at most (64 MB).
+MAX_BITS = 1 << 29
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -36,3 +41,41 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def marked(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, name: str) -> DataFrame:
+    """rows with a column `name`: false only where the key is none of the wanted ones, without a shuffle of rows.
+
+    A bitmap of hashed keys, 16 bits or more for each of them, is broadcast in pieces
+    of 4 KB: about one in 16 other rows is marked, too. With so many keys that it would
+    be larger than MAX_BITS, all rows are marked, which leaves the work to the join
+    that follows.
+    """
+    bits = 1 << max(20, (16 * wanted.count() - 1).bit_length())
+    if bits > MAX_BITS:
+        return rows.withColumn(name, F.lit(True))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    own, at, piece, bitmap = (fresh(rows, f"{name}_{x}") for x in ("place", "at", "piece", "map"))
+    maps = wanted.groupBy(F.bitmap_bucket_number(place(wanted_key)).alias(piece)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place(wanted_key))).alias(bitmap)
+    )
+    maps = written(maps, "bitmap")
+    placed = rows.withColumn(own, place(key)).withColumn(at, F.bitmap_bit_position(own))
+    joined = placed.join(F.broadcast(maps), F.bitmap_bucket_number(own) == F.col(piece), "left")  # MAX_BITS at most
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), (F.floor(F.col(at) / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = byte.bitwiseAND(F.expr(f"shiftleft(1, cast(`{at}` % 8 as int))")) > 0
+    return joined.select(*rows.columns, F.coalesce(hit, F.lit(False)).alias(name))
+
+
+def without(rows: DataFrame, dropped: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """The rows whose keys (column of dropped -> expression on rows, null-safe) aren't among dropped; texts of few others move.
+
+    dropped has these columns only, under names that rows doesn't have, each key once.
+    """
+    name = fresh(rows, "marked")
+    both = marked(rows, F.struct(*keys.values()), dropped, F.struct(*map(F.col, keys)), name)
+    condition = F.lit(True)
+    for column, key in keys.items():
+        condition = condition & F.col(column).eqNullSafe(key)
+    kept = both.where(~F.col(name)).unionByName(both.where(F.col(name)).join(dropped, condition, "left_anti"))
+    return kept.select(*rows.columns)

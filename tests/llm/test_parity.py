@@ -38,6 +38,25 @@ def brute(docs, k, percent):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
+def brute_rows(docs, k, percent):
+    """As brute(), where rows may share an id: (id, set size, smallest id reachable) of each row, sorted."""
+    rows = list(enumerate(docs))
+    own = [(n, t) for n, (_, t) in rows]
+    of = dict(enumerate(i for i, _ in docs))
+    heads = {i: i for i, _ in docs}
+
+    def find(i):
+        while heads[i] != i:
+            i = heads[i]
+        return i
+
+    linked = brute(own, k, percent)
+    for n, (_, first) in linked.items():
+        x, y = find(of[n]), find(of[first])
+        heads[max(x, y)] = min(x, y)
+    return sorted((of[n], size, find(of[n]) if size else of[n]) for n, (size, _) in linked.items())
+
+
 def result(df, k, percent):
     return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in p.near_duplicates(df, k, percent).collect()}
 
@@ -92,6 +111,18 @@ def test_components_against_all_pairs(spark, monkeypatch, seed, k, percent, smal
     assert result(df, k, percent) == brute(docs, k, percent)
 
 
+@pytest.mark.parametrize(("seed", "small", "block", "heavy"), [(4, 24, 512, 1000), (5, 2, 3, 1000), (6, 4, 8, 2)])
+def test_rows_that_share_an_id(spark, monkeypatch, seed, small, block, heavy):
+    for name, value in (("SMALL_BUCKET", small), ("BLOCK", block), ("HEAVY", heavy)):
+        monkeypatch.setattr(p, name, value)
+    rng = random.Random(seed)
+    docs = [(rng.choice(range(0, 40)) if rng.random() < 0.3 else i, t) for i, t in near_copies(rng, 30)]
+    docs += [*docs[:5], (docs[0][0], ""), (docs[1][0], None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = sorted(tuple(r) for r in p.near_duplicates(df, 4, 85).collect())
+    assert found == brute_rows(docs, 4, 85)
+
+
 def test_query_over_the_whole_table(spark, documents):
     docs = [(r["doc_id"], r["text"]) for r in documents.collect()]
     assert result(documents, 4, 85) == brute(docs, 4, 85)
