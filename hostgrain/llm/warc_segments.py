@@ -20,13 +20,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostgrain.llm.storage import table, work_dir, written
+from hostgrain.llm.storage import marked, table, work_dir, written
 
 #: Bytes of a record's block, at most.
 SEGMENT_BYTES = 32 * 1024
 CHUNK_BYTES = 8 * 1024
 #: With SEGMENT_BYTES this bounds an archive to about 65 MB before compression.
 RECORDS_PER_ARCHIVE = 2_000
+#: Payloads that repeat most often are settled map-side: so many, at most.
+HEAVY = 1_000
 _END = b"\r\n\r\n"
 _HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 _DATE = "2024-01-01T00:00:00Z"
@@ -114,6 +116,10 @@ def write_archives(
     Of rows with equal payloads of at least min_revisit_bytes, that with the
     largest id becomes a response and the others revisit it; rows that repeat
     that id and payload are responses too, as are all rows of a group without any id.
+    A null payload is empty; a null url gives an empty target. Payloads of any length
+    are cut into segments. An empty table gives a folder without records. Other
+    columns are ignored, whatever their names. Payloads that occur once are never
+    shuffled, nor are the HEAVY most frequent ones.
     """
     base = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(payload_col).alias("payload"))
     base = base.withColumn("sha", F.sha1(F.encode(F.coalesce("payload", F.lit("")), "UTF-8")))
@@ -121,10 +127,16 @@ def write_archives(
     repeated = written(
         base.where(long_enough).groupBy("sha").agg(F.max("id").alias("winner"), F.count(F.lit(1)).alias("n")).where("n > 1"),
         "warc-repeated",
-    ).select(F.col("sha").alias("repeated_sha"), "winner")
-    marked = base.join(repeated, F.col("sha") == F.col("repeated_sha"), "left").select(
-        "id", "url", "payload", F.monotonically_increasing_id().alias("nonce"), "winner"
-    )
+    ).select(F.col("sha").alias("repeated_sha"), "winner", "n")
+    same = F.col("sha") == F.col("repeated_sha")
+    hot = written(repeated.orderBy(F.desc("n"), "repeated_sha").limit(HEAVY).drop("n"), "warc-frequent")
+    rest = repeated.drop("n").join(F.broadcast(hot), "repeated_sha", "left_anti")  # HEAVY rows at most
+    settled = base.join(F.broadcast(hot), same, "left").withColumn("hot", F.col("repeated_sha").isNotNull()).drop("repeated_sha")
+    found = marked(settled, F.col("sha"), rest, F.col("repeated_sha"), "hit").withColumn("hit", F.col("hit") & ~F.col("hot"))
+    others = found.where("hit").drop("winner").join(rest, same, "left")
+    columns = ["id", "url", "payload", "winner"]
+    parts = found.where("not hit").select(*columns).unionByName(others.select(*columns))
+    numbered = parts.withColumn("nonce", F.monotonically_increasing_id()).select("id", "url", "payload", "nonce", "winner")
 
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -133,10 +145,10 @@ def write_archives(
                 rows = (r for row in part.itertuples(index=False) for r in page_records(*row, segment_bytes, chunk_bytes))
                 yield pd.DataFrame({"record": list(rows)}, dtype=object)
 
-    id_as_text = [F.col(c).cast("string").alias(c) if c in ("id", "winner") else F.col(c) for c in marked.columns]
-    found = marked.select(*id_as_text).mapInPandas(records, "record binary")
+    id_as_text = [F.col(c).cast("string").alias(c) if c in ("id", "winner") else F.col(c) for c in numbered.columns]
+    lines = numbered.select(*id_as_text).mapInPandas(records, "record binary")
     # the blank lines between records are the text writer's separator; the bytes pass unchanged
-    found.select(F.col("record").cast("string").alias("value")).write.option("lineSep", _END.decode()).option(
+    lines.select(F.col("record").cast("string").alias("value")).write.option("lineSep", _END.decode()).option(
         "compression", "gzip"
     ).option("maxRecordsPerFile", records_per_archive).text(path)
 

@@ -70,3 +70,15 @@ def test_small_payloads_are_not_revisited(spark):
 @pytest.mark.parametrize("text", ["", "x", "é" * 10])
 def test_digest(text):
     assert w.base32_digest(text.encode()) == digest(text)
+
+
+@pytest.mark.parametrize("heavy", [1, 1000])
+def test_frequent_and_other_repeated_payloads(spark, monkeypatch, heavy):
+    monkeypatch.setattr(w, "HEAVY", heavy)
+    texts = ["once", "", "twice", "", "thrice", "twice", "thrice", "", "thrice", None, "alone"]
+    pages = spark.createDataFrame([(i, "u", t, 0) for i, t in enumerate(texts)], "page_id long, url string, html string, n int")
+    path = work_dir(spark, "warc")
+    w.write_archives(pages, path)
+    found = {int(r["record_id"][10:].split(":")[0]): r["refers_to"] for r in w.read_archives(spark, path).collect()}
+    last = {(t or ""): i for i, t in enumerate(texts)}
+    assert found == {i: None if last[t or ""] == i else f"<urn:page:{last[t or '']}>" for i, t in enumerate(texts)}
