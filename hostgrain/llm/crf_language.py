@@ -3,9 +3,12 @@
 Each word of a text gets a label; its features are affixes, character n-grams and
 a lexicon, all hashed into one table of weights, and neighbouring labels are tied
 by learned transitions. Forward-backward gives the labels' probabilities word by
-word, so text that switches languages is labelled piecewise; the text's language
-is the one with the largest mean probability. Training maximises the likelihood
-of a bounded sample by mini-batch gradient steps.
+word over the whole text, so text that switches languages is labelled piecewise;
+the text's language is the one with the largest mean probability. A text is one
+chain, computed in blocks: the product of a block's steps carries the state from
+block to block. Training maximises the likelihood of a bounded sample by
+mini-batch gradient steps; some of its chains are spliced from texts of two
+languages, from which the transitions learn how languages switch.
 """
 
 from __future__ import annotations
@@ -26,12 +29,16 @@ from hostgrain.llm.storage import table
 TEXTS_PER_LANGUAGE = 250
 #: Words of each of them that train, at most (evenly spread over the text's blocks).
 WORDS_PER_TEXT = 640
-#: Words of a chain: longer texts are cut into blocks of so many.
+#: Words that are computed side by side, and of a chain in training.
 BLOCK = 64
+#: One in so many chains of the training is spliced from two languages.
+SPLICED = 2
 TABLE = 1 << 16
 LEXICON = 20_000
 GRAMS = 4
+#: Passes over the sample, and steps at least (of 256 chains each): a small sample takes more passes.
 EPOCHS = 4
+STEPS = 200
 CACHED_WORDS = 200_000
 UNKNOWN = "und"
 
@@ -67,21 +74,53 @@ def feature_slots(words: list[str], lexicon: dict[str, str]) -> tuple[np.ndarray
     return np.concatenate(slots), np.concatenate(owners)
 
 
-def posteriors(scores: np.ndarray, there: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def block_products(scores: np.ndarray, there: np.ndarray, transitions: np.ndarray) -> np.ndarray:
+    """(blocks, labels, labels): the product of all steps of each block from its first word on, up to a factor."""
+    emit = np.exp(scores - scores.max(axis=2, keepdims=True))
+    move = np.exp(transitions - transitions.max())
+    product = emit[:, 0, :, None] * np.eye(scores.shape[2], dtype=emit.dtype)
+    for t in range(1, scores.shape[1]):
+        ahead = (product @ move) * emit[:, t, None, :]
+        product = np.where(there[:, t, None, None], ahead / ahead.max(axis=(1, 2), keepdims=True), product)
+    return product
+
+
+def carried(products: np.ndarray, blocks: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What enters each block and what comes behind it, for texts with so many blocks each, one after another."""
+    labels = products.shape[1]
+    move = np.exp(transitions - transitions.max())
+    enter, leave = np.full((len(products), labels), 1.0 / labels, products.dtype), np.ones((len(products), labels), products.dtype)
+    ends = np.cumsum(blocks)
+    order = np.argsort(-blocks, kind="stable")
+    first, last, longest = (ends - blocks)[order], ends[order] - 1, blocks[order]
+    for k in range(1, int(blocks.max(initial=0))):
+        n = int(np.searchsorted(-longest, -k, side="left"))  # texts with more than k blocks
+        at, back = first[:n] + k, last[:n] - k
+        state = np.einsum("bi,bij->bj", enter[at - 1], products[at - 1]) @ move
+        enter[at] = state / state.sum(1, keepdims=True)
+        behind = np.einsum("bij,bj->bi", products[back + 1], leave[back + 1]) @ move.T
+        leave[back] = behind / behind.sum(1, keepdims=True)
+    return enter, leave
+
+
+def posteriors(
+    scores: np.ndarray, there: np.ndarray, transitions: np.ndarray, enter: np.ndarray | None = None, leave: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Label probabilities (blocks, words, labels) and expected transition counts, by forward-backward.
 
-    scores: emission scores; there: which words exist (padding comes last).
+    scores: emission scores; there: which words exist (padding comes last); enter and
+    leave as from carried(), where blocks are parts of longer chains.
     """
     blocks, words, labels = scores.shape
     emit = np.exp(scores - scores.max(axis=2, keepdims=True))
     move = np.exp(transitions - transitions.max())
     forward = np.empty_like(emit)
-    state = np.full((blocks, labels), 1.0 / labels, emit.dtype) * emit[:, 0]
+    state = (np.full((blocks, labels), 1.0 / labels, emit.dtype) if enter is None else enter) * emit[:, 0]
     forward[:, 0] = state / state.sum(1, keepdims=True)
     for t in range(1, words):
         state = (forward[:, t - 1] @ move) * emit[:, t]
         forward[:, t] = state / state.sum(1, keepdims=True)
-    backward = np.ones((blocks, labels), emit.dtype)
+    backward = np.ones((blocks, labels), emit.dtype) if leave is None else leave
     gamma = np.empty_like(emit)
     pairs = np.zeros((labels, labels))
     for t in range(words - 1, -1, -1):
@@ -142,14 +181,28 @@ class Crf:
         within = np.arange(len(words)) - first_word[owner]
         row, column = first_block[owner] + within // BLOCK, within % BLOCK
         out = np.empty((len(words), len(self.labels)), np.float32)
-        for low in range(0, int(first_block[-1]), 4096):
+        starts = range(0, int(first_block[-1]), 4096)
+
+        def padded(low: int) -> tuple:
             a, b = np.searchsorted(row, [low, low + 4096])
             size = (int(row[b - 1]) - low + 1, BLOCK)
-            padded = np.zeros((*size, len(self.labels)), np.float32)
-            there = np.zeros(size, bool)
-            padded[row[a:b] - low, column[a:b]] = scores[a:b]
+            values, there = np.zeros((*size, len(self.labels)), np.float32), np.zeros(size, bool)
+            values[row[a:b] - low, column[a:b]] = scores[a:b]
             there[row[a:b] - low, column[a:b]] = True
-            out[a:b] = posteriors(padded, there, self.transitions)[0][row[a:b] - low, column[a:b]]
+            return a, b, values, there
+
+        # a chain of one block needs no product
+        products = np.zeros((int(first_block[-1]), len(self.labels), len(self.labels)), np.float32)
+        linked = np.repeat(blocks > 1, blocks)
+        for low in starts:
+            _, _, values, there = padded(low)
+            some = linked[low : low + len(values)]
+            products[low : low + len(values)][some] = block_products(values[some], there[some], self.transitions)
+        enter, leave = carried(products, blocks, self.transitions)
+        for low in starts:
+            a, b, values, there = padded(low)
+            part = slice(low, low + len(values))
+            out[a:b] = posteriors(values, there, self.transitions, enter[part], leave[part])[0][row[a:b] - low, column[a:b]]
         return [(out[a:b], letters[a:b]) for a, b in zip(first_word[:-1], first_word[1:])]
 
     def languages(self, texts: list[str | None]) -> list[tuple[str, float]]:
@@ -171,7 +224,10 @@ class Crf:
 
 
 def fit(texts: list[str], languages: list[str], epochs: int = EPOCHS, seed: int = 7) -> Crf:
-    """A field trained on texts whose words all bear their text's language (AdaGrad on the log-likelihood)."""
+    """A field trained on texts whose words all bear their text's language (AdaGrad on the log-likelihood).
+
+    Chains are pieces of BLOCK words; one in SPLICED goes on, from some word, as a piece of another language does.
+    """
     labels = sorted(set(languages))
     blocks: list[tuple[list[str], int]] = []
     counts: dict[str, Counter] = {lab: Counter() for lab in labels}
@@ -185,8 +241,8 @@ def fit(texts: list[str], languages: list[str], epochs: int = EPOCHS, seed: int
     total = sum(counts.values(), Counter())
     common = [w for w, n in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:LEXICON] if n >= 5]
     lexicon = {w: max(labels, key=lambda lab: (counts[lab][w], lab)) for w in common}
-    model = Crf(labels, np.zeros((TABLE, len(labels)), np.float32), np.eye(len(labels), dtype=np.float32) * 2, lexicon)
-    if len(labels) < 2:
+    model = Crf(labels, np.zeros((TABLE, len(labels)), np.float32), np.zeros((len(labels), len(labels)), np.float32), lexicon)
+    if len(labels) < 2 or not blocks:
         return model
     vocabulary = sorted({w for words, _ in blocks for w in words})
     place = {w: i for i, w in enumerate(vocabulary)}
@@ -196,10 +252,19 @@ def fit(texts: list[str], languages: list[str], epochs: int = EPOCHS, seed: int
     ids = np.full((len(blocks), BLOCK), -1)
     for i, (words, _) in enumerate(blocks):
         ids[i, : len(words)] = [place[w] for w in words]
-    gold = np.array([y for _, y in blocks])
     rng = np.random.default_rng(seed)
+    gold = np.repeat(np.array([y for _, y in blocks])[:, None], BLOCK, axis=1)
+    for i in rng.permutation(len(blocks))[:: SPLICED]:
+        j = int(rng.integers(len(blocks)))
+        cut = int(rng.integers(1, BLOCK))
+        if gold[i, 0] != gold[j, -1] and ids[i, cut - 1] >= 0 and ids[j, cut] >= 0:
+            ids[i, cut:], gold[i, cut:] = ids[j, cut:], gold[j, cut:]
+    # transitions begin as the chains' own frequencies
+    move = (gold[:, :-1] * len(labels) + gold[:, 1:])[ids[:, 1:] >= 0]
+    move = np.bincount(move, minlength=len(labels) ** 2).reshape(len(labels), len(labels)) + 1.0
+    model.transitions[:] = np.log(move / move.sum(1, keepdims=True))
     squares, moved = np.full_like(model.weights, 1e-3), np.full(model.transitions.shape, 1e-1)
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-STEPS // -(-len(blocks) // 256)))):
         order = rng.permutation(len(blocks))
         for at in range(0, len(order), 256):
             pick = order[at : at + 256]
@@ -214,7 +279,7 @@ def fit(texts: list[str], languages: list[str], epochs: int = EPOCHS, seed: int
             scores[there] = unique[where]
             gamma, pairs = posteriors(scores, there, model.transitions)
             wrong = -gamma
-            wrong[np.arange(len(y)), :, y] += 1
+            wrong[np.arange(len(y))[:, None], np.arange(BLOCK), y] += 1
             errors = wrong[there]
             gradient = np.empty_like(model.weights)
             for k in range(len(labels)):
@@ -222,8 +287,9 @@ def fit(texts: list[str], languages: list[str], epochs: int = EPOCHS, seed: int
                 gradient[:, k] = np.bincount(slots, by_word[owner], TABLE) / there.sum()
             squares += gradient**2
             model.weights += 0.1 * gradient / np.sqrt(squares)
-            steps = np.bincount(y, (there[:, 1:].sum(1)), len(labels))
-            difference = (np.diag(steps) - pairs) / max(1, there.sum())
+            pair = (y[:, :-1] * len(labels) + y[:, 1:])[there[:, 1:]]
+            steps = np.bincount(pair, minlength=len(labels) ** 2).reshape(len(labels), len(labels))
+            difference = (steps - pairs) / max(1, there.sum())
             moved += difference**2
             model.transitions += (0.1 * difference / np.sqrt(moved)).astype(np.float32)
     return model

@@ -53,6 +53,38 @@ def test_words_of_switched_text(documents):
     assert named[:12].count("en") >= 9 and named[12:].count("de") >= 9
 
 
+def test_blocks_are_one_chain(monkeypatch):
+    rng = np.random.default_rng(5)
+    labels = ["a", "b", "c"]
+    texts = [[f"w{x}" for x in rng.integers(0, 30, n)] for n in (1, 3, 4, 5, 9, 40, 200, 0, 8)]
+    model = crf.Crf(labels, rng.normal(size=(crf.TABLE, 3)).astype(np.float32), rng.normal(size=(3, 3)).astype(np.float32), {})
+    found = {}
+    for block in (4, 7, 256):
+        monkeypatch.setattr(crf, "BLOCK", block)
+        found[block] = [p for p, _ in model.label_words(texts)]
+    for one, other, whole in zip(found[4], found[7], found[256]):
+        assert np.allclose(one, whole, atol=1e-4) and np.allclose(other, whole, atol=1e-4)
+
+
+def test_switches_are_learned(documents):
+    model = crf.train(documents)
+    moves = np.exp(model.transitions)
+    stay = np.diag(moves) / moves.sum(1)
+    assert (stay > 0.6).all() and (stay < 0.9999).all()
+    by = {x: [r["text"].split() for r in documents.where(f"lang = '{x}' and length(text) > 400").collect()] for x in ("en", "de", "fr")}
+    right = total = 0
+    for i, lengths in enumerate([(6, 6, 6, 6), (10, 5, 30), (70, 20, 70), (130, 8, 40)]):
+        text, gold = [], []
+        for j, n in enumerate(lengths):
+            lang = ("en", "de", "fr")[(i + j) % 3]
+            words = by[lang][j % len(by[lang])]
+            text += (words * (n // len(words) + 1))[:n]
+            gold += [lang] * n
+        labels = [model.labels[x] for x in model.label_words([text])[0][0].argmax(1)]
+        right, total = right + sum(a == b for a, b in zip(labels, gold)), total + len(gold)
+    assert right / total >= 0.93
+
+
 def test_language_of_odd_rows(messy, nothing):
     model = crf.train(messy)
     rows = crf.identify(messy, model).collect()
