@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hostgrain.llm.storage import table, written
+from hostgrain.llm.storage import table, tidy, written
 
 CAPACITY = 2048
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -85,7 +85,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
             frame.insert(1, "piece", np.array(places, dtype="int32"))
             yield frame
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(pieces, _PIECES)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(tidy(pieces), _PIECES)
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -183,7 +183,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shards: int = 256) -> Data
             batch["doc_id"] = batch["doc_id"].astype("Int64")
             yield batch
 
-    return ranked.mapInPandas(place, f"{_PIECES}, sequence_id long, offset long")
+    return ranked.mapInPandas(tidy(place), f"{_PIECES}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, **columns) -> DataFrame:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hostgrain.llm.storage import table
+from hostgrain.llm.storage import table, tidy
 
 #: Texts to train on for each language, at most: those with the smallest digests of their id.
 TEXTS_PER_LANGUAGE = 250
@@ -342,7 +342,7 @@ def identify(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str
     names = ["id", *(f"m{i}" for i in range(len(more)))]
     rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("id"), *[c.alias(n) for c, n in zip(more.values(), names[1:])])
     schema = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names) + ", lang_pred string, score double"
-    return rows.mapInArrow(predict, schema).toDF(id_col, *more, "lang_pred", "score")
+    return rows.mapInArrow(tidy(predict), schema).toDF(id_col, *more, "lang_pred", "score")
 
 
 def op8(spark, sf_dir):

@@ -30,7 +30,7 @@ from pyspark.sql.window import Window
 
 from hostgrain.llm.components import components
 from hostgrain.llm.shingles import mix64, shingle_set
-from hostgrain.llm.storage import fresh, marked, table, without, written
+from hostgrain.llm.storage import fresh, marked, table, tidy, without, written
 
 GROWTH = 1.5
 #: Bits of the sketch for each shingle that may differ.
@@ -131,7 +131,7 @@ def fingerprints(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 out.insert(0, "id", part["id"].astype("Int64").to_numpy())
                 yield out.astype({"id": "Int64"})
 
-    return docs.mapInPandas(prints, _PRINT)
+    return docs.mapInPandas(tidy(prints), _PRINT)
 
 
 def _heavy(rows: DataFrame, column: str) -> DataFrame:
@@ -181,7 +181,7 @@ def _screen(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
             yield out[np.array(keep, bool)]
 
     joined = pairs.join(side("a"), F.col("a") == F.col("a_id")).join(side("b"), F.col("b") == F.col("b_id"))
-    return joined.select("a", "b", "a_n", "b_n", "a_sketches", "b_sketches").mapInPandas(screen, "a long, b long, distance long")
+    return joined.select("a", "b", "a_n", "b_n", "a_sketches", "b_sketches").mapInPandas(tidy(screen), "a long, b long, distance long")
 
 
 def _aliases(prints: DataFrame) -> DataFrame | None:
@@ -227,11 +227,11 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int, aliases: Da
     if aliases is not None:
         ids = wanted.join(aliases, F.col("w") == F.col("alias"), "left").select(F.coalesce("of", "w").alias("w")).distinct()
     texts = marked(docs, F.col("id"), ids, F.col("w"), "hit").where("hit").select("id", "text")
-    found = written(_as_nodes(texts.mapInPandas(sets, "id long, digest binary, shingles binary"), aliases).select("node", "shingles"), "sets")
+    found = written(_as_nodes(texts.mapInPandas(tidy(sets), "id long, digest binary, shingles binary"), aliases).select("node", "shingles"), "sets")
     x = found.select(F.col("node").alias("xi"), F.col("shingles").alias("x"))
     y = found.select(F.col("node").alias("yi"), F.col("shingles").alias("y"))
     joined = pairs.join(y, F.col("b") == F.col("yi")).join(x, F.col("a") == F.col("xi"))
-    return joined.select("a", "b", "x", "y").mapInPandas(similar, "a long, b long")
+    return joined.select("a", "b", "x", "y").mapInPandas(tidy(similar), "a long, b long")
 
 
 def _block_pairs(rows: DataFrame, sketches: DataFrame, percent: int, best: bool) -> DataFrame:

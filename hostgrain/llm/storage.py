@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,3 +82,25 @@ def without(rows: DataFrame, dropped: DataFrame, keys: dict[str, Column]) -> Dat
         condition = condition & F.col(column).eqNullSafe(key)
     kept = both.where(~F.col(name)).unionByName(both.where(F.col(name)).join(dropped, condition, "left_anti"))
     return kept.select(*rows.columns)
+
+
+def tidy(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """f, a function of batches, which in the end gives memory that it no longer uses back to the system.
+
+    Python workers outlive their tasks; what Arrow and the C library hold on to
+    would add to what the next stage needs.
+    """
+
+    @functools.wraps(f)
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow
+
+        try:
+            yield from f(batches)
+        finally:
+            pyarrow.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+            if trim is not None:
+                trim(0)
+
+    return run

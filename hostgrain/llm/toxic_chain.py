@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hostgrain.llm.storage import table
+from hostgrain.llm.storage import table, tidy
 
 #: Labelled rows to train on, at most: those with the smallest digests of their id.
 MAX_LABELLED = 6_000
@@ -152,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], max_labelle
             yield batch
 
     schema = f"label_id long, {', '.join(f'{y} int' for y in ys)}, codes array<int>, figures array<double>"
-    rows = joined.select("label_id", *ys, "text").mapInPandas(features, schema).toPandas()
+    rows = joined.select("label_id", *ys, "text").mapInPandas(tidy(features), schema).toPandas()
     rows = rows.drop_duplicates("label_id").sort_values("label_id")
     if rows.empty:
         return []
@@ -188,7 +188,7 @@ def classify(docs: DataFrame, labels: DataFrame, categories: list[str], threshol
     kept_names = [f"k{i}" for i in range(len(keep))]
     rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, kept_names)], F.col(text_col).alias("__text"))
     schema = ", ".join([f"{n} {rows.schema[n].dataType.simpleString()}" for n in kept_names] + [f"{n} double" for n in names] + ["rejected boolean"])
-    return rows.mapInArrow(predict, schema).toDF(*keep, *names, "rejected")
+    return rows.mapInArrow(tidy(predict), schema).toDF(*keep, *names, "rejected")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) -> DataFrame:
