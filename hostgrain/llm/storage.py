@@ -50,13 +50,10 @@ def marked(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column,
     """rows with a column `name`: false only where the key is none of the wanted ones, without a shuffle of rows.
 
     A bitmap of hashed keys, 16 bits or more for each of them, is broadcast in pieces
-    of 4 KB: about one in 16 other rows is marked, too. With so many keys that it would
-    be larger than MAX_BITS, all rows are marked, which leaves the work to the join
-    that follows.
+    of 4 KB: about one in 16 other rows is marked, too. It has MAX_BITS at most, so that
+    beyond MAX_BITS / 16 keys the share of other rows that are marked grows little by little.
     """
-    bits = 1 << max(20, (16 * wanted.count() - 1).bit_length())
-    if bits > MAX_BITS:
-        return rows.withColumn(name, F.lit(True))
+    bits = min(MAX_BITS, 1 << max(20, (16 * wanted.count() - 1).bit_length()))
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
     own, at, piece, bitmap = (fresh(rows, f"{name}_{x}") for x in ("place", "at", "piece", "map"))
     maps = wanted.groupBy(F.bitmap_bucket_number(place(wanted_key)).alias(piece)).agg(

@@ -81,3 +81,16 @@ def test_targets_against_repeated_clamping(documents):
 def test_buckets_do_not_change_the_choice(documents):
     one = source_mix.mix_sources(documents, buckets=1).collect()
     assert sorted(one) == sorted(source_mix.mix_sources(documents).collect())
+
+
+def test_rows_go_whole_where_the_bitmap_is_full(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from hostgrain.llm import storage
+
+    docs = spark.range(300).select(F.when(F.col("id") % 50 != 0, F.col("id")).alias("doc_id"), F.lit("x").alias("text"))
+    dropped = spark.createDataFrame([(i,) for i in range(1, 200, 3)] + [(None,)], "gone long")
+    for bits in (8, 1 << 29):
+        monkeypatch.setattr(storage, "MAX_BITS", bits)
+        left = [r["doc_id"] for r in storage.without(docs, dropped, {"gone": F.col("doc_id")}).collect()]
+        assert sorted(left) == [i for i in range(300) if i % 50 and not (i % 3 == 1 and i < 200)]
