@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from hostgrain.llm.storage import table, tidy, written
 
 CAPACITY = 2048
+#: Pieces of one length that one task numbers, about, at most.
+SHARD_ROWS = 1_000_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -148,14 +150,16 @@ def _plan_table(plan: list[tuple[int, dict[int, int]]]) -> dict[str, np.ndarray]
     return dict(zip(("length", "first", "uses", "sequence", "offset"), columns))
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, shards: int = 256) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, shards: int = 256, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Adds sequence_id and offset to rows with doc_id, piece and length; lengths are 1 to capacity.
 
+    Pieces of a length are numbered in `shards` parts or, where those would hold more
+    than about shard_rows, in as many as the rows take.
     Rows that are equal in all columns are packed one by one. No rows: none.
     """
-    pieces = written(
-        pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)).cast("int")), "pieces"
-    )
+    pieces = written(pieces, "pieces")
+    shards = max(shards, -(-pieces.count() // shard_rows))
+    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)).cast("int"))
     sizes = written(pieces.groupBy("length", "shard").agg(F.count(F.lit(1)).alias("n")), "piece-lengths")
     histogram = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     places = _plan_table(plan_bins(histogram, capacity))

@@ -99,3 +99,12 @@ def test_odd_rows(spark, messy, nothing):
     assert [r["length"] for r in rows if r["doc_id"] in (3, 4)] == [1, 1]
     assert sum(r["doc_id"] == 2 for r in rows) == 2
     assert b.pack_documents(nothing).count() == 0
+
+
+def test_as_many_shards_as_the_rows_take(spark):
+    rng = random.Random(9)
+    rows = [(i, 0, 0, rng.choice([64, 64, 64, 40, 24, 5]), i) for i in range(600)]
+    pieces = spark.createDataFrame(rows, b._PIECES)
+    packed = b.pack(pieces, 64, shards=2, shard_rows=7).collect()
+    assert sorted((r["doc_id"], r["length"]) for r in packed) == [(i, n) for i, _, _, n, _ in rows]
+    check_layout(packed, 64)
