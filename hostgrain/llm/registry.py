@@ -5,6 +5,7 @@ from __future__ import annotations
 from hostgrain.llm import (
     anchor_pii,
     bin_slack,
+    chat_format,
     crf_language,
     exact_dedup,
     nn_descent,
@@ -26,6 +27,7 @@ _MODULES = (
     crf_language,
     toxic_chain,
     source_mix,
+    chat_format,
 )
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
