@@ -2,10 +2,13 @@
 
 Events are first reduced per day, in one aggregate for each source: counts and
 sums per (day, computer), and the distinct values per (day, computer, kind). That
-table is stored, and only it is spread over the windows that a day belongs to; so
-however many windows overlap, events are read once (and shuffled twice: to drop
-repeated rows, and to reduce them), and distinct counts stay exact. Additive and
-distinct measures meet in one final aggregate in place of a chain of outer joins. Rows without a computer are left out; see unidentified().
+table is stored, and windows are made from it by changes: what happened on a day is
+added at the first anchor whose window holds it and taken off again where that ends;
+a value counts once while windows of its days overlap. Sums of the changes up to an
+anchor are that anchor's features. So a day makes two changes at most, however long
+windows are and however many overlap, events are read once (and shuffled twice: to
+drop repeated rows, and to reduce them), and distinct counts stay exact. Additive and
+distinct measures meet in one aggregate in place of a chain of outer joins. Rows without a computer are left out; see unidentified().
 """
 
 from __future__ import annotations
@@ -13,8 +16,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from hostgrain.functions.columns import is_hidden_port
 from hostgrain.operators.contract import COLUMNS, FEATURES, FLAGS, KEYS, RATES
@@ -112,6 +116,12 @@ def daily(silver: dict[str, DataFrame], first_day: int | None = None, last_day:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def daily_schema() -> StructType:
+    """The columns of daily() for all sources."""
+    text = {c: StringType() for c in ("part", "source", "computer_id", "kind", "value")}
+    return StructType([StructField(c, k) for c, k in (text | {"day": IntegerType(), "person": BooleanType()}).items()] + [StructField(m, LongType()) for m in _ADDITIVE])
+
+
 def stored_daily(silver: dict[str, DataFrame], first_day: int, last_day: int) -> DataFrame:
     """daily() of some days, written once: counts, values and presence read it instead of the events."""
     return stored(daily(silver, first_day, last_day), "daily", ["part"])
@@ -140,20 +150,43 @@ def window_days_table(anchors: DataFrame, window_days: int) -> DataFrame:
     return anchors.where("anchor_day >= 0").select("anchor_day").distinct().select("anchor_day", F.explode(days).alias("event_day"))
 
 
-def _anchored(df: DataFrame, first: int, last: int, window_days: int) -> DataFrame:
-    """The rows of df once for each anchor first..last whose window holds their day; events before day 0 have none."""
-    inside = df.where(F.col("day").between(max(0, first - window_days + 1), last))
-    anchors = F.sequence(F.greatest("day", F.lit(first)), F.least(F.col("day") + window_days - 1, F.lit(last)))
-    return inside.withColumn("anchor_day", F.explode(anchors))
+def _inside(df: DataFrame, first: int, last: int, window_days: int) -> DataFrame:
+    """The rows of df whose day is in the window of an anchor first..last; days before day 0 are in none."""
+    return df.where(F.col("day").between(max(0, first - window_days + 1), last))
+
+
+def _changes(df: DataFrame, first: int, last: int, window_days: int, enters: Column, leaves: Column) -> DataFrame:
+    """Rows of df, which are _inside(), at the anchors (anchor_day) where they enter windows (sign 1) and leave them (sign -1).
+
+    Two rows for a day at most. What entered before the first anchor counts as
+    entering there; what leaves after the last one doesn't matter.
+    """
+    entry = F.struct(F.greatest("day", F.lit(first)).alias("anchor_day"), enters.alias("happens"), F.lit(1).alias("sign"))
+    exit_ = F.struct((F.col("day") + window_days).alias("anchor_day"), leaves.alias("happens"), F.lit(-1).alias("sign"))
+    each = df.withColumn("change", F.explode(F.array(entry, exit_))).where(F.col("change.happens") & (F.col("change.anchor_day") <= last))
+    return each.withColumns({"anchor_day": F.col("change.anchor_day"), "sign": F.col("change.sign")}).drop("change", "day")
+
+
+def _slid(changes: DataFrame, key: str, amounts: dict[str, Column], last: int) -> DataFrame:
+    """(key, anchor_day, amounts): for each anchor up to the last the sum of the changes until then, where `active` is above 0.
+
+    A key has a row for each anchor with a change before the result is spread out.
+    """
+    at = changes.groupBy(key, "anchor_day").agg(*[F.sum(F.col("sign") * amount).alias(name) for name, amount in amounts.items()])
+    order = Window.partitionBy(key).orderBy("anchor_day")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    until = F.coalesce(F.lead("anchor_day").over(order), F.lit(last + 1)) - 1
+    sums = at.select(key, "anchor_day", until.alias("until"), *[F.coalesce(F.sum(m).over(upto), F.lit(0).cast("long")).alias(m) for m in amounts])
+    return sums.where("active > 0").withColumn("anchor_day", F.explode(F.sequence("anchor_day", "until"))).drop("until", "active")
 
 
 def _presence(days: DataFrame, first: int, last: int, window_days: int) -> DataFrame:
     """(anchor_day, source_present_*) from the days (source, day), each once, on which a source has rows."""
     window_event_days(first, window_days)
     anchors = days.sparkSession.range(first, last + 1).select(F.col("id").cast("int").alias("anchor_day"))
-    counted = _anchored(days, first, last, window_days).groupBy("anchor_day").agg(
-        *[F.count_if(F.col("source") == n).alias(f"n_{n}") for n in SOURCES]
-    )
+    always, one = F.lit(True), F.lit(1).cast("long")
+    found = _slid(_changes(_inside(days, first, last, window_days), first, last, window_days, always, always), "source", {"active": one, "days": one}, last)
+    counted = found.groupBy("anchor_day").agg(*[F.max(F.when(F.col("source") == n, F.col("days"))).alias(f"n_{n}") for n in SOURCES])
     wanted = F.least(F.lit(window_days), F.col("anchor_day") + 1)
     flags = [F.coalesce(F.col(f"n_{n}") == wanted, F.lit(False)).alias(f"source_present_{n}") for n in SOURCES]
     return anchors.join(counted, "anchor_day", "left").select("anchor_day", *flags)
@@ -165,18 +198,37 @@ def source_presence(silver: dict[str, DataFrame], first: int, last: int, window_
     return _presence(reduce(DataFrame.union, days), first, last, window_days)
 
 
+def window_changes(days: DataFrame, first: int, last: int, window_days: int) -> tuple[DataFrame, dict[str, Column]]:
+    """(computer_id, anchor_day, sign, ...): all changes of windows between the anchors first..last, and the amounts in them.
+
+    A value that a computer had on several days enters where no earlier day's windows
+    reach and leaves where no later day's begin.
+    """
+    always = F.lit(True)
+    counts = _changes(_inside(_counts(days), first, last, window_days), first, last, window_days, always, always)
+    values = _inside(days.where("part = 'values'").select("day", "computer_id", "kind", "value", "person"), first, last, window_days)
+    in_order = Window.partitionBy("computer_id", "kind", "value", "person").orderBy("day")
+    beside = values.withColumns({"before": F.lag("day").over(in_order), "after": F.lead("day").over(in_order)})
+    enters = F.coalesce(F.col("day") - F.col("before") >= window_days, always)
+    leaves = F.coalesce(F.col("after") - F.col("day") >= window_days, always)
+    values = _changes(beside, first, last, window_days, enters, leaves).drop("value", "before", "after")
+    both = counts.withColumn("active", F.lit(1)).unionByName(values, allowMissingColumns=True)
+    added = {m: F.col(m) for m in (*_ADDITIVE, "active") if m in both.columns}
+    sources = {f.split("_")[0] for f in added}
+    distinct = {
+        f: _one((F.col("kind") == kind) & (F.col("person") if people else F.lit(True)))
+        for f, (kind, people) in _DISTINCT.items()
+        if f.split("_")[0] in sources
+    }
+    return both, added | distinct
+
+
 def measures(days: DataFrame, first: int, last: int, window_days: int) -> DataFrame:
     """(anchor_day, computer_id, features of the sources in days) for the anchors first..last, from daily()."""
-    keys = ["anchor_day", "computer_id"]
-    counts = _anchored(_counts(days), first, last, window_days).drop("day")
-    values = days.where("part = 'values'").select("day", "computer_id", "kind", "value", "person")
-    values = _anchored(values, first, last, window_days).drop("day").distinct()
-    each = [_one((F.col("kind") == kind) & (F.col("person") if people else F.lit(True))).alias(f) for f, (kind, people) in _DISTINCT.items()]
-    both = counts.unionByName(values.select(*keys, *each), allowMissingColumns=True)
-    summed = [m for m in (*_ADDITIVE, *_DISTINCT) if m in both.columns]
-    total = both.groupBy(*keys).agg(*[F.coalesce(F.sum(m), F.lit(0).cast("long")).alias(m) for m in summed])
+    changes, amounts = window_changes(days, first, last, window_days)
+    total = _slid(changes, "computer_id", amounts, last)
     for role in ("out", "in"):
-        if f"auth_{role}_known" in summed:
+        if f"auth_{role}_known" in amounts:
             known = F.col(f"auth_{role}_known")
             rate = F.when(known > 0, F.col(f"auth_{role}_failed_count") / known)
             total = total.withColumn(f"auth_{role}_failure_rate", rate)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # Fixed values of the digest's format.
@@ -31,10 +34,64 @@ def content_checksum(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("record_count"), _summary(df.columns, total).alias("checksum"))
 
 
+def _md5_lane(columns: list[str]) -> Column:
+    """60 bits of a row's MD5, as a long."""
+    return F.conv(F.substring(F.md5(row_text(columns)), 1, 15), 16, 10).cast("long")
+
+
 def content_checksum_md5(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """As content_checksum(), with 60 bits of MD5 as the row hash, which other engines have too."""
-    lane = F.conv(F.substring(F.md5(row_text(df.columns)), 1, 15), 16, 10).cast("decimal(28,0)")
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("record_count"), _summary(df.columns, F.sum(lane)).alias("checksum"))
+    total = F.sum(_md5_lane(df.columns).cast("decimal(28,0)"))
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("record_count"), _summary(df.columns, total).alias("checksum"))
+
+
+def md5_summary(columns: Iterable[str], rows: int, total: int) -> str:
+    """The digest of content_checksum_md5() for a count of rows and the sum of their hashes."""
+    return hashlib.sha256(f"{','.join(sorted(columns))}|{rows}|{total}".encode()).hexdigest()
+
+
+class Watch:
+    """Counts and content checksums per partition, taken while rows pass by on their way to a write.
+
+    by: the column whose values (whole numbers, known beforehand) are the partitions.
+    kinds: conditions by name; each kind's rows are summed up on their own. The sums
+    are observed metrics: Spark merges them from the tasks that write, so that nothing
+    is read again. Behind the last shuffle each row counts once; before it, the rows of
+    a task that had to be repeated may count twice, which the caller has to allow for.
+    """
+
+    #: Partitions that one Watch can keep apart, as each adds to the work for a row.
+    MOST = 64
+
+    def __init__(self, by: str, values: Iterable[int], columns: Iterable[str], kinds: dict[str, Column] | None = None):
+        self.by, self.values, self.columns = by, list(values), list(columns)
+        self.kinds = kinds or {"all": F.lit(True)}
+        if len(self.values) > self.MOST:
+            raise ValueError(f"at most {self.MOST} partitions at a time")
+        self._seen = Observation()
+
+    def on(self, df: DataFrame) -> DataFrame:
+        """df, watched; its columns stay as they are."""
+        hash_, low = "hostgrain_row_hash", F.lit((1 << 30) - 1).cast("long")
+        sums = []
+        for kind, condition in self.kinds.items():
+            for v in self.values:
+                own = condition & (F.col(self.by) == v)
+                # in halves of 30 bits, so that sums of longs hold
+                halves = {"high": F.shiftright(hash_, 30), "low": F.col(hash_).bitwiseAND(low)}
+                sums.append(F.count_if(own).alias(f"{kind} rows {v}"))
+                sums += [F.sum(F.when(own, half)).alias(f"{kind} {name} {v}") for name, half in halves.items()]
+        return df.withColumn(hash_, _md5_lane(self.columns)).observe(self._seen, *sums).drop(hash_)
+
+    def found(self, kind: str = "all") -> dict[int, tuple[int, str]]:
+        """(rows, checksum) of each partition with rows, once what on() returned has been written."""
+        seen = self._seen.get
+        out = {}
+        for v in self.values:
+            if rows := seen.get(f"{kind} rows {v}", 0):
+                total = ((seen[f"{kind} high {v}"] or 0) << 30) + (seen[f"{kind} low {v}"] or 0)
+                out[v] = rows, md5_summary(self.columns, rows, total)
+        return out
 
 
 def checksum_validation(recorded: DataFrame, computed: DataFrame, keys: list[str]) -> DataFrame:

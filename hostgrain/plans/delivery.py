@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from hostgrain.operators.contract import COLUMNS, FLAGS
 from hostgrain.operators.governance import nested_volume
-from hostgrain.operators.integrity import content_checksum_md5
+from hostgrain.operators.integrity import Watch, content_checksum_md5
 from hostgrain.sources.sealed import SCHEME, key_id, partition_id, seal, unseal
 from hostgrain.sources.tables import stored, write_table, write_text
 
@@ -25,16 +25,21 @@ _MANIFEST = (
 )
 
 
-def delivery_manifest(gold: DataFrame, secret: str, created_at: str, schema_version: str = "v1", records: DataFrame | None = None) -> DataFrame:
+def delivery_manifest(gold: DataFrame, secret: str, created_at: str, schema_version: str = "v1", records: DataFrame | None = None, checks: dict[tuple[int, int], tuple[int, str]] | None = None) -> DataFrame:
     """A manifest row for each (window_days, anchor_day) of gold, columns by name.
 
     The digest is that of the contents, so the receiver can make it again from
     whatever files it gets. records: checksum records of the layers, for the volume
-    behind each delivery (volume_summary; null without).
+    behind each delivery (volume_summary; null without). checks: (rows, checksum) of
+    each partition, where they are known; else gold is read for them.
     """
-    checks = content_checksum_md5(gold, CLEAR)
+    if checks is None:
+        found = content_checksum_md5(gold, CLEAR)
+    else:
+        known = [(w, a, rows, checksum) for (w, a), (rows, checksum) in checks.items()]
+        found = gold.sparkSession.createDataFrame(known, "window_days int, anchor_day int, record_count long, checksum string")
     version = F.format_string(f"{DATASET}-w%d-d%02d", F.col("window_days"), F.col("anchor_day"))
-    manifest = checks.select(
+    manifest = found.select(
         "anchor_day",
         F.col("checksum").alias("checksum_sha256"),
         F.array(*[F.lit(c) for c in gold.columns]).alias("columns"),
@@ -65,19 +70,29 @@ def deliverable_windows(gold: DataFrame, strict: bool = True) -> DataFrame:
     return windows.select("window_days", "anchor_day")
 
 
-def deliver(gold: DataFrame, path: str, secret: str, created_at: str, records: DataFrame | None = None) -> DataFrame:
+def deliver(gold: DataFrame, path: str, secret: str, created_at: str, records: DataFrame | None = None, checks: dict[tuple[int, int], tuple[int, str]] | None = None) -> DataFrame:
     """Delivers each (window_days, anchor_day) of gold and returns the manifests. No rows: an error.
 
     A partition's place is fixed: <path>/computer_features/window_days=7/anchor_day=06
     holds its sealed rows and, written after them, manifest.json (sorted keys). A
-    repeated delivery replaces both.
+    repeated delivery replaces both. checks: (rows, checksum) of each partition, where
+    they are known; rows are then read once, and no manifest is written unless what
+    was sealed agrees with them.
     """
-    if gold.isEmpty():
+    if checks is None and gold.isEmpty() or checks is not None and not checks:
         raise ValueError("nothing to deliver")
     rows = gold.select(*COLUMNS)
+    anchors, windows = sorted({a for _, a in checks or ()}), {str(w): F.col("window_days") == w for w in sorted({w for w, _ in checks or ()})}
+    watches = [Watch("anchor_day", anchors[i : i + Watch.MOST], COLUMNS, windows) for i in range(0, len(anchors), Watch.MOST)]
+    for watch in watches:
+        rows = watch.on(rows)
     sealed = seal(rows, secret, partition_id(F.col("window_days"), F.col("anchor_day")), CLEAR).drop("sealed_partition")
     write_table(sealed.withColumn("anchor_day", F.format_string("%02d", "anchor_day")), f"{path}/{DATASET}", list(CLEAR))
-    manifests = stored(delivery_manifest(rows, secret, created_at, records=records), "manifests")
+    if checks:
+        seen = {(int(w), a): v for watch in watches for w in watch.kinds for a, v in watch.found(w).items()}
+        if changed := [k for k, v in checks.items() if seen.get(k) != v]:
+            raise ValueError(f"content can't be trusted: gold of {changed[:10]}")
+    manifests = stored(delivery_manifest(rows, secret, created_at, records=records, checks=checks), "manifests")
     pretty = F.to_json(F.struct(*manifests.columns), {"pretty": "true"})
     for r in manifests.select("data_object", pretty.alias("text")).toLocalIterator():  # a row per delivered partition
         write_text(gold.sparkSession, f"{path}/{r['data_object']}/manifest.json", r["text"])

@@ -83,4 +83,11 @@ def raw_lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     from pyspark.sql import functions as F
 
     rows = raw(spark, sf_dir, name)
-    return rows.select(F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in rows.columns]).alias("value"))
+    return as_read(rows.select(F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in rows.columns]).alias("value")))
+
+
+def as_read(lines: DataFrame) -> DataFrame:
+    """Lines (value) as if they came from a file: each is made once, however often a plan names it."""
+    from pyspark.sql import functions as F
+
+    return lines.select(F.explode(F.array("value")).alias("value"))

@@ -423,20 +423,95 @@ def _reprocess(spark, d):
     return jobs.reprocess_window(*_lake(spark, d, *DAYS), 4, 3, CREATED)
 
 
-_BAD = "TRY_CAST(time AS BIGINT) % 97 = 0"
+_BAD, _MOVED, _BARE = "TRY_CAST(time AS BIGINT) % 97 = 0", "TRY_CAST(time AS BIGINT) % 89 = 0", "TRY_CAST(time AS BIGINT) % 83 = 0"
+_FOLDER = f"CAST(CASE WHEN {_MOVED} THEN (day + 1) % 30 ELSE day END AS INTEGER)"
+
+
+def _file_lines(spark, d, landing: str, name: str, folder: str = "day", bad: str = _BAD, only: str = "true") -> None:
+    """Lands lines as a producer does that writes some times as text, or some rows into the folder of another day."""
+    rows = fixtures.bronze(spark, d, name).where(only)
+    fields = [F.when(F.expr(bad), F.concat(F.lit("at "), "time")).otherwise(F.col("time")), *[F.coalesce(f, F.lit("")) for f in SOURCES[name].fields[1:]]]
+    tables.write_table(rows.select(F.concat_ws(",", *fields).alias("value"), F.expr(folder).alias("day")), f"{landing}/{name}", ["day"], "text")
 
 
 @_query("quarantine_counts", f"SELECT source, day AS landing_day, count(*) AS rows FROM ({sql.bronze('auth')}) WHERE {_BAD} GROUP BY ALL")
 def _quarantined(spark, d):
-    """Lines of a producer that writes some times as text lie in the folders of their days."""
     lake = jobs.Lake(spark, tables.scratch(spark, "lake"))
-    rows = fixtures.bronze(spark, d, "auth")
-    fields = [F.when(F.expr(_BAD), F.concat(F.lit("at "), "time")).otherwise(F.col("time")), *[F.coalesce(f, F.lit("")) for f in SOURCES["auth"].fields[1:]]]
-    tables.write_table(rows.select(F.concat_ws(",", *fields).alias("value"), "day"), lake.path("landing/auth"), ["day"], "text")
+    _file_lines(spark, d, lake.path("landing"), "auth")
     jobs.to_bronze(lake, lake.path("landing"), ["auth"], *DAYS, CREATED)
     return jobs.quarantine_counts(lake)
 
 
+@_query(
+    "misfiled_rows",
+    " UNION ALL ".join(
+        f"SELECT source, {_FOLDER} AS landing_day, CASE WHEN {_BAD} THEN 'undated' ELSE 'misfiled' END AS reason, count(*) AS rows FROM ({sql.bronze(s)}) WHERE {_BAD} OR {_MOVED} GROUP BY ALL"
+        for s in SOURCES
+    ),
+)
+def _misfiled(spark, d):
+    """Rows that lie in the folder of another day, and rows without a day, are kept aside with their reason."""
+    lake = jobs.Lake(spark, tables.scratch(spark, "lake"))
+    jobs._each(SOURCES, lambda s: _file_lines(spark, d, lake.path("landing"), s, _FOLDER))
+    jobs.to_bronze(lake, lake.path("landing"), list(SOURCES), *DAYS, CREATED, jobs.REMOVE)
+    return lake.rejected_rows().groupBy("source", "landing_day", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@_query("republished_days", f"SELECT source, day, count(*) AS rows FROM ({sql.bronze('auth')}) WHERE day <> 4 AND (day <> 5 OR TRY_CAST(time AS BIGINT) % 2 = 0) GROUP BY ALL")
+def _republished(spark, d):
+    """Days 3 to 5 land again: the first as it was, the next without a valid row, the last with half its rows and with rows of other days."""
+    lake = jobs.Lake(spark, tables.scratch(spark, "lake"))
+    landing = lake.path("landing")
+    _file_lines(spark, d, landing, "auth", bad="false")
+    jobs.to_bronze(lake, landing, ["auth"], *DAYS, CREATED)
+    again = "day in (3, 4) or day = 5 and cast(time as bigint) % 2 = 0 or day > 27"
+    _file_lines(spark, d, landing, "auth", "least(day, 5)", "day = 4", again)
+    jobs.to_bronze(lake, landing, ["auth"], 3, 5, CREATED, jobs.REMOVE)
+    rows = lake.bronze_rows("auth", lake.records("bronze", ["auth"], *DAYS).values())
+    return rows.groupBy("source", "day").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@_query("rebuilt_anchors", f"WITH {sql.gold_with(*DAYS, WINDOW)} SELECT anchor_day, count(*) AS computers, CAST(sum(dns_lookup_count) AS BIGINT) AS lookups, anchor_day BETWEEN 12 AND {11 + WINDOW} AS rebuilt FROM gold GROUP BY anchor_day")
+def _rebuilt(spark, d):
+    """Half of a day's lookups come late: only the windows that hold the day are built again."""
+    lake, landing = _lake(spark, d, *DAYS)
+    lines = fixtures.raw_lines(spark, d, "dns")
+    time = F.split_part("value", F.lit(","), F.lit(1)).cast("long")
+    early = lines.where((time % 2 == 0) | ~time.between(12 * 86_400 + 1, 13 * 86_400))
+    tables.land(early, landing, "dns", *DAYS)
+    jobs.backfill(lake, landing, *DAYS, WINDOW, CREATED)
+    tables.land(lines, landing, "dns", 12, 12)
+    rebuilt = jobs.late_day(lake, landing, ["dns"], 12, WINDOW, CREATED, DAYS[1])
+    counts = lake.gold_rows(*DAYS, WINDOW).groupBy("anchor_day").agg(F.count(F.lit(1)).alias("computers"), F.sum("dns_lookup_count").alias("lookups"))
+    return counts.withColumn("rebuilt", F.col("anchor_day").isin(rebuilt))
+
+
+@_query(
+    "landing_rejects",
+    " UNION ALL ".join(
+        f"""SELECT '{s}' AS source, CASE WHEN {_BARE} THEN 'no fields' WHEN {_MOVED} THEN 'no time' ELSE 'time is no number' END AS reason, count(*) AS lines
+        FROM ({sql.bronze(s)}) WHERE {_BAD} OR {_MOVED} OR {_BARE} GROUP BY ALL"""
+        for s in SOURCES
+    ),
+)
+def _rejects(spark, d):
+    """One pass lands the lines that have a day and keeps the others with their reason."""
+    path = tables.scratch(spark, "landing")
+    time = F.split_part("value", F.lit(","), F.lit(1))
+    spoiled = (
+        F.when(F.expr(_BARE), F.translate("value", ",", " "))
+        .when(F.expr(_MOVED), F.concat(F.lit(" ,"), "value"))
+        .when(F.expr(_BAD), F.concat(F.lit("at "), "value"))
+        .otherwise(F.col("value"))
+    )
+
+    def rejected(name: str) -> DataFrame:
+        tables.land(fixtures.as_read(fixtures.raw_lines(spark, d, name).withColumn("time", time).select(spoiled.alias("value"))), path, name, *DAYS)
+        return tables.landing_rejects(spark, path, name)
+
+    return reduce(DataFrame.unionByName, jobs._each(SOURCES, rejected)).groupBy("source", "reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
 _LISTS = {"landing": {s: SOURCES[s].fields for s in SOURCES}, "bronze": {s: (*SOURCES[s].fields, "source", "day") for s in SOURCES}}
 
 
@@ -452,7 +527,7 @@ def _schemas(spark, d):
     lake, landing = _lake(spark, d, *DAYS)
     jobs.to_bronze(lake, landing, list(SOURCES), *DAYS, CREATED)
     jobs.to_bronze(lake, landing, ["dns"], 3, 4, CREATED)  # again: still one record for each table
-    return lake.latest("schemas", ("source", "layer", "schema_version")).select("source", "layer", "schema_version", F.array_join("columns", ",").alias("columns"))
+    return lake.schemas().select("source", "layer", "schema_version", F.array_join("columns", ",").alias("columns"))
 
 
 _V = f"""{_M}, counts AS ({_COUNTS}), m AS (SELECT window_days, anchor_day, count(*) AS record_count FROM gold GROUP BY window_days, anchor_day)"""
@@ -473,6 +548,6 @@ def _delivery_records(spark, d):
         jobs.deliver_windows(lake, lake.path("out"), FIRST, LAST, WINDOW, SECRET, created)
     found = delivery.manifest_listing(spark, lake.path("out")).select("window_days", "anchor_day", "created_at", "volume_summary")
     total = lambda layer: F.aggregate(f"volume_summary.{layer}.record_count", F.lit(0).cast("long"), lambda a, x: a + x).alias(layer)
-    latest = lake.latest("deliveries", ("window_days", "anchor_day")).join(found, ["window_days", "anchor_day", "created_at"])
+    latest = lake.deliveries().join(found, ["window_days", "anchor_day", "created_at"])
     gold, days = F.col("volume_summary.gold.record_count").alias("gold"), F.size("volume_summary.event_days").alias("days")
     return latest.select("window_days", "anchor_day", "record_count", *map(total, governance.LAYERS[:3]), gold, days, "data_object")

@@ -5,9 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 from hostgrain.functions.columns import as_long, day_of
 from hostgrain.operators.contract import COLUMNS
@@ -18,30 +18,35 @@ class EmptyRange(ValueError):
     """No event lies in the days asked for."""
 
 
+def _reason(line: Column) -> Column:
+    """Why a raw line can't be landed; null for one that can."""
+    first = F.split_part(line, F.lit(","), F.lit(1))
+    return F.when(~F.contains(line, F.lit(",")), "no fields").when(F.trim(first) == "", "no time").when(as_long(first).isNull(), "time is no number")
+
+
 def land(lines: DataFrame, path: str, name: str, first_day: int, last_day: int) -> None:
-    """Writes raw lines (column value) of the days first_day..last_day as gzip CSV, a folder for each day.
+    """Writes raw lines (column value) of the days first_day..last_day as gzip CSV, a folder for each day, in one pass.
 
-    Lines without a comma are skipped, as are days without lines; no line at all is
-    an error. Lines whose first field isn't a number have no day: see undated().
-    Rewriting a day replaces it.
+    Lines that have no day, for want of fields or of a number as their time, go to the
+    folder of the null day: see landing_rejects(). Days without lines are left out; no
+    line in the whole range is an error. Rewriting a day replaces it. Gzip can't be
+    split, so Spark cuts the files by volume (spark.sql.adaptive.advisoryPartitionSizeInBytes).
     """
+    rejected = _reason(F.col("value")).isNotNull()
     time = as_long(F.split_part("value", F.lit(","), F.lit(1)))
-    chosen = (
-        lines.where(F.contains("value", F.lit(",")))
-        .withColumn("day", day_of(time))
-        .where(F.col("day").between(first_day, last_day))
-        .select("value", "day")
-    )
-    if chosen.isEmpty():
+    chosen = lines.select("value", F.when(~rejected, day_of(time)).alias("day")).where(rejected | F.col("day").between(first_day, last_day))
+    seen = Observation()
+    apart = max(64, 4 * (last_day - first_day + 1))  # so that few days share a partition before it is cut
+    dealt = chosen.hint("rebalance", apart, F.col("day")).observe(seen, F.count("day").alias("landed"))
+    _replace(dealt, ["day"]).option("compression", "gzip").format("text").save(f"{path}/{name}")
+    if not seen.get.get("landed"):
         raise EmptyRange(f"{name}: no event in days {first_day} to {last_day}")
-    spread = chosen.repartition("day", F.pmod(F.xxhash64("value"), F.lit(8)))  # several files a day: gzip can't be split
-    _replace(spread, ["day"]).option("compression", "gzip").format("text").save(f"{path}/{name}")
 
 
-def undated(lines: DataFrame) -> DataFrame:
-    """The raw lines that land() can't place: with fields, but without a number as their time."""
-    time = as_long(F.split_part("value", F.lit(","), F.lit(1)))
-    return lines.where(F.contains("value", F.lit(",")) & time.isNull())
+def landing_rejects(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """(source, reason, line) of the lines that land() couldn't place."""
+    lines = spark.read.schema(StructType().add("line", StringType()).add("day", IntegerType())).text(f"{path}/{name}").where("day is null")
+    return lines.select(F.lit(name).alias("source"), _reason(F.col("line")).alias("reason"), "line")
 
 
 def scan_landing(spark: SparkSession, path: str, name: str, first_day: int | None = None, last_day: int | None = None, with_day: bool = False) -> DataFrame:
@@ -55,9 +60,9 @@ def scan_landing(spark: SparkSession, path: str, name: str, first_day: int | Non
 def landing_digests(spark: SparkSession, path: str, name: str) -> DataFrame:
     """(day, files, sha256): a digest of the sorted digests of each day's files, computed where they are read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.gz").load(f"{path}/{name}")
-    each = files.select(F.regexp_extract("path", r"day=(-?\d+)/", 1).cast("int").alias("day"), F.sha2("content", 256).alias("digest"))
+    each = files.select(F.regexp_extract("path", r"day=(-?\d+)/", 1).try_cast("int").alias("day"), F.sha2("content", 256).alias("digest"))
     # a day has few files, so the list is short
-    return each.groupBy("day").agg(
+    return each.where("day is not null").groupBy("day").agg(
         F.count(F.lit(1)).alias("files"), F.sha2(F.array_join(F.array_sort(F.collect_list("digest")), ","), 256).alias("sha256")
     )
 
@@ -92,6 +97,16 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    store, place = file_system(spark, path)
+    content = store.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(content, "UTF-8")
+    finally:
+        content.close()
+
+
 def _between(df: DataFrame, first_day: int | None, last_day: int | None) -> DataFrame:
     if first_day is not None:
         df = df.where(F.col("day") >= first_day)
