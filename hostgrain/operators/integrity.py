@@ -34,14 +34,15 @@ def content_checksum(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("record_count"), _summary(df.columns, total).alias("checksum"))
 
 
-def _md5_lane(columns: list[str]) -> Column:
-    """60 bits of a row's MD5, as a long."""
-    return F.conv(F.substring(F.md5(row_text(columns)), 1, 15), 16, 10).cast("long")
+def _md5_lane(columns: list[str]) -> str:
+    """60 bits of a row's MD5 as a long, in SQL: of row_text(), whose many columns are built faster as one text."""
+    values = ", ".join(f"coalesce(cast(`{c}` as string), char(0))" for c in sorted(columns))
+    return f"cast(conv(substring(md5(concat_ws(char(31), {values})), 1, 15), 16, 10) as long)"
 
 
 def content_checksum_md5(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """As content_checksum(), with 60 bits of MD5 as the row hash, which other engines have too."""
-    total = F.sum(_md5_lane(df.columns).cast("decimal(28,0)"))
+    total = F.expr(f"sum(cast({_md5_lane(df.columns)} as decimal(28,0)))")
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("record_count"), _summary(df.columns, total).alias("checksum"))
 
 
@@ -54,7 +55,7 @@ class Watch:
     """Counts and content checksums per partition, taken while rows pass by on their way to a write.
 
     by: the column whose values (whole numbers, known beforehand) are the partitions.
-    kinds: conditions by name; each kind's rows are summed up on their own. The sums
+    kinds: conditions (SQL) by name; each kind's rows are summed up on their own. The sums
     are observed metrics: Spark merges them from the tasks that write, so that nothing
     is read again. Behind the last shuffle each row counts once; before it, the rows of
     a task that had to be repeated may count twice, which the caller has to allow for.
@@ -62,36 +63,37 @@ class Watch:
 
     #: Partitions that one Watch can keep apart, as each adds to the work for a row.
     MOST = 64
+    #: A row's hash, of 60 bits, with a one in front: the sum tells rows and total of up to 10^10 rows.
+    _ROW = 10**28
 
-    def __init__(self, by: str, values: Iterable[int], columns: Iterable[str], kinds: dict[str, Column] | None = None):
+    def __init__(self, by: str, values: Iterable[int], columns: Iterable[str], kinds: dict[str, str] | None = None):
         self.by, self.values, self.columns = by, list(values), list(columns)
-        self.kinds = kinds or {"all": F.lit(True)}
+        self.kinds = kinds or {"all": "true"}
         if len(self.values) > self.MOST:
             raise ValueError(f"at most {self.MOST} partitions at a time")
         self._seen = Observation()
 
     def on(self, df: DataFrame) -> DataFrame:
         """df, watched; its columns stay as they are."""
-        hash_, low = "hostgrain_row_hash", F.lit((1 << 30) - 1).cast("long")
-        sums = []
-        for kind, condition in self.kinds.items():
-            for v in self.values:
-                own = condition & (F.col(self.by) == v)
-                # in halves of 30 bits, so that sums of longs hold
-                halves = {"high": F.shiftright(hash_, 30), "low": F.col(hash_).bitwiseAND(low)}
-                sums.append(F.count_if(own).alias(f"{kind} rows {v}"))
-                sums += [F.sum(F.when(own, half)).alias(f"{kind} {name} {v}") for name, half in halves.items()]
-        return df.withColumn(hash_, _md5_lane(self.columns)).observe(self._seen, *sums).drop(hash_)
+        row, place = "hostgrain_row", "hostgrain_place"
+        hash_ = F.expr(f"cast(cast('{self._ROW}' as decimal(38,0)) + cast({_md5_lane(self.columns)} as decimal(20,0)) as decimal(38,0))")
+        # partitions by their place in the list: watches of as many partitions are the same code, which Spark compiles once
+        first, last = self.values[0], self.values[-1]
+        neighbours = self.values == list(range(first, last + 1))
+        at = F.expr(f"`{self.by}` - ({first})" if neighbours else f"array_position(array({', '.join(map(str, self.values))}), cast(`{self.by}` as int)) - 1")
+        sums = [
+            F.expr(f"sum(case when ({condition}) and {place} = {i} then {row} end) as `{kind} {i}`")
+            for kind, condition in self.kinds.items()
+            for i in range(len(self.values))
+        ]
+        return df.withColumns({row: hash_, place: at}).observe(self._seen, *sums).drop(row, place)
 
     def found(self, kind: str = "all") -> dict[int, tuple[int, str]]:
         """(rows, checksum) of each partition with rows, once what on() returned has been written."""
         seen = self._seen.get
-        out = {}
-        for v in self.values:
-            if rows := seen.get(f"{kind} rows {v}", 0):
-                total = ((seen[f"{kind} high {v}"] or 0) << 30) + (seen[f"{kind} low {v}"] or 0)
-                out[v] = rows, md5_summary(self.columns, rows, total)
-        return out
+        sums = {v: seen.get(f"{kind} {i}") for i, v in enumerate(self.values)}
+        parts = {v: divmod(int(total), self._ROW) for v, total in sums.items() if total}
+        return {v: (rows, md5_summary(self.columns, rows, total)) for v, (rows, total) in parts.items()}
 
 
 def checksum_validation(recorded: DataFrame, computed: DataFrame, keys: list[str]) -> DataFrame:

@@ -81,19 +81,19 @@ def deviations(features: DataFrame) -> DataFrame:
     return joined.select(*DELIVERY, "computer_id", "position", "feature", F.abs((F.col("x") - F.col("median")) / F.col("scale")).alias("abs_z"))
 
 
-def anomaly_scores(features: DataFrame) -> DataFrame:
-    """(delivery, computer_id, anomaly_score): the mean of a computer's deviations, 0 without any."""
-    mean = deviations(features).groupBy(*DELIVERY, "computer_id").agg(F.avg("abs_z").alias("score"))
+def anomaly_scores(features: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """(delivery, computer_id, anomaly_score): the mean of a computer's deviations (found, or worked out here), 0 without any."""
+    mean = (deviations(features) if found is None else found).groupBy(*DELIVERY, "computer_id").agg(F.avg("abs_z").alias("score"))
     everyone = features.select(*DELIVERY, "computer_id")
     return everyone.join(mean, [*DELIVERY, "computer_id"], "left").select(
         *DELIVERY, "computer_id", F.round(F.coalesce("score", F.lit(0.0)), 6).alias("anomaly_score")
     )
 
 
-def contributions(features: DataFrame, top: int = 5) -> DataFrame:
+def contributions(features: DataFrame, top: int = 5, found: DataFrame | None = None) -> DataFrame:
     """(delivery, computer_id, feature, abs_z, rank): the features that deviate most; ties in contract order."""
     order = Window.partitionBy(*DELIVERY, "computer_id").orderBy(F.desc(F.round("abs_z", 6)), "position")
-    ranked = deviations(features).where("abs_z is not null").withColumn("rank", F.row_number().over(order))
+    ranked = (deviations(features) if found is None else found).where("abs_z is not null").withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= top).select(*DELIVERY, "computer_id", "feature", F.round("abs_z", 6).alias("abs_z"), "rank")
 
 
@@ -103,22 +103,53 @@ def _level(place: Column, n: Column) -> Column:
     return F.when(place <= high, "High").when(place <= attention, "Medium").otherwise("Normal")
 
 
-def risk_levels(scores: DataFrame) -> DataFrame:
-    """Adds place (by descending score, then id, within a delivery) and risk: High, Medium or Normal.
+def _running(rows: DataFrame, order: list, sums: dict[str, Column], name: str) -> DataFrame:
+    """rows with, for each of sums, its total over the delivery (`all_`) and over the rows up to this one in order (`upto_`).
 
-    Rows are dealt out in that order, in ranges of about equal size; a place is
-    the number of rows in the ranges before plus the place within the range, so a
-    large delivery is ranked by many tasks, whatever the ties.
+    Rows are dealt out in that order, in ranges of about equal size; a running sum is
+    that of the ranges before plus that within the range, so a large delivery is
+    worked on by many tasks, whatever the ties. Rows must differ in order.
     """
-    score = F.coalesce("anomaly_score", F.lit(0.0))
-    dealt = scores.repartitionByRange(*DELIVERY, F.desc(score), "computer_id").withColumn("range", F.spark_partition_id())
-    dealt = stored(dealt, "dealt")
+    dealt = rows.repartitionByRange(*DELIVERY, *order).withColumn("range", F.spark_partition_id())
+    dealt = stored(dealt, name)
     whole, upto = Window.partitionBy(*DELIVERY), Window.partitionBy(*DELIVERY).orderBy("range")
-    sizes = dealt.groupBy(*DELIVERY, "range").agg(F.count(F.lit(1)).alias("n"))  # a row for each range of a delivery
-    sizes = sizes.select(*DELIVERY, "range", F.sum("n").over(whole).alias("size"), (F.sum("n").over(upto) - F.col("n")).alias("before"))
-    inside = F.row_number().over(Window.partitionBy(*DELIVERY, "range").orderBy(F.desc(score), "computer_id"))
-    placed = dealt.withColumn("inside", inside).join(sizes, [*DELIVERY, "range"]).withColumn("place", (F.col("before") + F.col("inside")).cast("int"))
-    return placed.withColumn("risk", _level(F.col("place"), F.col("size"))).select(*scores.columns, "place", "risk")
+    ranges = dealt.groupBy(*DELIVERY, "range").agg(*[F.sum(c).alias(k) for k, c in sums.items()])  # a row for each range of a delivery
+    before = [x for k in sums for x in (F.sum(k).over(whole).alias(f"all_{k}"), (F.sum(k).over(upto) - F.col(k)).alias(f"before_{k}"))]
+    within = Window.partitionBy(*DELIVERY, "range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = dealt.withColumns({f"inside_{k}": F.sum(c).over(within) for k, c in sums.items()})
+    joined = inside.join(ranges.select(*DELIVERY, "range", *before), [*DELIVERY, "range"])
+    found = [x for k in sums for x in (F.col(f"all_{k}"), (F.col(f"before_{k}") + F.col(f"inside_{k}")).alias(f"upto_{k}"))]
+    return joined.select(*rows.columns, *found)
+
+
+def risk_levels(scores: DataFrame) -> DataFrame:
+    """Adds place (by descending score, then id, within a delivery) and risk: High, Medium or Normal."""
+    order = [F.desc(F.coalesce("anomaly_score", F.lit(0.0))), F.col("computer_id")]
+    placed = _running(scores, order, {"n": F.lit(1)}, "dealt").withColumn("place", F.col("upto_n").cast("int"))
+    return placed.withColumn("risk", _level(F.col("place"), F.col("all_n"))).select(*scores.columns, "place", "risk")
+
+
+def label_quality(scores: DataFrame, labels: DataFrame) -> DataFrame:
+    """(delivery, computers, labelled, auc, average_precision) of scores against the labelled computers (delivery, computer_id).
+
+    auc is the chance that a labelled computer has a higher score than another one,
+    equal scores counting half; null where one sort is missing. The average precision
+    takes each score as a threshold; null without a labelled computer. Both are sums
+    over the distinct scores of a delivery, by running sums over ranges of them.
+    """
+    hit = labels.select(*DELIVERY, "computer_id").distinct().withColumn("hit", F.lit(1))
+    marked = scores.join(hit, [*DELIVERY, "computer_id"], "left").withColumn("score", F.coalesce("anomaly_score", F.lit(0.0)))
+    levels = marked.groupBy(*DELIVERY, "score").agg(F.count(F.lit(1)).alias("rows"), F.count("hit").alias("hits"))
+    run = _running(levels, [F.desc("score")], {"rows": F.col("rows"), "hits": F.col("hits")}, "levels")
+    others, below = F.col("all_rows") - F.col("all_hits"), (F.col("all_rows") - F.col("upto_rows")) - (F.col("all_hits") - F.col("upto_hits"))
+    wins = F.col("hits") * (below + (F.col("rows") - F.col("hits")) / 2)
+    precision = F.col("hits") * F.col("upto_hits") / F.col("upto_rows")
+    total = run.groupBy(*DELIVERY).agg(
+        F.max("all_rows").alias("computers"), F.max("all_hits").alias("labelled"), F.max(others).alias("others"), F.sum(wins).alias("wins"), F.sum(precision).alias("precision")
+    )
+    auc = F.when((F.col("labelled") > 0) & (F.col("others") > 0), F.round(F.col("wins") / (F.col("labelled") * F.col("others")), 6))
+    average = F.when(F.col("labelled") > 0, F.round(F.col("precision") / F.col("labelled"), 6))
+    return total.select(*DELIVERY, "computers", "labelled", auc.alias("auc"), average.alias("average_precision"))
 
 
 def attention(scores: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -9,7 +11,7 @@ from pyspark.sql.types import StructType
 from hostgrain.operators.contract import COLUMNS, FLAGS
 from hostgrain.operators.governance import nested_volume
 from hostgrain.operators.integrity import Watch, content_checksum_md5
-from hostgrain.sources.sealed import SCHEME, key_id, partition_id, seal, unseal
+from hostgrain.sources.sealed import SCHEME, key_id, new_keys, open_keys, partition_id, rewrapped, seal, unseal
 from hostgrain.sources.tables import stored, write_table, write_text
 
 DATASET = "computer_features"
@@ -21,17 +23,18 @@ _MANIFEST = (
     "dataset_version string, encryption_scheme string, key_id string, record_count long, schema_version string, "
     f"volume_summary struct<bronze: array<struct<{_COUNT}>>, delivered: struct<record_count: long>, event_days: array<int>, "
     f"gold: struct<anchor_day: int, record_count: long, window_days: int>, landing: array<struct<{_COUNT}>>, silver: array<struct<{_COUNT}>>>, "
-    "window_days int"
+    "window_days int, wrapped_key string"
 )
 
 
-def delivery_manifest(gold: DataFrame, secret: str, created_at: str, schema_version: str = "v1", records: DataFrame | None = None, checks: dict[tuple[int, int], tuple[int, str]] | None = None) -> DataFrame:
+def delivery_manifest(gold: DataFrame, secret: str, created_at: str, schema_version: str = "v1", records: DataFrame | None = None, checks: dict[tuple[int, int], tuple[int, str]] | None = None, keys: DataFrame | None = None) -> DataFrame:
     """A manifest row for each (window_days, anchor_day) of gold, columns by name.
 
     The digest is that of the contents, so the receiver can make it again from
     whatever files it gets. records: checksum records of the layers, for the volume
     behind each delivery (volume_summary; null without). checks: (rows, checksum) of
-    each partition, where they are known; else gold is read for them.
+    each partition, where they are known; else gold is read for them. keys: the
+    partitions' wrapped data keys (null without).
     """
     if checks is None:
         found = content_checksum_md5(gold, CLEAR)
@@ -53,6 +56,10 @@ def delivery_manifest(gold: DataFrame, secret: str, created_at: str, schema_vers
         F.lit(schema_version).alias("schema_version"),
         "window_days",
     )
+    if keys is None:
+        manifest = manifest.withColumn("wrapped_key", F.lit(None).cast("string"))
+    else:
+        manifest = manifest.join(keys.select(*CLEAR, "wrapped_key"), list(CLEAR), "left")
     if records is None:
         volume = F.lit(None).cast(StructType.fromDDL(_MANIFEST)["volume_summary"].dataType)
         with_volume = manifest.withColumn("volume_summary", volume)
@@ -79,26 +86,53 @@ def deliver(gold: DataFrame, path: str, secret: str, created_at: str, records: D
     they are known; rows are then read once, and no manifest is written unless what
     was sealed agrees with them.
     """
-    if checks is None and gold.isEmpty() or checks is not None and not checks:
+    spark, rows = gold.sparkSession, gold.select(*COLUMNS)
+    partitions = sorted(checks or map(tuple, rows.select(*CLEAR).distinct().collect()))  # a row per delivery
+    if not partitions:
         raise ValueError("nothing to deliver")
-    rows = gold.select(*COLUMNS)
-    anchors, windows = sorted({a for _, a in checks or ()}), {str(w): F.col("window_days") == w for w in sorted({w for w, _ in checks or ()})}
+    keys = new_keys(spark, partitions, secret)
+    anchors, windows = sorted({a for _, a in checks or ()}), {str(w): f"window_days = {w}" for w in sorted({w for w, _ in checks or ()})}
     watches = [Watch("anchor_day", anchors[i : i + Watch.MOST], COLUMNS, windows) for i in range(0, len(anchors), Watch.MOST)]
     for watch in watches:
         rows = watch.on(rows)
-    sealed = seal(rows, secret, partition_id(F.col("window_days"), F.col("anchor_day")), CLEAR).drop("sealed_partition")
-    write_table(sealed.withColumn("anchor_day", F.format_string("%02d", "anchor_day")), f"{path}/{DATASET}", list(CLEAR))
+    write_table(seal(rows, keys).withColumn("anchor_day", F.format_string("%02d", "anchor_day")), f"{path}/{DATASET}", list(CLEAR))
     if checks:
         seen = {(int(w), a): v for watch in watches for w in watch.kinds for a, v in watch.found(w).items()}
         if changed := [k for k, v in checks.items() if seen.get(k) != v]:
             raise ValueError(f"content can't be trusted: gold of {changed[:10]}")
-    manifests = stored(delivery_manifest(rows, secret, created_at, records=records, checks=checks), "manifests")
-    pretty = F.to_json(F.struct(*manifests.columns), {"pretty": "true"})
-    for r in manifests.select("data_object", pretty.alias("text")).toLocalIterator():  # a row per delivered partition
-        write_text(gold.sparkSession, f"{path}/{r['data_object']}/manifest.json", r["text"])
+    manifests = stored(delivery_manifest(rows, secret, created_at, records=records, checks=checks, keys=keys), "manifests")
+    _write_manifests(manifests, path)
     return manifests
 
 
+def _write_manifests(manifests: DataFrame, path: str) -> None:
+    """Writes each manifest beside its rows: small files of fixed names, one for each delivered partition, as many at a time."""
+    pretty = F.to_json(F.struct(*StructType.fromDDL(_MANIFEST).names), {"pretty": "true"})
+    rows = manifests.select("data_object", pretty.alias("text")).collect()
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(lambda r: write_text(manifests.sparkSession, f"{path}/{r['data_object']}/manifest.json", r["text"]), rows))
+
+
+def rotate(spark: SparkSession, path: str, old_secret: str, new_secret: str) -> DataFrame:
+    """Wraps the data keys of all deliveries under another secret and returns the new manifests; sealed rows stay as they are.
+
+    The old secret opens nothing from then on. A delivery that the old secret doesn't
+    open fails the rotation before any manifest is written.
+    """
+    manifests = manifest_listing(spark, path)
+    keys = rewrapped(manifests, old_secret, new_secret)
+    columns = StructType.fromDDL(_MANIFEST).names
+    changed = manifests.drop("wrapped_key").join(keys, list(CLEAR)).withColumn("key_id", F.lit(key_id(new_secret))).select(*columns)
+    changed = stored(changed, "manifests")
+    _write_manifests(changed, path)
+    return changed
+
+
+def _fitting(manifests: DataFrame, secret: str) -> DataFrame:
+    """The data keys of manifests whose secret this is; rows of others then don't open."""
+    return open_keys(manifests.where(F.col("key_id") == key_id(secret)), secret)
+
+
 def manifest_listing(spark: SparkSession, path: str) -> DataFrame:
     """All manifests below path."""
     found = spark.read.schema(_MANIFEST).option("recursiveFileLookup", True).option("pathGlobFilter", "manifest.json").option("multiLine", True)
@@ -106,14 +140,43 @@ def manifest_listing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sealed_rows(spark: SparkSession, path: str) -> DataFrame:
-    """The delivered rows as they are stored, with sealed_partition, the partition that they claim to be of."""
-    rows = spark.read.option("pathGlobFilter", "*.parquet").parquet(f"{path}/{DATASET}")
-    return rows.withColumn("sealed_partition", partition_id(F.col("window_days"), F.col("anchor_day")))
+    """The delivered rows as they are stored: the partition that they lie in, and the ciphertext."""
+    return spark.read.option("pathGlobFilter", "*.parquet").parquet(f"{path}/{DATASET}")
 
 
 def received(spark: SparkSession, path: str, secret: str, gold_schema) -> DataFrame:
     """The delivered rows, opened; a wrong key, changed data or a moved partition raises."""
-    return unseal(sealed_rows(spark, path), secret, gold_schema, CLEAR)
+    return unseal(sealed_rows(spark, path), _fitting(manifest_listing(spark, path), secret), gold_schema)
+
+
+def received_keys(spark: SparkSession, path: str, secret: str) -> DataFrame:
+    """(window_days, anchor_day, data_key) of the deliveries that the secret opens."""
+    return _fitting(manifest_listing(spark, path), secret)
+
+
+def verified_bundle(spark: SparkSession, path: str, secret: str, first_anchor: int, last_anchor: int, window_days: int, gold_schema) -> DataFrame:
+    """All deliveries of a period for one window length, as they were delivered: the union of the dailies.
+
+    Manifests say which folders there are; only those are opened, once. Counts and
+    digests are taken while the opened rows are stored, and no row is given on unless
+    all partitions agree with their manifests; others are named in the error.
+    """
+    wanted = manifest_listing(spark, path).where((F.col("window_days") == window_days) & F.col("anchor_day").between(first_anchor, last_anchor))
+    found = {r.anchor_day: r for r in wanted.select(*CLEAR, "data_object", "record_count", "checksum_sha256", "columns").collect()}  # a row per delivery
+    if missing := [a for a in range(first_anchor, last_anchor + 1) if a not in found]:
+        raise ValueError(f"not delivered: {', '.join(f'window_days={window_days}/anchor_day={a:02d}' for a in missing)}")
+    files = spark.read.option("pathGlobFilter", "*.parquet").option("basePath", f"{path}/{DATASET}")
+    rows = files.parquet(*[f"{path}/{r.data_object}" for r in found.values()])
+    opened = unseal(rows, _fitting(wanted, secret), gold_schema)
+    anchors = sorted(found)
+    watches = [Watch("anchor_day", anchors[i : i + Watch.MOST], COLUMNS) for i in range(0, len(anchors), Watch.MOST)]
+    for watch in watches:
+        opened = watch.on(opened)
+    bundle = stored(opened, "bundle")
+    seen = {a: v for watch in watches for a, v in watch.found().items()}
+    if changed := [r.data_object for a, r in found.items() if seen.get(a) != (r.record_count, r.checksum_sha256) or tuple(r.columns) != COLUMNS]:
+        raise ValueError(f"not as delivered: {', '.join(changed)}")
+    return bundle
 
 
 def delivery_acceptance(manifests: DataFrame, rows: DataFrame) -> DataFrame:
@@ -135,14 +198,8 @@ def delivery_acceptance(manifests: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
-def retraining_bundle(gold: DataFrame, first_anchor: int, last_anchor: int, window_days: int) -> DataFrame:
-    """All daily partitions of a period for one window length, as they were delivered."""
-    chosen = gold.where((F.col("window_days") == window_days) & F.col("anchor_day").between(first_anchor, last_anchor))
-    return chosen.select(*COLUMNS)
-
-
-def redteam_label_join(redteam: DataFrame, auth: DataFrame) -> DataFrame:
-    """(computer_id, events): labelled sign-ins per source computer, joined to Silver on time, user and computers."""
+def redteam_sign_ins(redteam: DataFrame, auth: DataFrame) -> DataFrame:
+    """The rows of auth Silver that are labelled: joined on time, user and computers."""
     labels = redteam.select(
         F.col("time").try_cast("long").alias("time"),
         F.get(F.split("user", "@"), F.lit(0)).alias("src_user_name"),
@@ -152,5 +209,17 @@ def redteam_label_join(redteam: DataFrame, auth: DataFrame) -> DataFrame:
     ).distinct()
     keys = ["time", "src_user_name", "src_comp", "dst_comp"]
     same = [F.col(f"l.{k}") == F.col(f"a.{k}") for k in keys] + [F.col("l.src_domain").eqNullSafe(F.col("a.src_domain"))]
-    joined = auth.alias("a").join(labels.alias("l"), same, "left_semi")
-    return joined.groupBy(F.col("src_comp").alias("computer_id")).agg(F.count(F.lit(1)).alias("events"))
+    return auth.alias("a").join(labels.alias("l"), same, "left_semi")
+
+
+def redteam_label_join(redteam: DataFrame, auth: DataFrame) -> DataFrame:
+    """(computer_id, events): labelled sign-ins per source computer."""
+    return redteam_sign_ins(redteam, auth).groupBy(F.col("src_comp").alias("computer_id")).agg(F.count(F.lit(1)).alias("events"))
+
+
+def redteam_labels(redteam: DataFrame, auth: DataFrame, first_anchor: int, last_anchor: int, window_days: int) -> DataFrame:
+    """(window_days, anchor_day, computer_id): the source computers with a labelled sign-in within an anchor's window."""
+    days = redteam_sign_ins(redteam, auth).select("day", F.col("src_comp").alias("computer_id")).distinct()  # labels are few
+    anchors = F.sequence(F.greatest("day", F.lit(first_anchor)), F.least(F.col("day") + window_days - 1, F.lit(last_anchor)))
+    inside = days.where(F.col("day").between(max(0, first_anchor - window_days + 1), last_anchor))
+    return inside.select(F.lit(window_days).alias("window_days"), F.explode(anchors).alias("anchor_day"), "computer_id").distinct()

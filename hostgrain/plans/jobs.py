@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -22,26 +24,31 @@ from pyspark.sql.types import IntegerType, StringType, StructType
 from hostgrain.functions.columns import as_long, day_of
 from hostgrain.operators.contract import COLUMNS
 from hostgrain.operators.features import daily, daily_schema, features_of_days, window_event_days
-from hostgrain.operators.governance import lineage_rows
 from hostgrain.operators.integrity import Watch, content_checksum_md5, missing_partitions
 from hostgrain.plans.delivery import deliver
 from hostgrain.sources.events import SOURCES, source
 from hostgrain.sources.published import CommitLog, Published
-from hostgrain.sources.tables import scan_landing
+from hostgrain.sources.tables import scan_landing, write_text
 
 _MANIFEST_RECORD = (
     "dataset", "dataset_version", "schema_version", "window_days", "anchor_day", "record_count", "checksum_sha256", "encryption_scheme", "key_id", "data_object", "created_at"
 )
 _CHECKSUMS = "layer string, source string, day int, window_days int, checksum string, record_count long, created_at string"
 _SCHEMAS = "source string, layer string, schema_version string, columns array<string>, created_at string"
+_LINEAGE = "source string, day int, from_layer string, to_layer string, record_count long, schema_version string, window_days int, created_at string"
 #: What a job does about a day without rows: it fails, or it publishes that the day is empty.
 FAIL, REMOVE = "fail", "remove"
 
 
+@functools.cache
+def silver_schema(spark: SparkSession, name: str) -> StructType:
+    spec = source(name)
+    return spec.to_silver(spec.to_bronze(spark.createDataFrame([], spec.raw_schema))).schema
+
+
 @functools.cache
 def gold_schema(spark: SparkSession) -> StructType:
-    empty = {n: s.to_silver(s.to_bronze(spark.createDataFrame([], s.raw_schema))) for n, s in SOURCES.items()}
-    return features_of_days(daily(empty), 0, 0, 1).schema
+    return features_of_days(spark.createDataFrame([], daily_schema()), 0, 0, 1).schema
 
 
 class Lake:
@@ -72,9 +79,7 @@ class Lake:
         return rows.where("outcome = 'accepted'").select(*schema.names)
 
     def silver_rows(self, name: str, records: Iterable[dict]) -> DataFrame:
-        spec = source(name)
-        schema = spec.to_silver(spec.to_bronze(self.spark.createDataFrame([], spec.raw_schema))).schema
-        return self.silver.read(schema, [r for r in records if r["source"] == name])
+        return self.silver.read(silver_schema(self.spark, name), [r for r in records if r["source"] == name])
 
     def gold_rows(self, first_anchor: int, last_anchor: int, window_days: int) -> DataFrame:
         return self.gold.read(gold_schema(self.spark), self._gold_records(first_anchor, last_anchor, window_days))
@@ -122,10 +127,15 @@ class Lake:
             self._schemas.commit(changed)
 
     def add_lineage(self, from_layer: str | None, to_layer: str, rows: list[tuple], created_at: str) -> None:
-        """Appends a record for each (source, day, record_count, window_days)."""
-        counts = self.spark.createDataFrame(rows, "source string, day int, record_count long, window_days int")
-        lineage = lineage_rows(counts, from_layer, to_layer).withColumns({"created_at": F.lit(created_at), "recorded_at": F.current_timestamp()})
-        lineage.coalesce(1).write.mode("append").parquet(self.path("lineage"))
+        """Adds a record for each (source, day, record_count, window_days): a small file of its own, which nobody changes."""
+        names = ("source", "day", "record_count", "window_days")
+        records = [dict(zip(names, r, strict=True)) | {"from_layer": from_layer, "to_layer": to_layer, "schema_version": "v1", "created_at": created_at} for r in rows]
+        if records:
+            write_text(self.spark, self.path(f"lineage/{uuid.uuid4().hex}.json"), "\n".join(map(json.dumps, records)))
+
+    def lineage(self) -> DataFrame:
+        """All lineage records, as lineage_rows() makes them, with created_at."""
+        return self.spark.read.schema(_LINEAGE).json(self.path("lineage"))
 
 
 def _each(items: Iterable, f: Callable) -> list:
@@ -135,9 +145,17 @@ def _each(items: Iterable, f: Callable) -> list:
         return list(pool.map(f, items))
 
 
-def _pieces(first: int, last: int) -> list[tuple[int, int]]:
-    """The range in pieces that one Watch can hold."""
-    return [(a, min(a + Watch.MOST - 1, last)) for a in range(first, last + 1, Watch.MOST)]
+#: Days of a source that one write takes: each of them that is watched adds to the work for a row.
+PIECE = 10
+
+
+def _pieces(first: int, last: int, size: int = PIECE) -> list[tuple[int, int]]:
+    return [(a, min(a + size - 1, last)) for a in range(first, last + 1, size)]
+
+
+def _by_day(df: DataFrame, first: int, last: int) -> DataFrame:
+    """df dealt out by day, a large day to several tasks: its files follow its volume, not the number of tasks."""
+    return df.hint("rebalance", 4 * (last - first + 1), F.col("day"))
 
 
 def _require_days(layer: str, found: Iterable[tuple[str, int]], names: list[str], first_day: int, last_day: int) -> None:
@@ -182,8 +200,7 @@ def to_bronze(lake: Lake, landing: str, names: list[str], first_day: int, last_d
         own_day = day_of(as_long(F.col("time")))
         outcome = F.when(own_day.isNull(), "undated").when(own_day != F.col("day"), "misfiled").otherwise("accepted")
         columns = [*spec.fields, "source", "day"]
-        accepted = F.col("outcome") == "accepted"
-        watch = Watch("day", range(first, last + 1), columns, {"landing": F.lit(True), "bronze": accepted})
+        watch = Watch("day", range(first, last + 1), columns, {"landing": "true", "bronze": "outcome = 'accepted'"})
         run = lake.bronze.stage(watch.on(rows.withColumn("outcome", outcome).select(*columns, "outcome")), ("outcome",))
         kept = watch.found("bronze")
         for day, (landed, checksum) in watch.found("landing").items():
@@ -242,7 +259,7 @@ def to_silver(lake: Lake, names: list[str], first_day: int, last_day: int, creat
         silver = SOURCES[name].to_silver(before.on(bronze))
         after = Watch("day", range(first, last + 1), silver.columns)
         columns[name] = silver.columns
-        run = lake.silver.stage(after.on(silver))
+        run = lake.silver.stage(after.on(_by_day(silver, first, last)))
         seen.update({(name, day): v for day, v in before.found().items()})
         for day, (count, checksum) in after.found().items():
             records[name, day] = {"source": name, "day": day, "record_count": count, "checksum": checksum, "created_at": created_at, "run": run}
@@ -275,11 +292,11 @@ def to_daily(lake: Lake, first_day: int, last_day: int) -> dict[tuple[str, int],
             if own:
                 rows = lake.silver_rows(name, own)
                 watch = Watch("day", [r["day"] for r in own], rows.columns)
-                run = lake.daily.stage(daily({name: watch.on(rows)}), ("part",))
+                run = lake.daily.stage(_by_day(daily({name: watch.on(rows)}), first, last), ("part",))
                 runs.update({(name, r["day"]): run for r in own})
                 seen.update({(name, day): v for day, v in watch.found().items()})
 
-        _each([(n, *piece) for n in SOURCES for piece in _pieces(first_day, last_day)], lambda job: write(*job))
+        _each([(n, *piece) for n in SOURCES for piece in _pieces(first_day, last_day, 31)], lambda job: write(*job))
         _require_same(stale, seen, lake.silver_rows, "silver")
         made = [{"source": n, "day": d, "record_count": r["record_count"], "built_from": r["checksum"], "run": runs[n, d]} for (n, d), r in stale.items()]
         lake.daily.publish(made, gone, since)

@@ -40,7 +40,8 @@ def _gold(spark, d, first=ANCHOR, last=ANCHOR, n=WINDOW) -> DataFrame:
 
 def _scored(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
     gold = tables.stored(_gold(spark, d, FIRST, LAST), "gold")
-    return gold, tables.stored(scoring.anomaly_scores(gold), "scores"), scoring.contributions(gold)
+    found = tables.stored(scoring.deviations(gold), "deviations")  # for scores and contributions
+    return gold, tables.stored(scoring.anomaly_scores(gold, found), "scores"), scoring.contributions(gold, found=found)
 
 
 # Bronze and Silver
@@ -113,9 +114,13 @@ _query("computer_features", _FLAGSHIP)(_gold)
 _query("computer_features_w3", f"WITH {sql.gold_with(ANCHOR, ANCHOR, 3)} SELECT * FROM gold")(lambda spark, d: _gold(spark, d, n=3))
 _query("computer_features_anchor0", f"WITH {sql.gold_with(0, 0, WINDOW)} SELECT * FROM gold")(lambda spark, d: _gold(spark, d, 0, 0))
 _query("computer_features_multi_anchor", f"WITH {sql.gold_with(0, 29, WINDOW)} SELECT * FROM gold")(lambda spark, d: _gold(spark, d, 0, 29))
-_query("retraining_bundle", f"WITH {sql.gold_with(4, 8, WINDOW)} SELECT * FROM gold")(
-    lambda spark, d: delivery.retraining_bundle(_gold(spark, d, 2, 9), 4, 8, WINDOW)
-)
+
+
+@_query("retraining_bundle", f"WITH {sql.gold_with(4, 8, WINDOW)} SELECT * FROM gold")
+def _bundle(spark, d):
+    path, gold = tables.scratch(spark, "delivery"), tables.stored(_gold(spark, d, 2, 9), "gold")
+    delivery.deliver(gold, path, SECRET, CREATED)
+    return delivery.verified_bundle(spark, path, SECRET, 4, 8, WINDOW, gold.schema)
 
 
 def _gap(spark, d) -> dict[str, DataFrame]:
@@ -148,11 +153,10 @@ _query(
     " UNION ALL SELECT 'flows', count(*) FROM (" + sql.silver("flows") + ") WHERE src_comp IS NULL OR dst_comp IS NULL"
     " UNION ALL SELECT 'dns', count(*) FROM (" + sql.silver("dns") + ") WHERE src_comp IS NULL",
 )(lambda spark, d: features.unidentified(fixtures.silver(spark, d)))
-_RED = f"""SELECT a.src_comp AS computer_id, count(*) AS events FROM ({sql.silver('auth')}) a SEMI JOIN
-    (SELECT TRY_CAST(time AS BIGINT) AS time, split_part("user", '@', 1) AS u, CASE WHEN contains("user", '@') THEN split_part("user", '@', 2) END AS dom,
-     src_comp, dst_comp FROM ({fixtures.raw_sql('redteam')})) r
-    ON a.time = r.time AND a.src_user_name = r.u AND a.src_domain IS NOT DISTINCT FROM r.dom AND a.src_comp = r.src_comp AND a.dst_comp = r.dst_comp
-    GROUP BY a.src_comp"""
+_LABELS = f"""SELECT TRY_CAST(time AS BIGINT) AS time, split_part("user", '@', 1) AS u, CASE WHEN contains("user", '@') THEN split_part("user", '@', 2) END AS dom,
+    src_comp, dst_comp FROM ({fixtures.raw_sql('redteam')})"""
+_LABELLED = "a.time = r.time AND a.src_user_name = r.u AND a.src_domain IS NOT DISTINCT FROM r.dom AND a.src_comp = r.src_comp AND a.dst_comp = r.dst_comp"
+_RED = f"SELECT a.src_comp AS computer_id, count(*) AS events FROM ({sql.silver('auth')}) a SEMI JOIN ({_LABELS}) r ON {_LABELLED} GROUP BY a.src_comp"
 _query("redteam_label_join", _RED)(
     lambda spark, d: delivery.redteam_label_join(fixtures.raw(spark, d, "redteam"), SOURCES["auth"].to_silver(fixtures.bronze(spark, d, "auth")))
 )
@@ -258,6 +262,26 @@ _query("risk_levels", f"{_S} SELECT window_days, anchor_day, computer_id, risk F
 _query("top_computers", f"{_S} SELECT computer_id, anomaly_score FROM scores WHERE {_ONE} ORDER BY anomaly_score DESC, computer_id LIMIT 15")(
     lambda spark, d: scoring.top_computers(_scored(spark, d)[1].where(_ONE))
 )
+
+
+@_query(
+    "redteam_auc",
+    f"""{_S}, red AS (SELECT DISTINCT a.day, a.src_comp AS computer_id FROM ({sql.silver('auth')}) a SEMI JOIN ({_LABELS}) r ON {_LABELLED}),
+        hit AS (SELECT DISTINCT anchor_day, computer_id FROM red JOIN anchors ON day BETWEEN anchor_day - {WINDOW - 1} AND anchor_day),
+        marked AS (SELECT window_days, anchor_day, anomaly_score, h.computer_id IS NOT NULL AS hit FROM scores s LEFT JOIN hit h USING (anchor_day, computer_id)),
+        levels AS (SELECT window_days, anchor_day, anomaly_score, count(*) AS n, count(*) FILTER (hit) AS p FROM marked GROUP BY ALL),
+        run AS (SELECT *, sum(n) OVER w AS upto, sum(p) OVER w AS found, sum(n) OVER d AS total, sum(p) OVER d AS hits FROM levels
+            WINDOW d AS (PARTITION BY window_days, anchor_day), w AS (PARTITION BY window_days, anchor_day ORDER BY anomaly_score DESC))
+        SELECT window_days, anchor_day, max(total)::BIGINT AS computers, max(hits)::BIGINT AS labelled,
+            CASE WHEN max(hits) > 0 AND max(hits) < max(total) THEN round((sum(p * ((total - upto) - (hits - found) + (n - p) / 2.0::DOUBLE)) / (max(hits) * (max(total) - max(hits))))::DOUBLE, 6) END AS auc,
+            CASE WHEN max(hits) > 0 THEN round((sum(p * found / upto::DOUBLE) / max(hits))::DOUBLE, 6) END AS average_precision
+        FROM run GROUP BY window_days, anchor_day""",
+)
+def _auc(spark, d):
+    labels = delivery.redteam_labels(fixtures.raw(spark, d, "redteam"), SOURCES["auth"].to_silver(fixtures.bronze(spark, d, "auth")), FIRST, LAST, WINDOW)
+    return scoring.label_quality(_scored(spark, d)[1], labels)
+
+
 _WATCH = """SELECT window_days, anchor_day, CAST(row_number() OVER (PARTITION BY window_days, anchor_day ORDER BY anomaly_score DESC, computer_id) AS INTEGER) AS rank,
     computer_id, label AS reason, risk, anomaly_score AS score FROM risk JOIN drivers d USING (window_days, anchor_day, computer_id) JOIN labels USING (feature)
     WHERE risk <> 'Normal' AND d.rank = 1"""
@@ -315,12 +339,12 @@ _query(
 _M = f"WITH {sql.gold_with(FIRST, LAST, WINDOW)}"
 _MANIFEST = f"""SELECT 'computer_features' AS dataset, 'computer_features-w{WINDOW}-d' || printf('%02d', anchor_day) AS dataset_version, 'v1' AS schema_version,
     window_days, anchor_day, count(*) AS record_count, '{",".join(contract.COLUMNS)}' AS columns, '{CREATED}' AS created_at,
-    'column-aes-gcm-v1' AS encryption_scheme, '{sealed.key_id(SECRET)}' AS key_id,
+    '{sealed.SCHEME}' AS encryption_scheme, '{sealed.key_id(SECRET)}' AS key_id,
     'computer_features/window_days={WINDOW}/anchor_day=' || printf('%02d', anchor_day) AS data_object FROM gold GROUP BY window_days, anchor_day"""
 
 
 def _plain(manifests: DataFrame) -> DataFrame:
-    return manifests.withColumn("columns", F.array_join("columns", ",")).drop("checksum_sha256", "volume_summary")
+    return manifests.withColumn("columns", F.array_join("columns", ",")).drop("checksum_sha256", "volume_summary", "wrapped_key")
 
 
 def _delivered(spark, d) -> tuple[str, DataFrame]:
@@ -345,10 +369,17 @@ def _roundtrip(spark, d):
 @_query("tamper_report", f"{_M} SELECT printf('window_days={WINDOW}/anchor_day=%02d', anchor_day) AS partition, count(*) AS rows, CASE WHEN anchor_day = 12 THEN count(*) ELSE 0 END AS unreadable FROM gold GROUP BY anchor_day")
 def _tampered(spark, d):
     path, gold = _delivered(spark, d)
-    rows = delivery.sealed_rows(spark, path)
-    moved = F.when(F.endswith("sealed_partition", F.lit("12")), F.col("proc_start_count")).otherwise(F.col("dns_lookup_count"))
-    hidden = [c for c in gold.columns if c not in delivery.CLEAR]
-    return sealed.tamper_report(rows.withColumn("dns_lookup_count", moved), SECRET, hidden)
+    changed = F.when(F.col("anchor_day") == 12, F.unhex(F.reverse(F.hex(sealed.ROW)))).otherwise(F.col(sealed.ROW))
+    rows = delivery.sealed_rows(spark, path).withColumn(sealed.ROW, changed)
+    return sealed.tamper_report(rows, delivery.received_keys(spark, path, SECRET), gold.columns)
+
+
+@_query("rotated_roundtrip", f"{_M} SELECT * FROM gold")
+def _rotated(spark, d):
+    """After the secret changed, the new one opens the rows, which stayed as they were."""
+    path, gold = _delivered(spark, d)
+    delivery.rotate(spark, path, SECRET, f"{SECRET}, changed")
+    return delivery.received(spark, path, f"{SECRET}, changed", gold.schema)
 
 
 @_query("delivery_acceptance", f"{_M} SELECT window_days, anchor_day, true AS schema_ok, anchor_day <> 11 AS count_ok, anchor_day <> 11 AS checksum_ok, anchor_day <> 11 AS accepted FROM gold GROUP BY ALL")

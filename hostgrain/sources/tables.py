@@ -18,9 +18,14 @@ class EmptyRange(ValueError):
     """No event lies in the days asked for."""
 
 
+def _first(line: Column) -> Column:
+    """The first field; unlike split_part() this doesn't take the whole line apart."""
+    return F.substring_index(line, ",", 1)
+
+
 def _reason(line: Column) -> Column:
     """Why a raw line can't be landed; null for one that can."""
-    first = F.split_part(line, F.lit(","), F.lit(1))
+    first = _first(line)
     return F.when(~F.contains(line, F.lit(",")), "no fields").when(F.trim(first) == "", "no time").when(as_long(first).isNull(), "time is no number")
 
 
@@ -33,7 +38,7 @@ def land(lines: DataFrame, path: str, name: str, first_day: int, last_day: int)
     split, so Spark cuts the files by volume (spark.sql.adaptive.advisoryPartitionSizeInBytes).
     """
     rejected = _reason(F.col("value")).isNotNull()
-    time = as_long(F.split_part("value", F.lit(","), F.lit(1)))
+    time = as_long(_first(F.col("value")))
     chosen = lines.select("value", F.when(~rejected, day_of(time)).alias("day")).where(rejected | F.col("day").between(first_day, last_day))
     seen = Observation()
     apart = max(64, 4 * (last_day - first_day + 1))  # so that few days share a partition before it is cut

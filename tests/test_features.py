@@ -1,5 +1,6 @@
 """Hand-made cases: malformed input, null handling, windows, plans."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -231,7 +232,7 @@ def test_a_source_without_rows_fails_before_anything_is_published(spark, tmp_pat
 
 
 def test_wrong_key_and_gaps_raise(spark, tables, tmp_path):
-    from hostgrain.plans.delivery import deliver, received
+    from hostgrain.plans.delivery import deliver, received, rotate, verified_bundle
     from hostgrain.plans.jobs import Lake, reprocess_window
     from hostgrain.sources.tables import EmptyRange, land
 
@@ -241,6 +242,27 @@ def test_wrong_key_and_gaps_raise(spark, tables, tmp_path):
     assert sorted(received(spark, path, "one", gold.schema).collect()) == sorted(gold.collect())
     with pytest.raises(Exception, match="(?i)aes|crypt|tag"):
         received(spark, path, "two", gold.schema).collect()
+    before = {f.name: f.read_bytes() for f in (tmp_path / "out").rglob("*.parquet")}
+    rotate(spark, path, "one", "new")
+    assert before == {f.name: f.read_bytes() for f in (tmp_path / "out").rglob("*.parquet")}
+    assert sorted(received(spark, path, "new", gold.schema).collect()) == sorted(gold.collect())
+    with pytest.raises(Exception, match="(?i)aes|crypt|tag"):
+        received(spark, path, "one", gold.schema).collect()
+    with pytest.raises(Exception, match="(?i)aes|crypt|tag"):
+        rotate(spark, path, "one", "other")
+    assert sorted(received(spark, path, "new", gold.schema).collect()) == sorted(gold.collect())
+    rotate(spark, path, "new", "one")
+    assert verified_bundle(spark, path, "one", 1, 1, 2, gold.schema).count() == gold.count()
+    with pytest.raises(ValueError, match="not delivered: window_days=2/anchor_day=02"):
+        verified_bundle(spark, path, "one", 1, 2, 2, gold.schema)
+    part = next((tmp_path / "out").rglob("*.parquet"))
+    kept, crc = part.read_bytes(), part.with_name(f".{part.name}.crc")
+    twice = pd.concat([pd.read_parquet(part)] * 2)
+    crc.unlink()
+    twice.to_parquet(part)
+    with pytest.raises(ValueError, match="not as delivered: computer_features/window_days=2/anchor_day=01"):
+        verified_bundle(spark, path, "one", 1, 1, 2, gold.schema)
+    part.write_bytes(kept)
     folder = tmp_path / "out/computer_features/window_days=2"
     assert '"record_count" : 4' in (folder / "anchor_day=01/manifest.json").read_text()
     (folder / "anchor_day=01").rename(folder / "anchor_day=05")
@@ -253,3 +275,26 @@ def test_wrong_key_and_gaps_raise(spark, tables, tmp_path):
         land(lines, f"file://{tmp_path}/landing", "dns", 4, 5)
     with pytest.raises(ValueError, match="not landed: auth day 1"):
         reprocess_window(Lake(spark, f"file://{tmp_path}/lake"), f"file://{tmp_path}/landing", 1, 2, "2024-01-01")
+
+
+def test_quality_of_scores_by_labels(spark):
+    """Against all pairs and all thresholds, with ties, and without one of the sorts."""
+    import random
+
+    from hostgrain.operators.scoring import label_quality
+
+    rng = random.Random(11)
+    rows, labels, wanted = [], [], {}
+    for anchor, share in ((1, 0.2), (2, 0.5), (3, 0.0), (4, 1.0)):
+        own = [(f"C{i}", float(rng.randrange(12)), rng.random() < share) for i in range(60)]
+        rows += [(7, anchor, c, s) for c, s, _ in own]
+        labels += [(7, anchor, c) for c, _, hit in own if hit] * 2 + [(7, anchor, "unknown")]
+        good, bad = [s for _, s, hit in own if hit], [s for _, s, hit in own if not hit]
+        auc = sum((g > b) + (g == b) / 2 for g in good for b in bad) / (len(good) * len(bad)) if good and bad else None
+        ap = None
+        if good:
+            ap = sum(sum(g == t for g in good) / len(good) * sum(g >= t for g in good) / sum(s >= t for s in good + bad) for t in set(good))
+        wanted[anchor] = (60, len(good), auc and round(auc, 6), ap and round(ap, 6))
+    scores = spark.createDataFrame(rows, "window_days int, anchor_day int, computer_id string, anomaly_score double")
+    found = label_quality(scores, spark.createDataFrame(labels, "window_days int, anchor_day int, computer_id string")).collect()
+    assert {r["anchor_day"]: tuple(r)[2:] for r in found} == wanted
