@@ -29,12 +29,6 @@ def lineage_rows(counts: DataFrame, from_layer: str | None, to_layer: str, schem
     )
 
 
-def schema_registrations(spark, columns: dict[str, list[str]], layer: str, schema_version: str = "v1") -> DataFrame:
-    """(source, layer, schema_version, columns): the ordered columns of each source's table."""
-    rows = [(source, layer, schema_version, names) for source, names in columns.items()]
-    return spark.createDataFrame(rows, "source string, layer string, schema_version string, columns array<string>")
-
-
 def upsert(old: DataFrame, new: DataFrame, keys: tuple[str, ...] = CHECKSUM_KEYS, by: tuple[str, ...] = ("created_at",)) -> DataFrame:
     """The rows of both, and of each key only the one with the latest created_at (or `by`); null keys are equal."""
     latest = Window.partitionBy(*keys).orderBy(*map(F.desc, by), F.desc("generation"))

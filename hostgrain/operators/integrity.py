@@ -106,13 +106,6 @@ def checksum_validation(recorded: DataFrame, computed: DataFrame, keys: list[str
     return computed.join(old, condition, "left").select(*keys, "record_count", status.alias("status"))
 
 
-def require_valid(validation: DataFrame) -> None:
-    """Raises unless all rows of checksum_validation() are ok; shows ten of the others."""
-    bad = validation.where("status <> 'ok'").limit(10).collect()
-    if bad:
-        raise ValueError(f"upstream content can't be trusted: {[r.asDict() for r in bad]}")
-
-
 def missing_partitions(present: DataFrame, sources: list[str], days: list[int]) -> DataFrame:
     """(source, day) that are wanted and not among the rows of present."""
     spark = present.sparkSession

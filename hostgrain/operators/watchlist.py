@@ -9,15 +9,15 @@ from hostgrain.functions.labels import FAMILIES, family_of, labelled
 from hostgrain.operators.scoring import DELIVERY, attention, risk_levels
 
 CAP = 50
+# Fixed value: the reason given where no driver is known.
+NO_REASON = "Unusual activity"
 
 
 def filtered(scores: DataFrame, risk: str = "all", search: str = "") -> DataFrame:
     """Computers that need attention: of one risk level if asked, whose id holds the text (any case, taken literally)."""
-    rows = attention(scores)
-    if risk in ("high", "medium"):
-        rows = rows.where(F.lower("risk") == risk)
-    needle = search.strip().lower()
-    return rows.where(F.contains(F.lower("computer_id"), F.lit(needle))) if needle else rows
+    of_level = F.lower("risk") == risk if risk in ("high", "medium") else F.lit(True)
+    named = F.contains(F.lower("computer_id"), F.lower(F.lit(search.strip())))  # any id contains the empty text
+    return attention(scores).where(of_level & named)
 
 
 def watchlist(scores: DataFrame, drivers: DataFrame, risk: str = "all", search: str = "", cap: int = CAP) -> DataFrame:
@@ -27,7 +27,7 @@ def watchlist(scores: DataFrame, drivers: DataFrame, risk: str = "all", search:
     keys = [*DELIVERY, "computer_id"]
     reason = labelled(drivers.where("rank = 1")).select(*keys, F.col("label").alias("reason"))
     joined = ranked.join(reason, keys, "left")
-    return joined.select(*DELIVERY, "rank", "computer_id", F.coalesce("reason", F.lit("Unusual activity")).alias("reason"), "risk", F.col("anomaly_score").alias("score"))
+    return joined.select(*DELIVERY, "rank", "computer_id", F.coalesce("reason", F.lit(NO_REASON)).alias("reason"), "risk", F.col("anomaly_score").alias("score"))
 
 
 def watchlist_total(scores: DataFrame, risk: str = "all", search: str = "") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +12,15 @@ from pyspark.sql.types import StructType
 from hostgrain.operators.contract import COLUMNS, FLAGS
 from hostgrain.operators.governance import nested_volume
 from hostgrain.operators.integrity import Watch, content_checksum_md5
-from hostgrain.sources.sealed import SCHEME, key_id, new_keys, open_keys, partition_id, rewrapped, seal, unseal
-from hostgrain.sources.tables import stored, write_table, write_text
+from hostgrain.sources.sealed import ROW, SCHEME, key_id, new_keys, open_keys, partition_id, rewrapped, seal, unseal
+from hostgrain.sources.tables import file_system, replace_text, stored
 
 DATASET = "computer_features"
 #: In clear, as they name the folders.
 CLEAR = ("window_days", "anchor_day")
 _COUNT = "source string, day int, record_count long"
 _MANIFEST = (
-    "anchor_day int, checksum_sha256 string, columns array<string>, created_at string, data_object string, dataset string, "
+    "anchor_day int, checksum_sha256 string, columns array<string>, created_at string, data_object string, data_run string, dataset string, "
     "dataset_version string, encryption_scheme string, key_id string, record_count long, schema_version string, "
     f"volume_summary struct<bronze: array<struct<{_COUNT}>>, delivered: struct<record_count: long>, event_days: array<int>, "
     f"gold: struct<anchor_day: int, record_count: long, window_days: int>, landing: array<struct<{_COUNT}>>, silver: array<struct<{_COUNT}>>>, "
@@ -27,14 +28,14 @@ _MANIFEST = (
 )
 
 
-def delivery_manifest(gold: DataFrame, secret: str, created_at: str, schema_version: str = "v1", records: DataFrame | None = None, checks: dict[tuple[int, int], tuple[int, str]] | None = None, keys: DataFrame | None = None) -> DataFrame:
+def delivery_manifest(gold: DataFrame, secret: str, created_at: str, schema_version: str = "v1", records: DataFrame | None = None, checks: dict[tuple[int, int], tuple[int, str]] | None = None, keys: DataFrame | None = None, run: str | None = None) -> DataFrame:
     """A manifest row for each (window_days, anchor_day) of gold, columns by name.
 
     The digest is that of the contents, so the receiver can make it again from
     whatever files it gets. records: checksum records of the layers, for the volume
     behind each delivery (volume_summary; null without). checks: (rows, checksum) of
     each partition, where they are known; else gold is read for them. keys: the
-    partitions' wrapped data keys (null without).
+    partitions' wrapped data keys, and run the folder of their rows (null without).
     """
     if checks is None:
         found = content_checksum_md5(gold, CLEAR)
@@ -48,6 +49,7 @@ def delivery_manifest(gold: DataFrame, secret: str, created_at: str, schema_vers
         F.array(*[F.lit(c) for c in gold.columns]).alias("columns"),
         F.lit(created_at).alias("created_at"),
         F.concat(F.lit(f"{DATASET}/"), partition_id(F.col("window_days"), F.col("anchor_day"))).alias("data_object"),
+        F.lit(run).cast("string").alias("data_run"),
         F.lit(DATASET).alias("dataset"),
         version.alias("dataset_version"),
         F.lit(SCHEME).alias("encryption_scheme"),
@@ -81,8 +83,10 @@ def deliver(gold: DataFrame, path: str, secret: str, created_at: str, records: D
     """Delivers each (window_days, anchor_day) of gold and returns the manifests. No rows: an error.
 
     A partition's place is fixed: <path>/computer_features/window_days=7/anchor_day=06
-    holds its sealed rows and, written after them, manifest.json (sorted keys). A
-    repeated delivery replaces both. checks: (rows, checksum) of each partition, where
+    holds manifest.json (sorted keys), and in a folder that the manifest names the
+    sealed rows. They are written first, and the manifest replaces the one before in
+    one step; so a delivery that stops midway leaves what was delivered before, and a
+    repeated one takes its place. Rows that no manifest names are then removed. checks: (rows, checksum) of each partition, where
     they are known; rows are then read once, and no manifest is written unless what
     was sealed agrees with them.
     """
@@ -95,13 +99,16 @@ def deliver(gold: DataFrame, path: str, secret: str, created_at: str, records: D
     watches = [Watch("anchor_day", anchors[i : i + Watch.MOST], COLUMNS, windows) for i in range(0, len(anchors), Watch.MOST)]
     for watch in watches:
         rows = watch.on(rows)
-    write_table(seal(rows, keys).withColumn("anchor_day", F.format_string("%02d", "anchor_day")), f"{path}/{DATASET}", list(CLEAR))
+    run = uuid.uuid4().hex
+    named = seal(rows, keys).withColumns({"anchor_day": F.format_string("%02d", "anchor_day"), "run": F.lit(run)})
+    named.write.mode("append").partitionBy(*CLEAR, "run").parquet(f"{path}/{DATASET}")
     if checks:
         seen = {(int(w), a): v for watch in watches for w in watch.kinds for a, v in watch.found(w).items()}
         if changed := [k for k, v in checks.items() if seen.get(k) != v]:
             raise ValueError(f"content can't be trusted: gold of {changed[:10]}")
-    manifests = stored(delivery_manifest(rows, secret, created_at, records=records, checks=checks, keys=keys), "manifests")
+    manifests = stored(delivery_manifest(rows, secret, created_at, records=records, checks=checks, keys=keys, run=run), "manifests")
     _write_manifests(manifests, path)
+    _remove_older(spark, path, [r.data_object for r in manifests.select("data_object").collect()], run)
     return manifests
 
 
@@ -110,7 +117,15 @@ def _write_manifests(manifests: DataFrame, path: str) -> None:
     pretty = F.to_json(F.struct(*StructType.fromDDL(_MANIFEST).names), {"pretty": "true"})
     rows = manifests.select("data_object", pretty.alias("text")).collect()
     with ThreadPoolExecutor(16) as pool:
-        list(pool.map(lambda r: write_text(manifests.sparkSession, f"{path}/{r['data_object']}/manifest.json", r["text"]), rows))
+        list(pool.map(lambda r: replace_text(manifests.sparkSession, f"{path}/{r['data_object']}/manifest.json", r["text"]), rows))
+
+
+def _remove_older(spark: SparkSession, path: str, objects: list[str], run: str) -> None:
+    for at in objects:
+        store, place = file_system(spark, f"{path}/{at}")
+        for found in store.listStatus(place):
+            if found.isDirectory() and found.getPath().getName() != f"run={run}":
+                store.delete(found.getPath(), True)
 
 
 def rotate(spark: SparkSession, path: str, old_secret: str, new_secret: str) -> DataFrame:
@@ -139,9 +154,16 @@ def manifest_listing(spark: SparkSession, path: str) -> DataFrame:
     return found.json(f"{path}/{DATASET}")
 
 
+def _rows_of(spark: SparkSession, path: str, manifests: DataFrame) -> DataFrame:
+    """(window_days, anchor_day, sealed) of some deliveries: only the folders that their manifests name are opened."""
+    folders = [f"{path}/{r.data_object}/run={r.data_run}" for r in manifests.select("data_object", "data_run").collect()]  # a row per delivery
+    rows = spark.read.option("basePath", f"{path}/{DATASET}").parquet(*folders)
+    return rows.select(*[F.col(c).cast("int").alias(c) for c in CLEAR], ROW)
+
+
 def sealed_rows(spark: SparkSession, path: str) -> DataFrame:
     """The delivered rows as they are stored: the partition that they lie in, and the ciphertext."""
-    return spark.read.option("pathGlobFilter", "*.parquet").parquet(f"{path}/{DATASET}")
+    return _rows_of(spark, path, manifest_listing(spark, path))
 
 
 def received(spark: SparkSession, path: str, secret: str, gold_schema) -> DataFrame:
@@ -165,9 +187,7 @@ def verified_bundle(spark: SparkSession, path: str, secret: str, first_anchor: i
     found = {r.anchor_day: r for r in wanted.select(*CLEAR, "data_object", "record_count", "checksum_sha256", "columns").collect()}  # a row per delivery
     if missing := [a for a in range(first_anchor, last_anchor + 1) if a not in found]:
         raise ValueError(f"not delivered: {', '.join(f'window_days={window_days}/anchor_day={a:02d}' for a in missing)}")
-    files = spark.read.option("pathGlobFilter", "*.parquet").option("basePath", f"{path}/{DATASET}")
-    rows = files.parquet(*[f"{path}/{r.data_object}" for r in found.values()])
-    opened = unseal(rows, _fitting(wanted, secret), gold_schema)
+    opened = unseal(_rows_of(spark, path, wanted), _fitting(wanted, secret), gold_schema)
     anchors = sorted(found)
     watches = [Watch("anchor_day", anchors[i : i + Watch.MOST], COLUMNS) for i in range(0, len(anchors), Watch.MOST)]
     for watch in watches:

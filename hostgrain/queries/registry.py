@@ -344,7 +344,7 @@ _MANIFEST = f"""SELECT 'computer_features' AS dataset, 'computer_features-w{WIND
 
 
 def _plain(manifests: DataFrame) -> DataFrame:
-    return manifests.withColumn("columns", F.array_join("columns", ",")).drop("checksum_sha256", "volume_summary", "wrapped_key")
+    return manifests.withColumn("columns", F.array_join("columns", ",")).drop("checksum_sha256", "volume_summary", "wrapped_key", "data_run")
 
 
 def _delivered(spark, d) -> tuple[str, DataFrame]:

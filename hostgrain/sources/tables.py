@@ -102,6 +102,16 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """As write_text(), but a reader finds the old file or the new one, whatever happens in between."""
+    jvm, hidden = spark._jvm, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"
+    write_text(spark, hidden, text)
+    place = jvm.org.apache.hadoop.fs.Path
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(place(path).toUri(), spark._jsc.hadoopConfiguration()).rename(place(hidden), place(path), overwrite)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """The content of a small file."""
     store, place = file_system(spark, path)

@@ -192,6 +192,27 @@ def test_checksums(spark):
         assert base not in (of([(1, "a"), (2, "")]), of([(1, "a"), (2, None), (2, None)]), of([(1, "a"), (2, None)], "id long, w string"))
 
 
+def test_xxhash_checksums_against_another_implementation(spark):
+    """content_checksum() by Python's xxhash: DuckDB has no such hash to compare with."""
+    import hashlib
+
+    import xxhash
+
+    from hostgrain.operators.integrity import content_checksum
+
+    rows = [("a", 1, None), ("a", 2, "é"), ("b", 3, ""), ("b", 3, ""), ("b", None, "x\x1fy")]
+    df = spark.createDataFrame(rows, "g string, n long, v string")
+
+    def wanted(own):
+        texts = ["\x1f".join("\x00" if x is None else str(x) for x in r) for r in own]  # columns by name: g, n, v
+        total = sum((h - (1 << 64) if (h := xxhash.xxh64_intdigest(t.encode(), seed=42)) >> 63 else h) + (1 << 63) for t in texts)
+        return len(own), hashlib.sha256(f"g,n,v|{len(own)}|{total}".encode()).hexdigest()
+
+    assert [tuple(r) for r in content_checksum(df).collect()] == [wanted(rows)]
+    by = {r["g"]: (r["record_count"], r["checksum"]) for r in content_checksum(df, ("g",)).collect()}
+    assert by == {g: wanted([r for r in rows if r[0] == g]) for g in "ab"}
+
+
 def test_digests_of_landed_files(spark, tmp_path):
     import hashlib
 
@@ -266,7 +287,12 @@ def test_wrong_key_and_gaps_raise(spark, tables, tmp_path):
     folder = tmp_path / "out/computer_features/window_days=2"
     assert '"record_count" : 4' in (folder / "anchor_day=01/manifest.json").read_text()
     (folder / "anchor_day=01").rename(folder / "anchor_day=05")
-    with pytest.raises(Exception, match="(?i)aes|crypt|tag"):  # a partition moved elsewhere
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):  # a partition moved elsewhere
+        received(spark, path, "one", gold.schema).collect()
+    manifest = folder / "anchor_day=05/manifest.json"
+    manifest.write_text(manifest.read_text().replace("anchor_day=01", "anchor_day=05"))
+    (folder / "anchor_day=05/.manifest.json.crc").unlink()
+    with pytest.raises(Exception, match="(?i)aes|crypt|tag"):  # and its manifest made to fit
         received(spark, path, "one", gold.schema).collect()
     lines = spark.createDataFrame([("5,C1,C2",), ("nothing",), (",C1,C2",)], "value string")
     for n in SOURCES:
@@ -277,6 +303,25 @@ def test_wrong_key_and_gaps_raise(spark, tables, tmp_path):
         reprocess_window(Lake(spark, f"file://{tmp_path}/lake"), f"file://{tmp_path}/landing", 1, 2, "2024-01-01")
 
 
+def test_a_delivery_that_stops_midway(spark, tables, tmp_path, monkeypatch):
+    """What was delivered before stays readable until the new manifest is there; then its rows are gone."""
+    from hostgrain.plans import delivery
+
+    gold, path = computer_features(tables, [0, 1], 2), f"file://{tmp_path}/out"
+    delivery.deliver(gold, path, "one", "2024-01-01")
+    before = sorted(delivery.received(spark, path, "one", gold.schema).collect())
+    changed = gold.where("computer_id <> 'C4'")
+    with monkeypatch.context() as m:
+        m.setattr(delivery, "_write_manifests", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            delivery.deliver(changed, path, "one", "2024-01-02")
+    assert sorted(delivery.received(spark, path, "one", gold.schema).collect()) == before
+    assert delivery.verified_bundle(spark, path, "one", 0, 1, 2, gold.schema).count() == len(before)
+    delivery.deliver(changed, path, "one", "2024-01-03")
+    assert sorted(delivery.received(spark, path, "one", gold.schema).collect()) == sorted(changed.collect())
+    assert len(list(tmp_path.glob("out/computer_features/*/*/run=*"))) == 2
+
+
 def test_quality_of_scores_by_labels(spark):
     """Against all pairs and all thresholds, with ties, and without one of the sorts."""
     import random
