@@ -10,10 +10,14 @@ sets themselves.
 
 Groups: in each bucket of equal parts, members are first held against one leader
 only. Once the links found are merged, buckets within one component are done; in
-the others, members of different components are compared, in blocks where a
-bucket is large: first the nearest pairs of each component, then, of what is
-still apart, all that the sketches allow. Thus no pair of a group is listed unless it may join two
-components, and no link between components is missed.
+the others, members of different components are compared. A large bucket that is
+still open mostly holds documents that share a passage. Its members are dealt
+once more, by their rarest shingles: two similar sets have one of so few rarest
+shingles in common, while those of documents that only share a passage are their
+own (`rarest`). What is large even then is compared in blocks: first the nearest
+pairs of each component, then, of what is still apart, all that the sketches
+allow. Thus no pair of a group is listed unless it may join two components, and
+no link between components is missed.
 """
 
 from __future__ import annotations
@@ -42,6 +46,8 @@ SMALL_BUCKET = 24
 #: Rounds in which each component of a large bucket only tries its nearest pair; the round after them tries all that are left.
 NEAREST_ROUNDS = 2
 BLOCK = 512
+#: Places of the table of counts by which shingles are called rare (a byte each). The order decides about speed, never about results.
+PLACES = 1 << 22
 #: Digests or parts that are settled map-side, at most, and counters to find them with.
 HEAVY = 1_000
 TRACKED = 16_384
@@ -205,14 +211,84 @@ def _as_nodes(rows: DataFrame, aliases: DataFrame | None) -> DataFrame:
     return joined.withColumn("node", F.coalesce("alias", "id")).drop("of", "of_digest", "alias")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int, aliases: DataFrame | None) -> DataFrame:
-    """The pairs (a, b) of nodes whose shingle sets are similar enough; docs has id and text."""
+def _sets(wanted: DataFrame, docs: DataFrame, k: int, aliases: DataFrame | None) -> DataFrame:
+    """(node, shingles) of the nodes w and of a few others, stored; docs has id and text. Repeated rows repeat."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             raw = [shingle_set(t, k).tobytes() for t in batch["text"]]
             yield pd.DataFrame({"id": batch["id"], "digest": [_digest(r) for r in raw], "shingles": raw})
 
+    ids = wanted
+    if aliases is not None:
+        ids = wanted.join(aliases, F.col("w") == F.col("alias"), "left").select(F.coalesce("of", "w").alias("w")).distinct()
+    texts = marked(docs, F.col("id"), ids, F.col("w"), "hit").where("hit").select("id", "text")
+    return written(_as_nodes(texts.mapInPandas(tidy(sets), "id long, digest binary, shingles binary"), aliases).select("node", "shingles"), "sets")
+
+
+def rarest(hashes: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
+    """The rarest shingles of a set, as many as are needed to meet every set that is similar enough.
+
+    Such a set shares at least percent / 100 of the n shingles, so at most
+    n - ceil(n * percent / 100) are missing in it. Let all shingles stand in one
+    order. Take the first one in that order that both sets have: before it come
+    only shingles that the other set lacks, on either side. So it is among the
+    first n - ceil(n * percent / 100) + 1 of both, whatever the order is.
+    """
+    n = len(hashes)
+    order = np.lexsort((hashes, levels[hashes % np.uint64(len(levels))]))
+    return hashes[order[: n - -(-n * percent // 100) + 1]]
+
+
+def _levels(sets: DataFrame) -> np.ndarray:
+    """How often the shingles of each place occur in all sets, as eight times the logarithm of the count.
+
+    Tasks add up their own counts; what reaches the driver are PLACES bytes.
+    """
+
+    def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(PLACES, np.int64)
+        for batch in batches:
+            for raw in batch["shingles"]:
+                np.add.at(total, (np.frombuffer(raw, np.uint64) % np.uint64(PLACES)).astype(np.int64), 1)
+        filled = np.flatnonzero(total)
+        for at in range(0, len(filled), 100_000):
+            some = filled[at : at + 100_000]
+            yield pd.DataFrame({"place": some, "n": total[some]})
+
+    def piece(group: pd.DataFrame) -> pd.DataFrame:
+        part = np.zeros(1 << 16, np.uint8)
+        part[group["place"].to_numpy() % (1 << 16)] = np.minimum(8 * np.log2(group["n"].to_numpy() + 1), 255)
+        return pd.DataFrame({"piece": group["piece"].iloc[:1], "levels": [part.tobytes()]})
+
+    places = sets.select("shingles").mapInPandas(tidy(counts), "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    pieces = places.withColumn("piece", F.shiftright("place", 16)).groupBy("piece").applyInPandas(piece, "piece long, levels binary")
+    levels = np.zeros(max(PLACES, 1 << 16), np.uint8)
+    for row in pieces.toLocalIterator():  # PLACES / 65536 rows
+        levels[row["piece"] << 16 : (row["piece"] + 1) << 16] = np.frombuffer(row["levels"], np.uint8)
+    return levels[:PLACES]
+
+
+def _rare_buckets(large: DataFrame, docs: DataFrame, k: int, percent: int, aliases: DataFrame | None) -> DataFrame:
+    """As _buckets(), of the ids in the large buckets by their rarest shingles."""
+    ids = written(large.select(F.col("id").alias("w")).distinct(), "in-large")
+    sets = _sets(ids, docs, k, aliases)
+    levels = _levels(sets)
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 1000):
+                some = batch.iloc[at : at + 1000]
+                rare = [rarest(np.frombuffer(r, np.uint64), levels, percent).view(np.int64) for r in some["shingles"]]
+                yield pd.DataFrame({"id": some["node"].to_numpy(), "keys": rare})
+
+    own = sets.join(ids, F.col("node") == F.col("w"), "left_semi").mapInPandas(tidy(keys), "id long, keys array<long>")
+    return _buckets(written(own.dropDuplicates(["id"]), "rarest"))
+
+
+def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int, aliases: DataFrame | None) -> DataFrame:
+    """The pairs (a, b) of nodes whose shingle sets are similar enough; docs has id and text."""
+
     def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keep = []
@@ -223,11 +299,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int, aliases: Da
             yield batch.loc[np.array(keep, bool), ["a", "b"]]
 
     wanted = written(pairs.select(F.col("a").alias("w")).union(pairs.select(F.col("b").alias("w"))).distinct(), "wanted")
-    ids = wanted
-    if aliases is not None:
-        ids = wanted.join(aliases, F.col("w") == F.col("alias"), "left").select(F.coalesce("of", "w").alias("w")).distinct()
-    texts = marked(docs, F.col("id"), ids, F.col("w"), "hit").where("hit").select("id", "text")
-    found = written(_as_nodes(texts.mapInPandas(tidy(sets), "id long, digest binary, shingles binary"), aliases).select("node", "shingles"), "sets")
+    found = _sets(wanted, docs, k, aliases)
     x = found.select(F.col("node").alias("xi"), F.col("shingles").alias("x"))
     y = found.select(F.col("node").alias("yi"), F.col("shingles").alias("y"))
     joined = pairs.join(y, F.col("b") == F.col("yi")).join(x, F.col("a") == F.col("xi"))
@@ -365,7 +437,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     merged = components(links)
 
     open_ = written(_unsettled(buckets, merged), "open")
-    one = open_.where(F.col("size") <= SMALL_BUCKET)
+    one, large = open_.where(F.col("size") <= SMALL_BUCKET), open_.where(F.col("size") > SMALL_BUCKET)
+    if not large.isEmpty():
+        large = written(_unsettled(_rare_buckets(large, texts, k, percent, aliases), merged), "open-rare")
+        one = one.union(large.where(F.col("size") <= SMALL_BUCKET))
+    open_ = large
     two = one.select("key", F.col("id").alias("other"), F.col("component").alias("other_component"))
     listed = (
         one.join(two, "key")

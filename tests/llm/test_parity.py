@@ -85,6 +85,54 @@ def test_similar_sets_share_a_key_and_pass_the_sketch(both, only_a, only_b, perc
     assert far <= p.most_different(len(a) + len(b), percent)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.integers(1, 300), st.integers(0, 60), st.integers(0, 60), st.sampled_from([60, 80, 85]), st.integers(0, 10**6))
+def test_similar_sets_share_a_rare_shingle_in_any_order(both, only_a, only_b, percent, seed):
+    rng = np.random.default_rng(seed)
+    values = rng.permutation(np.unique(rng.integers(0, 2**63, both + only_a + only_b, dtype=np.uint64)))
+    a, b = values[: both + only_a], np.concatenate([values[:both], values[both + only_a :]])
+    if 100 * both < percent * len(values):
+        return
+    levels = rng.integers(0, 3, 64).astype(np.uint8)
+    assert np.intersect1d(p.rarest(a, levels, percent), p.rarest(b, levels, percent)).size
+
+
+def test_levels_count_all_sets(spark, monkeypatch):
+    monkeypatch.setattr(p, "PLACES", 1 << 17)
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 2**63, 50, dtype=np.uint64) % np.uint64(90_000)) for _ in range(40)]
+    df = spark.createDataFrame([(i, s.tobytes()) for i, s in enumerate(sets)], "node long, shingles binary").repartition(3)
+    counts = np.bincount(np.concatenate(sets).astype(np.int64) % (1 << 17), minlength=1 << 17)
+    assert (p._levels(df) == (8 * np.log2(counts + 1)).astype(np.uint8)).all()
+
+
+def shared_passage(n, common=300, own=100):
+    """Documents that share a passage and aren't similar, and a pair of near copies for every 50 of them."""
+    head = " ".join(f"c{i}" for i in range(common))
+    docs = [(i, head + " " + " ".join(f"o{i}x{j}" for j in range(own))) for i in range(n)]
+    return docs + [(n + i, docs[50 * i][1] + " end") for i in range(n // 50)]
+
+
+def test_work_on_shared_passages_grows_with_documents(spark, monkeypatch):
+    seen = []
+    screen, blocks = p._screen, p._block_pairs
+    monkeypatch.setattr(p, "_screen", lambda pairs, *rest: seen.append(pairs.count()) or screen(pairs, *rest))
+
+    def counted(rows, *rest, **more):
+        seen.append(sum(r["n"] ** 2 for r in rows.groupBy("key").agg(p.F.count(p.F.lit(1)).alias("n")).collect()))
+        return blocks(rows, *rest, **more)
+
+    monkeypatch.setattr(p, "_block_pairs", counted)
+    work = []
+    for n in (300, 1200):
+        seen.clear()
+        docs = shared_passage(n)
+        found = result(spark.createDataFrame(docs, "doc_id long, text string"), 4, 85)
+        assert {i: c for i, (_, c) in found.items() if c != i} == {n + i: 50 * i for i in range(n // 50)}
+        work.append(sum(seen))
+    assert work[1] <= 4**1.3 * work[0]
+
+
 def near_copies(rng, n):
     words = [f"w{i}" for i in range(400)]
     passage = [rng.choice(words) for _ in range(40)]
