@@ -137,13 +137,17 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], max_labelle
     """The chain for the 0/1 columns `categories` of labels. Rows with a null label, id or text don't train.
 
     The sample is bounded by max_labelled, in order of a digest of the id; only
-    the codes of its words come to the driver.
+    the codes of its words come to the driver. Of labels that share an id the
+    smallest counts, of texts that share one the text with the smallest digest, so
+    that reruns train alike.
     """
     known = labels.select(F.col(id_col).alias("label_id"), *[F.col(c).cast("int").alias(f"y{i}") for i, c in enumerate(categories)])
-    sample = known.dropna().dropDuplicates(["label_id"]).orderBy(F.md5(F.col("label_id").cast("string"))).limit(max_labelled)
+    ys = [f"y{i}" for i in range(len(categories))]
+    sample = known.dropna().groupBy("label_id").agg(F.min(F.struct(*ys)).alias("y")).select("label_id", "y.*").orderBy(F.md5(F.col("label_id").cast("string"))).limit(max_labelled)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")
     joined = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))  # max_labelled rows at most
-    ys = [f"y{i}" for i in range(len(categories))]
+    # one text for each id, where the rows are: a repeated row is left out before anything is shuffled
+    joined = joined.groupBy("label_id", *ys).agg(F.min_by("text", F.sha2("text", 256)).alias("text"))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -153,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], max_labelle
 
     schema = f"label_id long, {', '.join(f'{y} int' for y in ys)}, codes array<int>, figures array<double>"
     rows = joined.select("label_id", *ys, "text").mapInPandas(tidy(features), schema).toPandas()
-    rows = rows.drop_duplicates("label_id").sort_values("label_id")
+    rows = rows.sort_values("label_id")
     if rows.empty:
         return []
     codes = [np.asarray(c, np.int32).view(np.uint32) for c in rows["codes"]]

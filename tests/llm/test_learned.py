@@ -176,3 +176,14 @@ def test_share_of_letters_is_that_of_the_whole_text():
     from hostgrain.llm.toxic_chain import shape
 
     assert shape("1aaaaaa" * 3)[2] == 6 / 7 and shape("1ab")[2] == 2 / 3 and shape("")[2] == 0
+
+
+def test_training_rows_do_not_depend_on_the_order_of_repeated_ids(spark):
+    docs = [(i % 40, f"word{i % 7} other{i % 11} text {i}") for i in range(200)]
+    labels = [(i % 40, i % 2, i // 40 % 2) for i in range(120)]
+    seen = []
+    for turn in (1, -1):
+        d = spark.createDataFrame(docs[::turn], "doc_id long, text string").repartition(3)
+        known = spark.createDataFrame(labels[::turn], "doc_id long, quality int, toxic int").repartition(2)
+        seen.append(sorted((r["doc_id"], r["p_toxic"]) for r in chain.toxicity(d, known).collect()))
+    assert seen[0] == seen[1] and len(seen[0]) == 200
