@@ -66,25 +66,28 @@ def mix_sources(
     max_epochs: int = MAX_EPOCHS,
     seed: str = SEED,
     buckets: int = 4096,
+    text_key: str | None = None,
 ) -> DataFrame:
-    """One row per input row: id, size, source_size, target, taken.
+    """One row per input row: id, size, source_size, target, taken; with text_key also the source and, under this name, a hash of the text.
 
     size counts words (a null text has 0). Sources in code point order, null
     last, get the weights in turn. taken = size * repetitions, between 0 and
     max_epochs; per source it is within the size of one document of the target.
     Rows of equal id and size (repeated rows) follow one another in the order;
-    the choice depends on seed, id and size only, so reruns agree. Other columns
-    are ignored. An empty table gives no rows; a source without words has target 0.
+    the choice depends on seed, id and size only (with text_key also on the text), so
+    reruns agree. Very long texts are counted whole. Other columns are ignored. An empty table gives no rows; a source without words has target 0.
     """
     slots = 16 ** 3
     step = max(1, slots // max(1, min(buckets, slots)))
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
+    hashed = [F.xxhash64(F.col(text_col)).alias("text_hash")] if text_key else []
     rows = written(
         docs.select(
             F.col(id_col).alias("id"),
             F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"),
             order.alias("place"),
+            *hashed,
         ),
         "sizes",
     ).withColumn("bucket", F.floor(F.conv(F.substring("place", 1, 3), 16, 10).cast("int") / F.lit(step)).cast("int"))
@@ -103,7 +106,7 @@ def mix_sources(
         .select(offsets["source"].alias("s"), F.col("bucket").alias("b"), "before", "source_size", "target")
     )
     frame = written(frame, "mix-plan")
-    inside = Window.partitionBy("source", "bucket").orderBy("place", "id", "size").rowsBetween(
+    inside = Window.partitionBy("source", "bucket").orderBy("place", "id", "size", *(["text_hash"] if text_key else [])).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     running = rows.withColumn("upto", F.sum("size").over(inside))
@@ -119,20 +122,26 @@ def mix_sources(
         "source_size",
         "target",
         (F.col("size") * (whole + again.cast("int"))).cast("long").alias("taken"),
+        *([running["source"].alias(source_col), F.col("text_hash").alias(text_key)] if text_key else []),
     )
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """docs with each row as often as mix_sources() takes it: the same columns, 0 to max_epochs copies.
 
-    A document without words is taken once: it adds no word to any source, and
-    no decision of the mix speaks against it.
+    Rows that share an id, but differ in text or source, have their own number
+    each; rows that repeat id, source and text share the larger one. A document
+    without words is taken once: it adds no word to any source, and no decision of
+    the mix speaks against it.
     """
-    id_col = options.get("id_col", "doc_id")
-    key, times, copy = (fresh(docs, x) for x in ("mixed_id", "mixed_times", "mixed_copy"))
-    verdict = mix_sources(docs, **options).where("size > 0")
-    taken = verdict.groupBy(F.col(id_col).alias(key)).agg(F.max(F.expr("cast(taken div size as int)")).alias(times))
-    joined = docs.join(taken, F.col(id_col).eqNullSafe(F.col(key)), "left")
+    id_col, text_col, source_col = (options.get(x, y) for x, y in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source")))
+    key, source, text, times, copy = (fresh(docs, f"mixed_{x}") for x in ("id", "source", "text", "times", "copy"))
+    verdict = mix_sources(docs, **options, text_key=text).where("size > 0")
+    taken = verdict.groupBy(F.col(id_col).alias(key), F.col(source_col).alias(source), text).agg(
+        F.max(F.expr("cast(taken div size as int)")).alias(times)
+    )
+    same = F.col(id_col).eqNullSafe(F.col(key)) & F.col(source_col).eqNullSafe(F.col(source)) & (F.xxhash64(F.col(text_col)) == F.col(text))
+    joined = docs.join(taken, same, "left")
     return joined.withColumn(copy, F.explode(F.array_repeat(F.lit(0), F.coalesce(F.col(times), F.lit(1))))).select(
         *docs.columns
     )

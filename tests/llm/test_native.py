@@ -50,6 +50,19 @@ def test_mix_of_messy_rows(messy, nothing):
     assert mixed.columns == messy.columns and mixed.count() > 0
 
 
+def test_rows_that_share_an_id_are_mixed_on_their_own(spark):
+    # a third of all rows has the id 1, each with a text of its own
+    rows = [(1 if i % 3 == 0 else i, f"w{i} " * (1 + i % 5), ("a", "b", None)[i % 4 % 3]) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    times = Counter(r["text"] for r in source_mix.mixed_documents(docs).collect())
+    assert times == Counter(r["text"] for r in source_mix.mixed_documents(docs.repartition(2)).collect())
+    targets = {r["source"]: (r["source_size"], r["target"]) for r in source_mix.mix_sources(docs, text_key="h").collect()}
+    for source, (size, target) in targets.items():
+        of = [(t, len(t.split())) for _, t, s in rows if s == source]
+        assert sum(n for _, n in of) == size
+        assert abs(sum(times[t] * n for t, n in of) - target) <= 5 and all(times[t] <= 2 for t, _ in of)
+
+
 def _brute_fill(sizes, weights, total, epochs):
     """Clamp what is above its cap and share the excess by weight, until nothing is."""
     target, fixed = {}, set()
