@@ -48,6 +48,8 @@ NEAREST_ROUNDS = 2
 BLOCK = 512
 #: Places of the table of counts by which shingles are called rare (a byte each). The order decides about speed, never about results.
 PLACES = 1 << 22
+#: Places of which one task adds up the counts: those of all tasks meet there, 6 bytes a place and task at most.
+PIECE = 1 << 14
 #: Digests or parts that are settled map-side, at most, and counters to find them with.
 HEAVY = 1_000
 TRACKED = 16_384
@@ -152,17 +154,16 @@ def _buckets(nodes: DataFrame) -> DataFrame:
     Keys that may be frequent are settled map-side and marked as such.
     """
     keys = nodes.select(F.explode("keys").alias("key"), "id")
-    found = F.broadcast(_heavy(keys, "key"))
-    hot = written(
-        keys.join(found, "key", "left_semi").groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("size")), "hot-keys"
-    )
-    frequent = keys.join(F.broadcast(hot), "key")  # HEAVY rows at most
-    same = Window.partitionBy("key")
-    rest = keys.join(F.broadcast(hot), "key", "left_anti").select(
-        "key", "id", F.min("id").over(same).alias("leader"), F.count(F.lit(1)).over(same).alias("size")
+    top = [r["key"] for r in _heavy(keys, "key").collect()]  # HEAVY numbers at most
+    columns, same = ["key", "id", "leader", "size"], Window.partitionBy("key")
+    may_be = F.expr(f"key in ({', '.join(map(str, top))})") if top else F.lit(False)
+    both = keys.where(~may_be).select(
+        "key", "id", F.min("id").over(same).alias("leader"), F.count(F.lit(1)).over(same).alias("size"), F.lit(False).alias("frequent")
     )
-    columns = ["key", "id", "leader", "size"]
-    both = frequent.select(*columns, F.lit(True).alias("frequent")).union(rest.select(*columns, F.lit(False)))
+    if top:
+        some = keys.where(may_be)
+        hot = written(some.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("size")), "hot-keys")
+        both = both.union(some.join(F.broadcast(hot), "key").select(*columns, F.lit(True)))  # HEAVY rows at most
     return written(both.where("size > 1"), "buckets")
 
 
@@ -240,32 +241,42 @@ def rarest(hashes: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
     return hashes[order[: n - -(-n * percent // 100) + 1]]
 
 
-def _levels(sets: DataFrame) -> np.ndarray:
-    """How often the shingles of each place occur in all sets, as eight times the logarithm of the count.
+def _place_counts(sets: DataFrame) -> DataFrame:
+    """(piece, counts): from each task, for each piece of PIECE places, those that its sets have (two bytes) and how often (four bytes).
 
-    Tasks add up their own counts; what reaches the driver are PLACES bytes.
+    A task gives a row for each piece at most, however many sets and shingles it reads.
     """
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(PLACES, np.int64)
+        total = np.zeros(PLACES, np.uint32)
         for batch in batches:
             for raw in batch["shingles"]:
                 np.add.at(total, (np.frombuffer(raw, np.uint64) % np.uint64(PLACES)).astype(np.int64), 1)
-        filled = np.flatnonzero(total)
-        for at in range(0, len(filled), 100_000):
-            some = filled[at : at + 100_000]
-            yield pd.DataFrame({"place": some, "n": total[some]})
+        for at in range(0, PLACES, PIECE):
+            part = total[at : at + PIECE]
+            filled = np.flatnonzero(part)
+            if len(filled):
+                yield pd.DataFrame({"piece": [at // PIECE], "counts": [filled.astype(np.uint16).tobytes() + part[filled].tobytes()]})
+
+    return sets.select("shingles").mapInPandas(tidy(counts), "piece long, counts binary")
+
+
+def _levels(sets: DataFrame) -> np.ndarray:
+    """How often the shingles of each place occur in all sets, as eight times the logarithm of the count.
+
+    Tasks add up their own counts, and pieces are added up side by side; what reaches the driver are PLACES bytes.
+    """
 
     def piece(group: pd.DataFrame) -> pd.DataFrame:
-        part = np.zeros(1 << 16, np.uint8)
-        part[group["place"].to_numpy() % (1 << 16)] = np.minimum(8 * np.log2(group["n"].to_numpy() + 1), 255)
-        return pd.DataFrame({"piece": group["piece"].iloc[:1], "levels": [part.tobytes()]})
-
-    places = sets.select("shingles").mapInPandas(tidy(counts), "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    pieces = places.withColumn("piece", F.shiftright("place", 16)).groupBy("piece").applyInPandas(piece, "piece long, levels binary")
-    levels = np.zeros(max(PLACES, 1 << 16), np.uint8)
-    for row in pieces.toLocalIterator():  # PLACES / 65536 rows
-        levels[row["piece"] << 16 : (row["piece"] + 1) << 16] = np.frombuffer(row["levels"], np.uint8)
+        total = np.zeros(PIECE, np.int64)
+        for raw in group["counts"]:
+            n = len(raw) // 6
+            total[np.frombuffer(raw, np.uint16, n)] += np.frombuffer(raw, np.uint32, n, 2 * n)
+        return pd.DataFrame({"piece": group["piece"].iloc[:1], "levels": [np.minimum(8 * np.log2(total + 1), 255).astype(np.uint8).tobytes()]})
+
+    levels = np.zeros(-(-PLACES // PIECE) * PIECE, np.uint8)
+    for row in _place_counts(sets).groupBy("piece").applyInPandas(piece, "piece long, levels binary").toLocalIterator():  # PLACES / PIECE rows
+        levels[row["piece"] * PIECE : (row["piece"] + 1) * PIECE] = np.frombuffer(row["levels"], np.uint8)
     return levels[:PLACES]
 
 

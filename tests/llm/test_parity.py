@@ -106,6 +106,35 @@ def test_levels_count_all_sets(spark, monkeypatch):
     assert (p._levels(df) == (8 * np.log2(counts + 1)).astype(np.uint8)).all()
 
 
+def test_counts_of_places_are_few_rows(spark):
+    """A task gives one row for each piece of places, whatever it reads."""
+    rng = np.random.default_rng(2)
+    sets = [(i, np.sort(rng.integers(0, 2**63, 20_000, dtype=np.uint64)).tobytes()) for i in range(12)]
+    df = spark.createDataFrame(sets, "node long, shingles binary").repartition(3)
+    assert 0 < p._place_counts(df).count() <= 3 * -(-p.PLACES // p.PIECE)
+    assert np.array_equal(p._levels(df), p._levels(df.repartition(1)))
+
+
+@pytest.mark.parametrize("heavy", [1, 1000])
+def test_buckets_take_keys_once(spark, monkeypatch, heavy):
+    """Frequent keys or none: the same buckets, and no join that gives all other keys on."""
+    monkeypatch.setattr(p, "HEAVY", heavy)
+    rng = random.Random(3)
+    own = [(i, sorted({rng.randrange(-40, 400) for _ in range(20)} | {7 if i % 2 else -7})) for i in range(300)]
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    found = p._buckets(spark.createDataFrame(own, "id long, keys array<long>")).collect()
+    done = store.executionsList(before, 1_000)
+    assert not any("LeftAnti" in done.apply(i).physicalPlanDescription() for i in range(done.size()))
+    of = {}
+    for i, keys in own:
+        for key in keys:
+            of.setdefault(key, []).append(i)
+    want = sorted((key, i, min(ids), len(ids)) for key, ids in of.items() if len(ids) > 1 for i in ids)
+    assert sorted((r["key"], r["id"], r["leader"], r["size"]) for r in found) == want
+    assert any(r["frequent"] for r in found)
+
+
 def shared_passage(n, common=300, own=100):
     """Documents that share a passage and aren't similar, and a pair of near copies for every 50 of them."""
     head = " ".join(f"c{i}" for i in range(common))
