@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from hostgrain.operators.integrity import Watch, content_checksum_md5
+from hostgrain.operators.integrity import Watch, content_checksum, content_checksum_md5
 from hostgrain.plans import jobs
 from hostgrain.sources import tables
 from hostgrain.sources.events import SOURCES
@@ -241,3 +241,45 @@ def test_staged_rows_are_nobody_s(spark, tmp_path):
     assert table.records() == [] and table.read(rows.schema, []).count() == 0
     table.publish([{"source": "dns", "day": 1, "run": run}])
     assert table.read(rows.schema, table.records()).collect() == [("a", "dns", 1)]
+
+
+def test_a_watch_can_count_by_a_cheaper_digest(spark, tmp_path):
+    df = spark.range(1000).select((F.col("id") % 5 - 1).cast("int").alias("day"), F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("v"))
+    for days in (range(-1, 6), range(-1, 30)):  # by their list, by their distance from the first
+        watch = Watch("day", days, df.columns, {"all": "true", "some": "v is not null"}, "xxhash64")
+        watch.on(df).write.mode("overwrite").parquet(f"{tmp_path}/t")
+        for kind, rows in (("all", df), ("some", df.where("v is not null"))):
+            wanted = {r["day"]: (r["record_count"], r["checksum"]) for r in content_checksum(rows, ("day",)).collect()}
+            assert watch.found(kind) == wanted and len(wanted) == 5
+    empty = Watch("day", [1], df.columns, digest="xxhash64")
+    empty.on(df.where("day = 99")).write.parquet(f"{tmp_path}/none")
+    assert empty.found() == {}
+
+
+def test_records_of_the_older_digest_still_count(spark, lake, landing):
+    file_rows(spark, landing, "dns", d0=[dns(0), dns(0, "C2")])
+    jobs.to_bronze(lake, landing, ["dns"], 0, 0, "1")
+    (record,) = lake.bronze.records()
+    assert record["digest"] == "xxhash64"
+    (md5,) = content_checksum_md5(lake.bronze_rows("dns", [record])).collect()
+    old = {k: v for k, v in record.items() if k != "digest"} | {"checksum": md5["checksum"]}
+    lake.bronze.publish([old])
+    jobs.to_silver(lake, ["dns"], 0, 0, "2")
+    assert counts(lake, "silver") == {("dns", 0): 2}
+    lake.bronze.publish([old | {"checksum": "another"}])
+    with pytest.raises(ValueError, match="can't be trusted: bronze of dns day 0"):
+        jobs.to_silver(lake, ["dns"], 0, 0, "3")
+
+
+def test_silver_shuffles_rows_once(spark, lake, landing):
+    """To drop repeated rows; the write takes them as they are then, and each once."""
+    file_rows(spark, landing, "dns", d0=[dns(0), dns(0), dns(0, "C2")], d1=[dns(1)])
+    jobs.to_bronze(lake, landing, ["dns"], 0, 1, "1")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    jobs.to_silver(lake, ["dns"], 0, 1, "2")
+    done = store.executionsList(before, 10_000)
+    plans = [done.apply(i).physicalPlanDescription() for i in range(done.size())]
+    (write,) = [p.split("== Initial Plan ==")[-1] for p in plans if "InsertIntoHadoopFsRelationCommand" in p]
+    assert sum(line.lstrip(" :+-*").startswith("Exchange (") for line in write.splitlines()) == 1
+    assert counts(lake, "silver") == {("dns", 0): 2, ("dns", 1): 1}
