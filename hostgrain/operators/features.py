@@ -40,6 +40,8 @@ _DISTINCT = {
     "flows_in_distinct_sources": ("flows_in_peer", False),
     "dns_distinct_resolved_hosts": ("dns_host", False),
 }
+#: Logs of which many events are of the same computers and values.
+ALIKE = ("flows",)
 #: Known outcomes, from which the failure rates are made.
 _KNOWN = ("auth_out_known", "auth_in_known")
 _ADDITIVE = [f for f in FEATURES if f not in _DISTINCT and f not in RATES] + list(_KNOWN)
@@ -85,13 +87,29 @@ def _roles(name: str) -> list[tuple[Column, dict[str, Column], dict[str, tuple[C
     return [(c("src_comp"), {"dns_lookup_count": one}, {"dns_host": (c("resolved_comp"), nobody)})]
 
 
-def daily(silver: dict[str, DataFrame], first_day: int | None = None, last_day: int | None = None) -> DataFrame:
+def _summed(df: DataFrame, roles: list) -> tuple[DataFrame, list]:
+    """df with a row for each day and combination of computers and values, its measures summed up, and the roles in its columns."""
+    keys, sums, found = [F.col("day")], [], []
+    for i, (computer, added, values) in enumerate(roles):
+        keys.append(computer.alias(f"computer_{i}"))
+        sums += [F.sum(amount).alias(m) for m, amount in added.items()]
+        own = {}
+        for kind, (value, person) in values.items():
+            keys += [value.alias(kind), person.alias(f"{kind}_person")]
+            own[kind] = F.col(kind), F.col(f"{kind}_person")
+        found.append((F.col(f"computer_{i}"), {m: F.col(m) for m in added}, own))
+    return df.groupBy(*keys).agg(*sums), found
+
+
+def daily(silver: dict[str, DataFrame], first_day: int | None = None, last_day: int | None = None, alike: Iterable[str] = ()) -> DataFrame:
     """(part, source, day, computer_id, kind, value, person, additive measures): all that windows are made of.
 
     Part `counts` has the sums of a computer and day (and those of rows without a
     computer, which only tell that a source had rows), part `values` each distinct
     value of a kind once. Every event becomes an entry of either sort for each of
-    its roles, and all entries meet in one aggregate: a source is read once.
+    its roles, and all entries meet in one aggregate: a source is read once. Events of
+    the sources in alike are first summed up by day, computers and values, so that
+    entries are made of the combinations; that shuffles partial sums once more.
     """
     parts = []
     for name, df in silver.items():
@@ -103,11 +121,13 @@ def daily(silver: dict[str, DataFrame], first_day: int | None = None, last_day:
             sums = [added.get(m, nothing).alias(m) for m in measures]  # noqa: B023
             return F.struct(computer.alias("computer_id"), kind.alias("kind"), value.alias("value"), person.alias("person"), *sums)
 
+        inside = df if first_day is None else df.where(F.col("day").between(first_day, last_day))
+        if name in alike:
+            inside, roles = _summed(inside, roles)
         each = [entry(computer, text, text, F.lit(False), added) for computer, added, _ in roles]
         each += [
             entry(computer, F.lit(kind), value, person, {}) for computer, _, values in roles for kind, (value, person) in values.items()
         ]
-        inside = df if first_day is None else df.where(F.col("day").between(first_day, last_day))
         rows = inside.select("day", F.explode(F.array(*each)).alias("e")).select("day", "e.*")
         rows = rows.where("kind is null or (computer_id is not null and value is not null)")
         found = rows.groupBy("day", "computer_id", "kind", "value", "person").agg(*[F.sum(m).alias(m) for m in measures])

@@ -23,7 +23,7 @@ from pyspark.sql.types import IntegerType, StringType, StructType
 
 from hostgrain.functions.columns import as_long, day_of
 from hostgrain.operators.contract import COLUMNS
-from hostgrain.operators.features import daily, daily_schema, features_of_days, window_event_days
+from hostgrain.operators.features import ALIKE, daily, daily_schema, features_of_days, window_event_days
 from hostgrain.operators.integrity import Watch, content_checksum, content_checksum_md5, missing_partitions
 from hostgrain.plans.delivery import deliver
 from hostgrain.sources.events import SOURCES, source
@@ -296,7 +296,7 @@ def to_daily(lake: Lake, first_day: int, last_day: int) -> dict[tuple[str, int],
             if own:
                 rows = lake.silver_rows(name, own)
                 watch = Watch("day", [r["day"] for r in own], rows.columns, digest=DIGEST)
-                run = lake.daily.stage(_by_day(daily({name: watch.on(rows)}), first, last), ("part",))
+                run = lake.daily.stage(_by_day(daily({name: watch.on(rows)}, alike=ALIKE), first, last), ("part",))
                 runs.update({(name, r["day"]): run for r in own})
                 seen.update({(name, day): v for day, v in watch.found().items()})
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hostgrain.operators.contract import COLUMNS
-from hostgrain.operators.features import computer_features, daily, source_presence, unidentified, window_event_days
+from hostgrain.operators.features import ALIKE, computer_features, daily, source_presence, unidentified, window_event_days
 from hostgrain.sources.events import SOURCES, source
 from hostgrain.sources.tables import scan_silver, write_table
 
@@ -343,3 +343,16 @@ def test_quality_of_scores_by_labels(spark):
     scores = spark.createDataFrame(rows, "window_days int, anchor_day int, computer_id string, anomaly_score double")
     found = label_quality(scores, spark.createDataFrame(labels, "window_days int, anchor_day int, computer_id string")).collect()
     assert {r["anchor_day"]: tuple(r)[2:] for r in found} == wanted
+
+
+def test_alike_flows_are_summed_up_before_they_become_entries(spark):
+    """The same daily sums and values, also without a computer; entries are made of the combinations, not of the events."""
+    spec = source("flows")
+    rows = [(str(86_400 * (i % 2) + i + 1), "1", [None, "C1", "C2"][i % 3], "N1" if i % 5 else "80", f"C{i % 2}", "443", "6", str(i) if i % 7 else "x", "10") for i in range(60)]
+    silver = spec.to_silver(spec.to_bronze(spark.createDataFrame(rows, spec.raw_schema)))
+    found = daily({"flows": silver}, alike=ALIKE)
+    tree = found._jdf.queryExecution().optimizedPlan().toString()
+    assert tree[tree.index("Generate") :].count("Aggregate") == 2  # below: these sums, and Silver's distinct rows
+    own = sorted(map(str, found.collect()))
+    plain = daily({"flows": silver})
+    assert sorted(map(str, plain.select(*found.columns).collect())) == own and len(own) > 10
