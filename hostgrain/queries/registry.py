@@ -427,9 +427,9 @@ _query("newest_manifest", f"{_M} SELECT * FROM ({_MANIFEST}) WHERE anchor_day =
 
 
 # Jobs from layer to layer
-def _lake(spark, d, first: int, last: int) -> tuple[jobs.Lake, str]:
+def _lake(spark, d, first: int, last: int, names=tuple(SOURCES)) -> tuple[jobs.Lake, str]:
     root = tables.scratch(spark, "lake")
-    jobs._each(SOURCES, lambda s: tables.land(fixtures.raw_lines(spark, d, s), f"{root}/landing", s, first, last))
+    jobs._each(names, lambda s: tables.land(fixtures.raw_lines(spark, d, s), f"{root}/landing", s, first, last))
     return jobs.Lake(spark, root), f"{root}/landing"
 
 
@@ -505,7 +505,7 @@ def _republished(spark, d):
 @_query("rebuilt_anchors", f"WITH {sql.gold_with(*DAYS, WINDOW)} SELECT anchor_day, count(*) AS computers, CAST(sum(dns_lookup_count) AS BIGINT) AS lookups, anchor_day BETWEEN 12 AND {11 + WINDOW} AS rebuilt FROM gold GROUP BY anchor_day")
 def _rebuilt(spark, d):
     """Half of a day's lookups come late: only the windows that hold the day are built again."""
-    lake, landing = _lake(spark, d, *DAYS)
+    lake, landing = _lake(spark, d, *DAYS, [s for s in SOURCES if s != "dns"])
     lines = fixtures.raw_lines(spark, d, "dns")
     time = F.split_part("value", F.lit(","), F.lit(1)).cast("long")
     early = lines.where((time % 2 == 0) | ~time.between(12 * 86_400 + 1, 13 * 86_400))
